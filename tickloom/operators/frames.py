@@ -16,29 +16,32 @@ from tickloom.functions.layouts import EXPECTED, LAYOUTS, LEVELS, ORDER_BOOK, TR
 from tickloom.functions.numbers import as_message_text, breaks_policy, by_policy, to_decimal
 
 
+def frame_class(frame: Column) -> Column:
+    first = F.substring(frame, 1, 1)
+    return F.when(first == "0", "data").when(first == "{", "control").otherwise("unknown")
+
+
 def classify(frames: DataFrame, frame_col: str = "frame") -> DataFrame:
     """Add ``frame_class``: data, control or unknown."""
-    first = F.substring(F.col(frame_col), 1, 1)
-    kind = F.when(first == "0", "data").when(first == "{", "control").otherwise("unknown")
-    return frames.withColumn("frame_class", kind)
+    return frames.withColumn("frame_class", frame_class(F.col(frame_col)))
 
 
 def split_frames(
     frames: DataFrame, frame_col: str = "frame", record_width: int | None = None
 ) -> DataFrame:
-    """One row per record of a data frame: ``tr_id``, ``parts`` (payload values as text) and
-    ``numbers`` (the same values as decimals, NULL where they are none).
+    """One row per record of a frame: ``frame_class``, ``tr_id``, ``parts`` (payload values as text)
+    and ``numbers`` (the same values as decimals, NULL where they are none).
 
     A frame may carry several records. By default only the first one is taken; with
-    ``record_width`` the payload is cut into records of that many values. Other lines, and frames
-    without a payload, stay as one row of NULLs, so that they can reach the dead letters.
+    ``record_width`` the payload is cut into records of that many values. Lines that are no data,
+    and frames without a payload, stay as one row of NULLs, so that they can reach the dead letters.
 
     Records leave through a generator. Filters on them therefore stay above it, and each frame is
     split and cast once however many fields a filter looks at.
     """
-    fields = F.split(F.col(frame_col), r"\|")
-    is_data = F.substring(F.col(frame_col), 1, 1) == "0"
-    payload = F.when(is_data, F.split(F.get(fields, F.lit(3)), r"\^"))
+    kind = frame_class(F.col(frame_col))
+    fields = F.when(kind == "data", F.split(F.col(frame_col), r"\|"))
+    payload = F.split(F.get(fields, F.lit(3)), r"\^")
     if record_width is None:
         records = F.array(payload)
     else:
@@ -49,11 +52,13 @@ def split_frames(
     typed = F.transform(
         records,
         lambda parts: F.struct(
-            parts.alias("parts"), F.transform(parts, to_decimal).alias("numbers")
+            kind.alias("frame_class"),
+            F.get(fields, F.lit(1)).alias("tr_id"),
+            parts.alias("parts"),
+            F.transform(parts, to_decimal).alias("numbers"),
         ),
     )
-    tr_id = F.when(is_data, F.get(fields, F.lit(1)))
-    return frames.select("*", tr_id.alias("tr_id"), F.inline(typed))
+    return frames.select("*", F.inline(typed))
 
 
 def _part(position: int) -> Column:
@@ -86,9 +91,10 @@ def decode(
     Frames of other kinds and undecodable frames are left out; the latter are in
     :func:`dead_letters`.
     """
-    split = split_frames(frames, frame_col, record_width)
-    good = split.filter((F.col("tr_id") == layout.tr_id) & _problem(layout).isNull())
-    return good.select(
+    # Frames of other kinds are sorted out by their head, before anything is split.
+    of_kind = frames.filter(F.col(frame_col).rlike(rf"^0[^|]*\|{layout.tr_id}(\||$)"))
+    split = split_frames(of_kind, frame_col, record_width)
+    return split.filter(_problem(layout).isNull()).select(
         *keep,
         _part(0).alias("stock_code"),
         *[by_policy(_part(i), _number(i), rule).alias(name) for i, name, rule in layout.fields],
@@ -128,7 +134,7 @@ def orderbook_levels(book: DataFrame) -> DataFrame:
 
 
 def _reason(layouts: Sequence[Layout]) -> Column:
-    """Why no layout can decode a classified record; NULL for decodable records and for control
+    """Why no layout can decode a record; NULL for decodable records and for control
     messages."""
     known = F.coalesce(F.col("tr_id").isin([layout.tr_id for layout in layouts]), F.lit(False))
     reason = F.when(F.col("frame_class") == "unknown", "unknown_frame").when(
@@ -146,7 +152,7 @@ def dead_letters(
     record_width: int | None = None,
 ) -> DataFrame:
     """Frames that no layout can decode, with ``reason``. Control messages are not among them."""
-    split = classify(split_frames(frames, frame_col, record_width), frame_col)
+    split = split_frames(frames, frame_col, record_width)
     found = split.withColumn("reason", _reason(layouts)).filter("reason is not null")
     return found.drop("parts", "numbers")
 
@@ -162,7 +168,7 @@ def publish_rows(
     Numbers stay the text that was received, so no digit is added or lost. All kinds are handled
     in one pass over the frames.
     """
-    split = classify(split_frames(frames, frame_col, record_width), frame_col)
+    split = split_frames(frames, frame_col, record_width)
     good = split.filter((F.col("frame_class") == "data") & _reason(layouts).isNull())
     value = F.lit(None).cast("string")
     for layout in layouts:

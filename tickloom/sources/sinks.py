@@ -33,11 +33,13 @@ INDEX_CONNECTION = {
 
 def table_sink(path: str) -> Sink:
     """Parquet by ``report_date`` and batch. A replayed batch overwrites just its own folders, so
-    nothing is written twice."""
+    nothing is written twice. Rebalancing lets Spark merge small pieces of a day and split large
+    ones, in place of one file per task and day."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .hint("rebalance", "report_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("report_date", "batch_id")
