@@ -19,7 +19,7 @@ from tickloom.functions.clock import local_text, trade_instant  # noqa: E402
 from tickloom.functions.layouts import EXPECTED, ORDER_BOOK, TRADE, Layout  # noqa: E402
 from tickloom.operators import archive, freshness, frames, sectors, trades, vwap  # noqa: E402
 from tickloom.plans import market, tables  # noqa: E402
-from tickloom.session import run_folder  # noqa: E402
+from tickloom.session import run_folder, store  # noqa: E402
 from tickloom.sources.archive import read_archive, write_archive  # noqa: E402
 from tickloom.sources.sinks import table_sink  # noqa: E402
 from tickloom.streaming.market_report import start_market_report, stream_stats  # noqa: E402
@@ -162,7 +162,8 @@ def q19_sector_map(spark: SparkSession, folder: str) -> DataFrame:
         html=F.col("html"),
         code_pattern=HREF_AS_CODE,
     )
-    return sectors.sector_map(links).select(
+    # Stored once: lists and names both need the links, and matching the pages is the costly part.
+    return sectors.sector_map(store(links, "q19")).select(
         "stock_code", "name", F.array_join("sectors", " ").alias("sectors"), "part"
     )
 

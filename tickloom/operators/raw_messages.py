@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.vwap import WINDOW
@@ -13,7 +13,16 @@ MESSAGES_PER_LIST = 100_000
 SLICES = 32
 
 
-def messages_of(
+def _parts(per_list: int) -> Column:
+    """Number of lists a window needs."""
+    return F.greatest(F.ceil(F.col("message_count") / per_list), F.lit(1)).cast("int")
+
+
+def _lists(rows: DataFrame, windows: DataFrame, collected: Column) -> DataFrame:
+    return rows.groupBy(*windows.columns, "part", "parts").agg(collected.alias("raw_messages"))
+
+
+def with_messages(
     windows: DataFrame,
     trades: DataFrame,
     width: str = WINDOW,
@@ -21,18 +30,15 @@ def messages_of(
     per_list: int = MESSAGES_PER_LIST,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Message lists of the given windows: ``window, stock_code, raw_messages, part, parts``.
+    """The given windows with their messages: ``raw_messages, part, parts`` added.
 
-    ``windows`` (``window, stock_code, message_count``) are the few windows in question, so only
-    their messages are gathered, not those of all windows. One window gives one list unless it has
-    more than ``per_list`` messages; then ``parts`` lists hold them all. The join is cut into
+    ``windows`` (with ``window, stock_code, message_count``) are the few windows in question, so
+    only their messages are gathered, not those of all windows. One window gives one row unless it
+    has more than ``per_list`` messages; then ``parts`` rows hold them all. The join is cut into
     ``slices`` so that the messages of one hot window spread over that many tasks.
     """
-    wanted = windows.select(
-        "window",
-        "stock_code",
-        F.greatest(F.ceil(F.col("message_count") / per_list), F.lit(1)).cast("int").alias("parts"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
+    wanted = windows.withColumn("parts", _parts(per_list)).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice")
     )
     spread = F.xxhash64(*spread_on)
     timed = trades.select(
@@ -42,32 +48,20 @@ def messages_of(
         spread.alias("_spread"),
         F.pmod(spread, F.lit(slices)).cast("int").alias("_slice"),
     )
-    return (
-        timed.join(wanted, ["window", "stock_code", "_slice"])
-        .withColumn("part", F.pmod(F.shiftrightunsigned("_spread", 16), F.col("parts")).cast("int"))
-        .groupBy("window", "stock_code", "part", "parts")
-        .agg(F.collect_list("original_message").alias("raw_messages"))
+    found = timed.join(wanted, ["window", "stock_code", "_slice"]).withColumn(
+        "part", F.pmod(F.shiftrightunsigned("_spread", 16), F.col("parts")).cast("int")
     )
+    return _lists(found, windows, F.collect_list("original_message"))
 
 
-def lists_from_slices(
+def with_sliced_messages(
     windows: DataFrame, sliced: DataFrame, per_list: int = MESSAGES_PER_LIST
 ) -> DataFrame:
-    """The same lists from sub-groups that kept their messages (:func:`vwap.window_sums`)."""
-    wanted = windows.select(
-        "window",
-        "stock_code",
-        F.greatest(F.ceil(F.col("message_count") / per_list), F.lit(1)).cast("int").alias("parts"),
-    )
-    return (
-        sliced.select("window", "stock_code", "slice", "raw_messages")
-        .join(wanted, ["window", "stock_code"])
-        .withColumn("part", F.pmod("slice", "parts"))
-        .groupBy("window", "stock_code", "part", "parts")
-        .agg(F.flatten(F.collect_list("raw_messages")).alias("raw_messages"))
-    )
+    """The same from sub-groups that kept their messages (:func:`vwap.window_sums` with ``slices``).
 
-
-def attach_messages(rows: DataFrame, lists: DataFrame) -> DataFrame:
-    """Add the lists to (enriched) windows: one row per list."""
-    return rows.join(lists, ["window", "stock_code"])
+    A window is spread over at most as many rows as it has slices.
+    """
+    wanted = windows.withColumn("parts", _parts(per_list))
+    kept = sliced.select("window", "stock_code", "slice", "raw_messages")
+    found = kept.join(wanted, ["window", "stock_code"]).withColumn("part", F.pmod("slice", "parts"))
+    return _lists(found, windows, F.flatten(F.collect_list("raw_messages")))

@@ -27,8 +27,8 @@ def price_anomalies(
     """Anomalies with their messages. The first pass reads and shuffles sums only; the second one
     gathers messages for the anomalous windows alone."""
     found = vwap.anomalies(market_stats(records, width), **thresholds)
-    lists = raw.messages_of(found, parse_trades(records, keep=IDS), width, IDS)
-    return vwap.anomaly_rows(enrich(raw.attach_messages(found, lists), dim))
+    with_messages = raw.with_messages(found, parse_trades(records, keep=IDS), width, IDS)
+    return vwap.anomaly_rows(enrich(with_messages, dim))
 
 
 def anomaly_envelopes(records: DataFrame, dim: DataFrame, width: str = vwap.WINDOW) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,3 +47,11 @@ def shared_root(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def store(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them from there: for results that several branches
+    of a plan use and that are costly to compute again."""
+    path = run_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

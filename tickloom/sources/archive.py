@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.clock import local_day
+from tickloom.operators.archive import ZONE
+from tickloom.operators.trades import parse_trades
+
 PARTITIONS = ("topic", "insert_day")
 
 
@@ -16,3 +22,28 @@ def read_archive(spark: SparkSession, path: str, topic: str | None = None) -> Da
 
 def write_archive(documents: DataFrame, path: str) -> None:
     documents.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+
+
+def archived_records(documents: DataFrame) -> DataFrame:
+    """Documents back in the shape of Kafka records."""
+    return documents.select(
+        F.col("metadata.key").alias("key"),
+        F.col("raw_data").alias("value"),
+        "topic",
+        "metadata.partition",
+        "metadata.offset",
+        F.col("kafka_timestamp").alias("timestamp"),
+        "insert_day",
+    )
+
+
+def archived_trades(
+    spark: SparkSession, path: str, topic: str, start: datetime, end: datetime, zone: str = ZONE
+) -> DataFrame:
+    """Parsed trades sent in ``[start, end)``. A record is archived after it was sent, so only the
+    folders from the start's day on are read."""
+    sent = F.col("timestamp")
+    records = archived_records(read_archive(spark, path, topic)).filter(
+        (F.col("insert_day") >= local_day(F.lit(start), zone)) & (sent >= F.lit(start)) & (sent < F.lit(end))
+    )
+    return parse_trades(records, keep=["partition", "offset"])

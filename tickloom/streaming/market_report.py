@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +14,8 @@ from tickloom.operators import vwap
 from tickloom.operators.sectors import enrich
 from tickloom.sources.sinks import Sink
 
+ArchivedTrades = Callable[[datetime, datetime], DataFrame]
+
 
 def with_report_date(rows: DataFrame) -> DataFrame:
     """Day of the window in the session zone; the tables roll over by themselves."""
@@ -36,7 +41,7 @@ def start_market_report(
     lateness: str = vwap.LATENESS,
     spread: float = vwap.SPREAD,
     above_mean: float = vwap.ABOVE_MEAN,
-    archive: DataFrame | None = None,
+    archive: ArchivedTrades | None = None,
     slices: int = 16,
     per_list: int = raw.MESSAGES_PER_LIST,
     trigger: dict | None = None,
@@ -44,12 +49,21 @@ def start_market_report(
     """One query, three outputs: the source is read once and the state is kept once.
 
     The messages behind anomalies are kept in the state, cut into ``slices`` per window and stock,
-    and are exactly those that were counted. With ``archive`` (a batch table of parsed trades) the
-    state holds sums only and the messages are looked up there, for anomalous windows alone; a
-    message that came after its window was closed is then in the list too.
+    and are exactly those that were counted. With ``archive``, a function that gives the parsed
+    trades of a time range, the state holds sums only and the messages are looked up, for anomalous
+    windows alone; a message that came after its window was closed is then in the list too.
     """
     sums = vwap.window_sums(trades, width, lateness, None if archive is not None else slices)
 
+    def anomalies_with_messages(stats: DataFrame, closed: DataFrame) -> DataFrame:
+        found = vwap.anomalies(stats, spread, above_mean)
+        if archive is None:
+            return raw.with_sliced_messages(found, closed, per_list)
+        start, end = found.agg(F.min("window.start"), F.max("window.end")).first()
+        if start is None:  # no anomalies: an empty range
+            start = end = datetime(1970, 1, 2)
+        return raw.with_messages(found, archive(start, end), width, per_list=per_list)
+
     def write(closed: DataFrame, batch_id: int) -> None:
         closed.persist()
         try:
@@ -58,13 +72,7 @@ def start_market_report(
                 return
             merged = closed if archive is not None else vwap.merge_slices(closed)
             stats = with_report_date(vwap.window_stats(merged))
-            found = vwap.anomalies(stats, spread, above_mean)
-            if archive is not None:
-                lists = raw.messages_of(found, archive, width, per_list=per_list)
-            else:
-                lists = raw.lists_from_slices(found, closed, per_list)
-            odd = enrich(raw.attach_messages(found, lists), dim)
-
+            odd = enrich(anomalies_with_messages(stats, closed), dim)
             report_sink(enrich(stats, dim).select(*vwap.REPORT_COLUMNS, "report_date"), batch_id)
             anomaly_sink(odd.select(*vwap.MESSAGE_FIELDS, "part", "parts", "report_date"), batch_id)
             message_sink(vwap.anomaly_messages(odd, keep=["report_date"]), batch_id)
