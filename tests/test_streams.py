@@ -1,0 +1,239 @@
+from __future__ import annotations
+
+import feed
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.operators import sectors, trades, vwap
+from tickloom.plans import market, tables
+from tickloom.sources import records as sources
+from tickloom.sources.archive import archived_trades, read_archive
+from tickloom.sources.sinks import table_sink
+from tickloom.streaming.market_report import start_market_report, stream_stats
+from tickloom.streaming.tables import start_archive, start_table
+
+ONCE = {"availableNow": True}
+DIM = [("hot", "a", "Hot"), ("hot", "b", "Hot"), ("cold", "a", "Cold")]
+
+
+class Feed:
+    """A folder of record files, read as a stream."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, str(path / "feed")
+
+    def add(self, *rows):
+        offset = getattr(self, "offset", 0)
+        made = [feed.record(s, feed.message(p, v), t, offset + n) for n, (s, p, v, t) in enumerate(rows)]
+        self.offset = offset + len(made)
+        feed.records(self.spark, made).coalesce(1).write.mode("append").parquet(self.path)
+
+    def trades(self, **options):
+        records = sources.record_files(self.spark, self.path, **options)
+        return trades.parse_trades(records, keep=market.IDS)
+
+
+def _run_sums(source, out):
+    stats = vwap.window_stats(vwap.window_sums(source.trades(), lateness=vwap.LATENESS))
+    rows = stats.select("window", "stock_code", "total_volume", "message_count")
+    query = start_table(rows, f"{out}/table", f"{out}/checkpoint", trigger=ONCE)
+    query.awaitTermination()
+    table = source.spark.read.parquet(f"{out}/table")
+    seconds = F.unix_seconds("window.start") - F.unix_seconds(F.lit(feed.START))
+    found = {(r.s, r.stock_code): r.total_volume for r in table.select(seconds.alias("s"), "*").collect()}
+    assert table.count() == len(found), "a window came out twice"
+    return found, query
+
+
+def test_window_comes_out_once_the_watermark_has_passed(spark, tmp_path):
+    source = Feed(spark, tmp_path)
+    source.add(("1", 10, 1, 0), ("1", 10, 2, 29), ("1", 10, 4, 31), ("1", 10, 8, 89.9))
+    assert _run_sums(source, tmp_path)[0] == {}
+    source.add(("1", 10, 16, 90))
+    assert _run_sums(source, tmp_path)[0] == {(0, "1"): 3}
+    source.add(("1", 10, 32, 200))
+    assert _run_sums(source, tmp_path)[0] == {(0, "1"): 3, (30, "1"): 4, (60, "1"): 8, (90, "1"): 16}
+
+
+def test_late_rows_are_dropped_only_when_their_window_is_closed(spark, tmp_path):
+    source = Feed(spark, tmp_path)
+    source.add(("1", 10, 1, 0), ("1", 10, 2, 100))  # watermark 40: closes [0, 30)
+    assert _run_sums(source, tmp_path)[0] == {(0, "1"): 1}
+    source.add(("1", 10, 1000, 5), ("1", 10, 4, 45), ("1", 10, 8, 200))
+    found, query = _run_sums(source, tmp_path)
+    assert found == {(0, "1"): 1, (30, "1"): 4, (90, "1"): 2}
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == 1
+
+
+def test_grace_of_one_batch_within_a_run(spark, tmp_path):
+    """A late row is measured against the watermark of the batch before."""
+    source = Feed(spark, tmp_path)
+    source.add(("1", 10, 1, 0), ("1", 10, 2, 100))
+    source.add(("1", 10, 4, 1))
+    source.add(("1", 10, 8, 2))
+    stats = vwap.window_sums(source.trades(maxFilesPerTrigger=1), lateness=vwap.LATENESS)
+    rows = stats.select("stock_code", "total_volume", "window")
+    start_table(rows, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE).awaitTermination()
+    assert [r.total_volume for r in spark.read.parquet(f"{tmp_path}/t").collect()] == [1 + 4]
+
+
+def test_restart_neither_loses_nor_repeats(spark, tmp_path):
+    """Three runs over one checkpoint give what one run over all rows gives."""
+    steps = [[("1", 10, n, t + n % 7) for n in range(20)] for t in (0, 60, 120)]
+    parts, whole = Feed(spark, tmp_path / "parts"), Feed(spark, tmp_path / "whole")
+    for rows in steps:
+        parts.add(*rows)
+        found = _run_sums(parts, tmp_path / "parts")[0]
+    whole.add(*[row for rows in steps for row in rows])
+    assert found == _run_sums(whole, tmp_path / "whole")[0] == {(0, "1"): 190}
+
+
+def test_stream_equals_batch_over_closed_windows(spark, small, tmp_path):
+    events = tables.table(spark, small, "events")
+    dim = sectors.sector_rows(
+        tables.sector_entries(tables.table(spark, small, "customer"), tables.table(spark, small, "orders"))
+    )
+    stream = trades.parse_trades(tables.trade_records(tables.events_stream(spark, small), "timestamp"))
+    rows = stream_stats(stream, dim, "1 hour").select(*vwap.REPORT_COLUMNS)
+    start_table(rows, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE).awaitTermination()
+    streamed = {tuple(r) for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    watermark = events.agg(F.max("ts") - F.expr("interval 1 minute")).first()[0]
+    stats = sectors.enrich(market.market_stats(tables.trade_records(events), "1 hour"), dim)
+    closed = stats.filter(F.col("window.end") <= F.lit(watermark).cast("timestamp_ntz"))
+    assert streamed == {tuple(r) for r in vwap.report(closed).collect()}
+    assert 0 < len(streamed) < stats.count()
+
+
+ROWS = [
+    *[("hot", 100 + n % 2 * 50, n, n * 0.2) for n in range(100)],
+    *[("cold", 100, 1, n) for n in range(20)],
+    ("cold", 100, 1, 200),
+]
+
+
+def _outputs(spark, out):
+    tables_ = {name: spark.read.parquet(f"{out}/{name}") for name in ("report", "anomalies", "messages")}
+    return {name: sorted(map(str, t.drop("batch_id").collect())) for name, t in tables_.items()}
+
+
+def _fan_out(spark, source, out, **options):
+    return start_market_report(
+        source.trades(),
+        feed.dim(spark, *DIM),
+        f"{out}/checkpoint",
+        table_sink(f"{out}/report"),
+        table_sink(f"{out}/anomalies"),
+        table_sink(f"{out}/messages"),
+        trigger=ONCE,
+        **options,
+    )
+
+
+@pytest.mark.parametrize("per_list", [1000, 40])
+def test_fan_out_writes_three_outputs(spark, tmp_path, per_list):
+    source = Feed(spark, tmp_path)
+    source.add(*ROWS)
+    _fan_out(spark, source, tmp_path, per_list=per_list, slices=8).awaitTermination()
+    report = spark.read.parquet(f"{tmp_path}/report")
+    assert sorted((r.stock_code, r.sector, r.total_volume) for r in report.collect()) == [
+        ("cold", "a", 20),
+        ("hot", "a", 4950),
+        ("hot", "b", 4950),
+    ]
+    assert {str(r.report_date) for r in report.collect()} == {"2025-07-02"}
+    odd = spark.read.parquet(f"{tmp_path}/anomalies").collect()
+    assert {(r.stock_code, r.sector) for r in odd} == {("hot", "a"), ("hot", "b")}
+    assert {r.parts for r in odd} == {1 if per_list == 1000 else 3}
+    for sector in ("a", "b"):
+        messages = [m for r in odd if r.sector == sector for m in r.raw_messages]
+        assert len(messages) == 100
+        assert sorted(messages) == sorted(feed.message(p, v) for s, p, v, _ in ROWS if s == "hot")
+    assert spark.read.parquet(f"{tmp_path}/messages").count() == len(odd)
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("x", 1, "2025-07-02"), ("y", 2, "2025-07-03")], "a string, b int, d string")
+    rows = rows.select("a", "b", F.col("d").cast("date").alias("report_date"))
+    write = table_sink(f"{tmp_path}/t")
+    for batch in (0, 1, 1, 0):
+        write(rows, batch)
+    counts = spark.read.parquet(f"{tmp_path}/t").groupBy("batch_id").count()
+    assert sorted(map(tuple, counts.collect())) == [(0, 2), (1, 2)]
+
+
+def test_failed_batch_is_redone_once(spark, tmp_path):
+    """The message sink fails after the report was written; the next run repeats the batch."""
+    source = Feed(spark, tmp_path / "a")
+    source.add(*ROWS)
+    out = tmp_path / "a"
+
+    def broken(rows, batch_id):
+        raise RuntimeError("sink is down")
+
+    with pytest.raises(Exception, match="sink is down"):
+        start_market_report(
+            source.trades(),
+            feed.dim(spark, *DIM),
+            f"{out}/checkpoint",
+            table_sink(f"{out}/report"),
+            table_sink(f"{out}/anomalies"),
+            broken,
+            trigger=ONCE,
+        ).awaitTermination()
+    assert spark.read.parquet(f"{out}/report").count() == 3
+    _fan_out(spark, source, out).awaitTermination()
+
+    calm = Feed(spark, tmp_path / "b")
+    calm.add(*ROWS)
+    _fan_out(spark, calm, tmp_path / "b").awaitTermination()
+    again, once = _outputs(spark, out), _outputs(spark, tmp_path / "b")
+    assert again["report"] == once["report"] and len(once["report"]) == 3
+    assert len(again["anomalies"]) == len(again["messages"]) == 2
+
+
+def test_messages_from_the_archive(spark, tmp_path):
+    """With sums only in the state, the archive gives the same lists."""
+    source = Feed(spark, tmp_path)
+    source.add(*ROWS)
+    records = sources.record_files(spark, source.path)
+    start_archive(records, f"{tmp_path}/archive", f"{tmp_path}/archive_c", trigger=ONCE).awaitTermination()
+
+    def archive(start, end):
+        return archived_trades(spark, f"{tmp_path}/archive", "H0STCNT0", start, end)
+
+    for name, options in (("state", {}), ("lookup", {"archive": archive})):
+        _fan_out(spark, source, tmp_path / name, **options).awaitTermination()
+    state, lookup = (spark.read.parquet(f"{tmp_path}/{n}/anomalies").collect() for n in ("state", "lookup"))
+    pick = lambda rows: sorted((r.stock_code, r.sector, sorted(r.raw_messages)) for r in rows)
+    assert pick(state) == pick(lookup) and len(lookup) == 2
+    _fan_out(spark, source, tmp_path / "none", archive=archive, spread=9.0).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/none/report").count() == 3
+
+
+def test_frames_as_a_stream(spark, tmp_path):
+    from tickloom.operators import frames
+
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.txt").write_text("0|H0STMKO0|001|1^2\n{}\n0|H0STANC0|001|" + "^".join("1" * 15) + "\n")
+    lines = sources.frame_files(spark, str(folder))
+    for name, rows in (("dead", frames.dead_letters(lines)), ("sent", frames.publish_rows(lines))):
+        start_table(rows, f"{tmp_path}/{name}", f"{tmp_path}/{name}_c", trigger=ONCE).awaitTermination()
+    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/dead").collect()] == ["unknown_tr"]
+    assert [r.topic for r in spark.read.parquet(f"{tmp_path}/sent").collect()] == ["H0STANC0"]
+    binary = feed.records(spark, [feed.record("1", "0|H0STMKO0|001|1", 0, 0)])
+    assert frames.dead_letters(sources.frames_of(binary)).count() == 1
+
+
+def test_archive_stream_is_partitioned_and_exact(spark, tmp_path):
+    source = Feed(spark, tmp_path)
+    for step in range(2):
+        source.add(*[("1", n, n, n) for n in range(5)])
+        records = sources.record_files(spark, source.path)
+        start_archive(records, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE).awaitTermination()
+        assert read_archive(spark, f"{tmp_path}/t").count() == 5 * (step + 1)
+    row = read_archive(spark, f"{tmp_path}/t", "H0STCNT0").orderBy("metadata.offset").first()
+    assert row.raw_data == feed.message(0, 0) and tuple(row.metadata) == ("H0STCNT0", 0, 0, "1")
+    assert row.insert_date[:10] == str(row.insert_day)
+    assert read_archive(spark, f"{tmp_path}/t", "none").count() == 0
