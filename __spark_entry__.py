@@ -150,7 +150,7 @@ def q08_sector_explode(spark: SparkSession, folder: str) -> DataFrame:
 
 def q09_sector_join(spark: SparkSession, folder: str) -> DataFrame:
     parsed = trades.parse_trades(_records(spark, folder), keep=market.IDS)
-    joined = sectors.enrich_skewed(parsed, _dim(spark, folder), spread_on=market.IDS)
+    joined = sectors.enrich_rows(parsed, store(_dim(spark, folder), "q09"), spread_on=market.IDS)
     return joined.select(F.col("offset").alias("event_id"), "stock_code", "sector", "name", "message_size_bytes")
 
 
@@ -233,7 +233,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def q11_vwap_stream(spark: SparkSession, folder: str) -> DataFrame:
     out = run_folder(spark, "q11")
-    dim = sectors.checked_broadcast(_dim(spark, folder))
+    dim = joins.checked_broadcast(store(_dim(spark, folder), "q11"))
     stats = stream_stats(_trade_stream(spark, _event_stream(spark, folder)), dim)
     rows = stats.select(*vwap.REPORT_COLUMNS, "report_date")
     start_table(rows, f"{out}/table", f"{out}/checkpoint", ("report_date",), ONCE).awaitTermination()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import raw_messages as raw
-from tickloom.operators import sectors, trades, vwap
+from tickloom.operators import joins, sectors, trades, vwap
 from tickloom.plans import market
 
 SPIKE = [("005930", 70200, 150, 0), ("005930", 73000, 500, 5), ("005930", 80000, 200, 10)]
@@ -143,17 +143,18 @@ def test_skewed_join_is_whole(spark):
     parsed = trades.parse_trades(feed.records(spark, rows), keep=market.IDS)
     dim = feed.dim(spark, ("hot", "a", "Hot"), ("hot", "b", "Hot"), ("cold", "a", "Cold"))
     plain = sectors.enrich(parsed, dim)
-    sliced = sectors.enrich_skewed(parsed, dim, market.IDS, rows_per_slice=50)
-    assert sliced.columns == plain.columns
+    small = sectors.enrich_rows(parsed, dim, market.IDS)
+    sliced = sectors.enrich_rows(parsed, dim, market.IDS, limit=0, rows_per_slice=50)
+    assert sliced.columns == small.columns == plain.columns
     pick = lambda df: sorted(map(str, df.select("offset", "stock_code", "sector", "name").collect()))
-    assert pick(sliced) == pick(plain) and len(pick(sliced)) == 300 * 2 + 5 + 120
+    assert pick(sliced) == pick(small) == pick(plain) and len(pick(sliced)) == 300 * 2 + 5 + 120
 
 
 def test_broadcast_only_below_the_limit(spark):
     dim = feed.dim(spark, ("1", "a", "one"), ("2", "b", "two"))
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan(sectors.checked_broadcast(dim))
-    assert "ResolvedHint" not in plan(sectors.checked_broadcast(dim, limit=10))
+    assert "ResolvedHint" in plan(joins.checked_broadcast(dim))
+    assert "ResolvedHint" not in plan(joins.checked_broadcast(dim, limit=10))
 
 
 def _odd_records(spark, count):
@@ -166,10 +167,11 @@ def test_long_message_lists_are_cut_but_whole(spark, per_list, parts):
     records = _odd_records(spark, 100)
     found = vwap.anomalies(market.market_stats(records))
     parsed = trades.parse_trades(records, keep=market.IDS)
-    rows = raw.with_messages(found, parsed, per_list=per_list, slices=8).collect()
-    assert {r.parts for r in rows} == {parts} and len(rows) == parts
     expected = sorted(r.original_message for r in parsed.filter("stock_code = '1'").collect())
-    assert sorted(m for r in rows for m in r.raw_messages) == expected
+    for limit in (0, raw.BROADCAST_LIMIT):
+        rows = raw.with_messages(found, parsed, per_list=per_list, slices=8, limit=limit).collect()
+        assert {r.parts for r in rows} == {parts} and len(rows) == parts
+        assert sorted(m for r in rows for m in r.raw_messages) == expected
 
     sliced = vwap.window_sums(parsed, slices=8)
     found = vwap.anomalies(vwap.window_stats(vwap.merge_slices(sliced)))

@@ -226,12 +226,13 @@ def test_frames_as_a_stream(spark, tmp_path):
     assert frames.dead_letters(sources.frames_of(binary)).count() == 1
 
 
-def test_archive_stream_is_partitioned_and_exact(spark, tmp_path):
+@pytest.mark.parametrize("writers", [None, 2])
+def test_archive_stream_is_partitioned_and_exact(spark, tmp_path, writers):
     source = Feed(spark, tmp_path)
     for step in range(2):
         source.add(*[("1", n, n, n) for n in range(5)])
         records = sources.record_files(spark, source.path)
-        start_archive(records, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE).awaitTermination()
+        start_archive(records, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE, writers=writers).awaitTermination()
         assert read_archive(spark, f"{tmp_path}/t").count() == 5 * (step + 1)
     row = read_archive(spark, f"{tmp_path}/t", "H0STCNT0").orderBy("metadata.offset").first()
     assert row.raw_data == feed.message(0, 0) and tuple(row.metadata) == ("H0STCNT0", 0, 0, "1")

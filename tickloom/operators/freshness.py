@@ -45,7 +45,8 @@ def freshness(
     seconds. Topics without documents today are listed as unhealthy.
     """
     moment = F.current_timestamp() if now is None else now
-    expected = documents.sparkSession.createDataFrame([(t,) for t in topics], "topic string")
+    listed = F.explode(F.array(*[F.lit(topic) for topic in topics]))
+    expected = documents.sparkSession.range(1).select(listed.alias("topic"))
     latest = (
         arrived_today(documents.filter(F.col("topic").isin(list(topics))), moment, zone)
         .groupBy("topic")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.joins import BROADCAST_LIMIT, is_small
 from tickloom.operators.vwap import WINDOW
 
 MESSAGES_PER_LIST = 100_000
@@ -29,29 +30,38 @@ def with_messages(
     spread_on: Sequence[str] = ("partition", "offset"),
     per_list: int = MESSAGES_PER_LIST,
     slices: int = SLICES,
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The given windows with their messages: ``raw_messages, part, parts`` added.
 
     ``windows`` (with ``window, stock_code, message_count``) are the few windows in question, so
-    only their messages are gathered, not those of all windows. One window gives one row unless it
-    has more than ``per_list`` messages; then ``parts`` rows hold them all. The join is cut into
-    ``slices`` so that the messages of one hot window spread over that many tasks.
+    only their messages are gathered, not those of all windows. They are measured and should be
+    stored or cached: below ``limit`` bytes they are broadcast and all other trades are dropped
+    before any shuffle. Beyond that the join shuffles, cut into ``slices`` so that the messages of
+    one hot window spread over that many tasks.
+
+    One window gives one row unless it has more than ``per_list`` messages; then ``parts`` rows hold
+    them all.
     """
-    wanted = windows.withColumn("parts", _parts(per_list)).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice")
-    )
+    wanted = windows.withColumn("parts", _parts(per_list))
     spread = F.xxhash64(*spread_on)
     timed = trades.select(
         F.window("timestamp", width).alias("window"),
         "stock_code",
         "original_message",
         spread.alias("_spread"),
-        F.pmod(spread, F.lit(slices)).cast("int").alias("_slice"),
-    )
-    found = timed.join(wanted, ["window", "stock_code", "_slice"]).withColumn(
-        "part", F.pmod(F.shiftrightunsigned("_spread", 16), F.col("parts")).cast("int")
     )
-    return _lists(found, windows, F.collect_list("original_message"))
+    keys = ["window", "stock_code"]
+    if is_small(windows, limit):
+        found = timed.join(F.broadcast(wanted), keys)
+    else:
+        slice_of = F.pmod("_spread", F.lit(slices)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+        found = timed.withColumn("_slice", slice_of).join(
+            wanted.select("*", every.alias("_slice")), [*keys, "_slice"]
+        )
+    part = F.pmod(F.shiftrightunsigned("_spread", 16), F.col("parts")).cast("int")
+    return _lists(found.withColumn("part", part), windows, F.collect_list("original_message"))
 
 
 def with_sliced_messages(

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.joins import BROADCAST_LIMIT, ROWS_PER_SLICE, is_small, sliced_left_join
+
 # Fixed value: how a link shows the stock it leads to.
 STOCK_LINK = r"code=(\d{6})"
 # An anchor with its target and its text.
 ANCHOR = r'<a [^>]*href="([^"]+)"[^>]*>([^<]*)</a>'
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-ROWS_PER_SLICE = 5_000_000
 SECTOR_PAGES_PER_ROW = 10_000
 
 
@@ -22,17 +22,6 @@ def sector_rows(entries: DataFrame) -> DataFrame:
     return entries.select("stock_code", F.explode("sectors").alias("sector"), "name").dropDuplicates()
 
 
-def checked_broadcast(dim: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only if the measured text size stays below ``limit``.
-
-    The size comes from one small aggregate over the dimension. Beyond the limit the dimension is
-    returned as it is, and the join shuffles.
-    """
-    row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    size = dim.agg(F.sum(row_bytes)).first()[0] or 0
-    return F.broadcast(dim) if size <= limit else dim
-
-
 def enrich(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Left join on the stock: all columns of ``rows`` plus ``sector`` and ``name``."""
     return rows.join(dim.select("stock_code", "sector", "name"), "stock_code", "left").select(
@@ -40,37 +29,23 @@ def enrich(rows: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def enrich_skewed(
+def enrich_rows(
     rows: DataFrame,
     dim: DataFrame,
     spread_on: Sequence[str],
+    limit: int = BROADCAST_LIMIT,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """:func:`enrich` for batch rows where single stocks may hold a large part of all rows.
+    """:func:`enrich` for single trades, of which one stock may hold a large part.
 
-    Stocks with more than ``rows_per_slice`` rows are cut into slices by a hash of the
-    ``spread_on`` columns, and only their dimension rows are repeated per slice. The list of such
-    stocks has at most one entry per ``rows_per_slice`` rows (200,000 for 10^12 rows), which bounds
-    its broadcast. A small dimension still becomes a broadcast join at run time.
+    A dimension below ``limit`` bytes is broadcast and the trades stay where they are. Beyond that
+    both sides are shuffled, hot stocks in slices. ``dim`` is measured, so it should be stored.
     """
-    counts = rows.groupBy("stock_code").agg(F.count("*").alias("_rows"))
-    hot = counts.filter(F.col("_rows") > rows_per_slice).select(
-        F.col("stock_code").alias("_hot"),
-        F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias("_slices"),
-    )
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    sliced_rows = rows.join(
-        F.broadcast(hot), F.col("stock_code").eqNullSafe(F.col("_hot")), "left"
-    ).withColumn("_slice", F.pmod(F.xxhash64(*spread_on), slices).cast("int"))
-    sliced_dim = (
-        dim.select("stock_code", "sector", "name")
-        .join(F.broadcast(hot), F.col("stock_code") == F.col("_hot"), "left")
-        .select("*", F.explode(F.sequence(F.lit(0), slices - 1)).alias("_slice"))
-        .select("stock_code", "sector", "name", "_slice")
-    )
-    return sliced_rows.join(sliced_dim, ["stock_code", "_slice"], "left").select(
-        *rows.columns, "sector", "name"
-    )
+    if is_small(dim, limit):
+        return enrich(rows, F.broadcast(dim))
+    wanted = dim.select("stock_code", "sector", "name")
+    joined = sliced_left_join(rows, wanted, "stock_code", spread_on, rows_per_slice)
+    return joined.select(*rows.columns, "sector", "name")
 
 
 def sector_links(

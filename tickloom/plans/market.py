@@ -8,6 +8,7 @@ from tickloom.operators import raw_messages as raw
 from tickloom.operators import vwap
 from tickloom.operators.sectors import enrich
 from tickloom.operators.trades import parse_trades
+from tickloom.session import store
 
 IDS = ("partition", "offset")
 
@@ -24,9 +25,12 @@ def vwap_report(records: DataFrame, dim: DataFrame, width: str = vwap.WINDOW) ->
 def price_anomalies(
     records: DataFrame, dim: DataFrame, width: str = vwap.WINDOW, **thresholds: float
 ) -> DataFrame:
-    """Anomalies with their messages. The first pass reads and shuffles sums only; the second one
-    gathers messages for the anomalous windows alone."""
-    found = vwap.anomalies(market_stats(records, width), **thresholds)
+    """Anomalies with their messages, in two passes over the records.
+
+    The first pass shuffles sums only and stores the anomalous windows in the shared folder; it runs
+    when this function is called. The second one gathers the messages of those windows alone.
+    """
+    found = store(vwap.anomalies(market_stats(records, width), **thresholds), "anomalies")
     with_messages = raw.with_messages(found, parse_trades(records, keep=IDS), width, IDS)
     return vwap.anomaly_rows(enrich(with_messages, dim))
 
