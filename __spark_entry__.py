@@ -17,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickloom.functions.clock import local_text, trade_instant  # noqa: E402
 from tickloom.functions.layouts import EXPECTED, ORDER_BOOK, TRADE, Layout  # noqa: E402
-from tickloom.operators import archive, freshness, frames, sectors, trades, vwap  # noqa: E402
+from tickloom.operators import archive, frames, freshness, joins, sectors, trades, vwap  # noqa: E402
 from tickloom.plans import market, tables  # noqa: E402
 from tickloom.session import run_folder, store  # noqa: E402
 from tickloom.sources.archive import read_archive, write_archive  # noqa: E402
