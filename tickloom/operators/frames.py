@@ -6,14 +6,14 @@ message. All functions are projections and filters: no shuffle, one pass, batch
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.layouts import EXPECTED, LAYOUTS, LEVELS, ORDER_BOOK, TRADE, Layout
-from tickloom.functions.numbers import as_message_text, breaks_policy, by_policy, to_decimal
+from tickloom.functions.numbers import as_message_text, breaks_policy, by_policy, number_mark, to_decimal
 
 
 def frame_class(frame: Column) -> Column:
@@ -27,10 +27,13 @@ def classify(frames: DataFrame, frame_col: str = "frame") -> DataFrame:
 
 
 def split_frames(
-    frames: DataFrame, frame_col: str = "frame", record_width: int | None = None
+    frames: DataFrame,
+    frame_col: str = "frame",
+    record_width: int | None = None,
+    number: Callable[[Column], Column] = to_decimal,
 ) -> DataFrame:
     """One row per record of a frame: ``frame_class``, ``tr_id``, ``parts`` (payload values as text)
-    and ``numbers`` (the same values as decimals, NULL where they are none).
+    and ``numbers`` (the same values as decimals, or as ``number`` gives them; NULL for other text).
 
     A frame may carry several records. By default only the first one is taken; with
     ``record_width`` the payload is cut into records of that many values. Lines that are no data,
@@ -55,7 +58,7 @@ def split_frames(
             kind.alias("frame_class"),
             F.get(fields, F.lit(1)).alias("tr_id"),
             parts.alias("parts"),
-            F.transform(parts, to_decimal).alias("numbers"),
+            F.transform(parts, number).alias("numbers"),
         ),
     )
     return frames.select("*", F.inline(typed))
@@ -152,7 +155,7 @@ def dead_letters(
     record_width: int | None = None,
 ) -> DataFrame:
     """Frames that no layout can decode, with ``reason``. Control messages are not among them."""
-    split = split_frames(frames, frame_col, record_width)
+    split = split_frames(frames, frame_col, record_width, number_mark)
     found = split.withColumn("reason", _reason(layouts)).filter("reason is not null")
     return found.drop("parts", "numbers")
 
@@ -168,7 +171,7 @@ def publish_rows(
     Numbers stay the text that was received, so no digit is added or lost. All kinds are handled
     in one pass over the frames.
     """
-    split = split_frames(frames, frame_col, record_width)
+    split = split_frames(frames, frame_col, record_width, number_mark)
     good = split.filter((F.col("frame_class") == "data") & _reason(layouts).isNull())
     value = F.lit(None).cast("string")
     for layout in layouts:
