@@ -66,17 +66,21 @@ def start_market_report(
 
     def write(closed: DataFrame, batch_id: int) -> None:
         closed.persist()
+        odd = None
         try:
             # One job computes all closed windows and commits their state; most batches have none.
             if closed.count() == 0:
                 return
             merged = closed if archive is not None else vwap.merge_slices(closed)
             stats = with_report_date(vwap.window_stats(merged))
-            odd = enrich(anomalies_with_messages(stats, closed), dim)
+            # Two sinks take the anomalies; their messages are gathered once.
+            odd = enrich(anomalies_with_messages(stats, closed), dim).persist()
             report_sink(enrich(stats, dim).select(*vwap.REPORT_COLUMNS, "report_date"), batch_id)
             anomaly_sink(odd.select(*vwap.MESSAGE_FIELDS, "part", "parts", "report_date"), batch_id)
             message_sink(vwap.anomaly_messages(odd, keep=["report_date"]), batch_id)
         finally:
+            if odd is not None:
+                odd.unpersist()
             closed.unpersist()
 
     writer = sums.writeStream.outputMode("append").foreachBatch(write)
