@@ -25,6 +25,14 @@ from tickloom.sources.sinks import table_sink  # noqa: E402
 from tickloom.streaming.market_report import start_market_report, stream_stats  # noqa: E402
 from tickloom.streaming.tables import start_archive, start_table  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tickloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the corpus operators are an optional part
+    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "tickloom"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR = "1 hour"
@@ -376,7 +384,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in QUERIES}
+    own = {query.__name__: query for query in QUERIES}
+    if llm_queries is None:
+        return own
+    return own | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
 
 
 # --- SQL ----------------------------------------------------------------------------------------
@@ -570,6 +581,10 @@ _CHECKS = f"""checks AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm_queries.oracle_sql() if llm_queries is not None else {})
+
+
+def _own_sql() -> dict[str, str]:
     closed_30s, closed_hour = (_CLOSED.format(width=w) for w in ("30 seconds", "1 hour"))
     late = """(event_type <> 'error' OR time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
       > (SELECT MAX(ts) FROM events WHERE event_type <> 'error') - INTERVAL '1 minute')"""

@@ -19,10 +19,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert {query.__name__ for query in entry.QUERIES} <= set(SQL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [query.__name__ for query in entry.QUERIES])
 def test_query(spark, duck, name):
     rows = entry.queries()[name](spark, FOLDER).toPandas()
     assert len(rows) > 0 or name in ("q12_anomalies", "q13_anomaly_envelope", "q23_report_fanout")

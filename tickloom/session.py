@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Read in this order. The first can be set at any time, the second only before a session starts.
+SHARED_KEYS = ("spark.tickloom.shared", "spark.checkpoint.dir")
 
 
-def build_session(app: str = "tickloom", zone: str = "Asia/Seoul", **conf: str) -> SparkSession:
+def build_session(
+    app: str = "tickloom", zone: str = "Asia/Seoul", shared: str | None = None, **conf: str
+) -> SparkSession:
     """A session in the market's time zone. Extra settings are given as ``spark__x__y="v"``.
 
-    Shuffle width is left to the cluster (``spark.sql.shuffle.partitions``); adaptive execution
-    merges small partitions and splits skewed ones. State lives in RocksDB, off the JVM heap.
+    ``shared`` is a folder that the driver and all executors see; it may be left out where the
+    cluster names one in ``spark.checkpoint.dir``. Shuffle width is left to the cluster
+    (``spark.sql.shuffle.partitions``); adaptive execution merges small partitions and splits skewed
+    ones. State lives in RocksDB, off the JVM heap.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,25 +28,23 @@ def build_session(app: str = "tickloom", zone: str = "Asia/Seoul", **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
+    if shared is not None:
+        builder = builder.config(SHARED_KEYS[0], shared)
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir`` of the session.
-
-    Where it is unset, a temporary folder is made and noted in the session, but only in local mode:
-    on a cluster a folder of the driver's machine is of no use to the executors.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    root = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder that the driver and all executors see, as the session names it."""
+    for key in SHARED_KEYS:
+        root = spark.conf.get(key, None)
+        if root:
+            return root.rstrip("/")
+    raise ValueError(
+        f"no shared folder: set {SHARED_KEYS[1]} before the session starts, or "
+        f'spark.conf.set("{SHARED_KEYS[0]}", folder), to a folder that all executors see'
+    )
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
