@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import simhash
+from tickloom.llm import pieces, simhash, token_orc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The place of a public vocabulary file. Workers open it at the same path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
+    return token_orc.token_digests(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -27,7 +42,7 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op7_simhash,)
+QUERIES: tuple[Query, ...] = (op6_sentencepiece, op7_simhash, op8_token_orc)
 
 
 def queries() -> dict[str, Query]:
