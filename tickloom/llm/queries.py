@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import pieces, simhash, token_orc
+from tickloom.llm import pieces, simhash, token_orc, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,12 +42,34 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op6_sentencepiece, op7_simhash, op8_token_orc)
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archive_round_trip(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES: tuple[Query, ...] = (op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
 
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in QUERIES}
 
 
+# --- SQL ----------------------------------------------------------------------------------------
+
+# Base 32 of 20 bytes: 32 groups of five bits, taken from the hexadecimal digest.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + CAST(list_sum(list_transform(range(5), lambda b:
+    ((instr('0123456789abcdef', substr(sha, CAST((i * 5 + b) // 4 + 1 AS BIGINT), 1)) - 1) >> CAST(3 - (i * 5 + b) % 4 AS INTEGER)) % 2
+    << CAST(4 - b AS INTEGER))) AS BIGINT), 1)), '')"""
+
+_WARC = f"""WITH hashed AS (
+  SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS sha FROM pages),
+named AS (SELECT *, MAX(page_id) OVER (PARTITION BY sha) AS top FROM hashed)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM named"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": _WARC}
