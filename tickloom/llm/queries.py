@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import pieces, simhash, token_orc, warc
+from tickloom.llm import cover_tree, pieces, simhash, token_orc, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.top_products(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
@@ -47,7 +51,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
+QUERIES: tuple[Query, ...] = (op3_topk, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
 
 
 def queries() -> dict[str, Query]:
@@ -71,5 +75,17 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM named"""
 
 
+_TOPK = """WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": _WARC}
+    return {"op3_topk": _TOPK, "op10_warc": _WARC}
