@@ -69,9 +69,9 @@ def _kept(grams: Column, least: Column, window: int) -> Column:
     return F.filter(F.when(F.size(least) > 0, _upto(F.size(grams) - 1)), is_least)
 
 
-def _fingerprints(rows: DataFrame, tokens: str, window: int) -> Column:
-    """Adds nothing; gives the fingerprints of a word column: window, hash, gram position, the words that a
-    window around the gram can hold, and the position of the first of them."""
+def _fingerprints(tokens: str, window: int) -> Column:
+    """The fingerprints of a word column: window length, hash, gram position, the words that windows around
+    the gram can hold, and the position of the first of them."""
     k = gram_length(window)
     w = window - k + 1
     here, g, m = F.col(tokens), F.col(f"_g{window}"), F.col(f"_m{window}")
@@ -96,7 +96,7 @@ def _winnowed(rows: DataFrame, tokens: str, windows: list[int], keep: list[str])
         rows = rows.withColumn(f"_g{t}", _grams(F.col(tokens), t))
     for t in windows:
         rows = rows.withColumn(f"_m{t}", _least(F.col(f"_g{t}"), t))
-    return rows.select(*keep, F.concat(*[_fingerprints(rows, tokens, t) for t in windows]).alias("fps"))
+    return rows.select(*keep, F.concat(*[_fingerprints(tokens, t) for t in windows]).alias("fps"))
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
@@ -116,8 +116,8 @@ def contamination(
     window: int = WINDOW,
     share: int = SHARE,
 ) -> DataFrame:
-    """``id, text_key, n_words, n_hit, items (sorted ids), n_items, contaminated`` for each different row
-    of id and text; ``text_key`` is the hash of the text."""
+    """``id, text_key, n_words, n_hit, n_items, items (sorted ids), contaminated`` for each document;
+    ``text_key`` is the hash of the text."""
     items = store(_items(benchmark, item_id, item_text, window), "items")
     lengths = [r["t"] for r in items.select("t").distinct().orderBy("t").collect()]  # ``window`` values at most
     rows = docs.select(
@@ -125,42 +125,34 @@ def contamination(
         F.xxhash64(F.col(text)).alias("text_key"),
         words(F.col(text)).alias("_ws"),
     ).withColumn("n_words", F.size("_ws").cast("long"))
-    if not lengths:
-        return _result(rows.select("id", "text_key", "n_words").distinct(), None, share)
-    known = [
-        _winnowed(items.filter(F.col("t") == t), "ws", [t], ["item", "name"]).select("item", "name", F.inline("fps"))
-        for t in lengths
-    ]
-    fingerprints = known[0]
-    for more in known[1:]:
-        fingerprints = fingerprints.union(more)
-    marks = store(
-        fingerprints.select(
-            "item", "name", F.col("t").alias("i_t"), F.col("h").alias("i_h"), F.col("p").alias("i_p"),
-            F.col("first").alias("i_first"), F.col("near").alias("i_near"),
-        ),
-        "item-fingerprints",
-    )
-    # One row without a hash stands for the document itself.
-    none = F.struct(
-        F.lit(None).cast("int").alias("t"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("p"),
-        F.lit(None).cast("int").alias("first"), F.lit(None).cast("array<string>").alias("near"),
+    marks = None
+    for t in lengths or [window]:
+        some = _winnowed(items.filter(F.col("t") == t), "ws", [t], ["item", "name"]).select("item", "name", F.inline("fps"))
+        marks = some if marks is None else marks.union(some)
+    renamed = {"t": "i_t", "h": "i_h", "p": "i_p", "first": "i_first", "near": "i_near"}
+    marks = store(marks.withColumnsRenamed(renamed), "item-fingerprints")
+    # One row with length 0, which meets no item, stands for the document itself.
+    own = F.struct(
+        F.lit(0).alias("t"),
+        F.xxhash64("id", "text_key").alias("h"),
+        F.lit(0).alias("p"),
+        F.lit(0).alias("first"),
+        F.array().cast("array<string>").alias("near"),
     )
     keep = ["id", "text_key", "n_words"]
-    spread = _winnowed(rows, "_ws", lengths, keep).select(*keep, F.inline(F.concat(F.array(none), F.col("fps"))))
-    self_rows = spread.filter("h is null").select(*keep, F.lit(None).cast("long").alias("item"), F.lit(None).cast("string").alias("name"), F.array().cast("array<int>").alias("starts"), F.lit(0).alias("t"))
-    met = spread.join(
-        checked_broadcast(marks), (F.col("h") == F.col("i_h")) & (F.col("t") == F.col("i_t")), "left"
-    ).filter("h is null or i_h is not null")
+    winnowed = _winnowed(rows, "_ws", lengths or [window], keep)
+    spread = winnowed.select(*keep, F.inline(F.concat(F.array(own), F.col("fps"))))
+    on = (F.col("h") == F.col("i_h")) & (F.col("t") == F.col("i_t"))
+    met = spread.join(checked_broadcast(marks), on, "left").filter("t = 0 or i_h is not null")
     found = store(
-        met.select(*keep, "item", "name", "t", _starts(window).alias("starts")).filter("item is null or size(starts) > 0"),
+        met.select(*keep, "item", "name", "t", _starts().alias("starts")).filter("t = 0 or size(starts) > 0"),
         "windows",
     )
-    del self_rows
-    return _result(found.filter("item is null").select(*keep).distinct(), found.filter("item is not null"), share)
+    every = found.filter("t = 0").groupBy("id", "text_key", "n_words").agg(F.count("*").cast("int").alias("copies"))
+    return _result(every, found.filter("t > 0"), share)
 
 
-def _starts(window: int) -> Column:
+def _starts() -> Column:
     """Extends a hit: first words of the document's windows around the gram that the item has as well."""
     t, p, q = F.col("t"), F.col("p"), F.col("i_p")
 
@@ -175,36 +167,37 @@ def _starts(window: int) -> Column:
     return F.when(F.col("i_h").isNotNull(), F.transform(backs, lambda back: p - back))
 
 
-def _result(all_docs: DataFrame, found: DataFrame | None, share: int) -> DataFrame:
+def _result(every: DataFrame, found: DataFrame, share: int) -> DataFrame:
     key = ["id", "text_key"]
-    if found is None:
-        counts = all_docs.withColumn("n_hit", F.lit(0).cast("long")).withColumn("n_items", F.lit(0).cast("long"))
-        joined = counts.withColumn("items", F.array().cast("array<string>"))
-    else:
-        covered = found.select(
-            *key, F.explode("starts").alias("start"), "t"
-        ).distinct().select(*key, F.explode(F.expr("sequence(start, start + t - 1)")).alias("word"))
-        hits = covered.distinct().groupBy(*key).agg(F.count("*").alias("n_hit"))
-        named = found.select(*key, "item", "name").distinct().groupBy(*key).agg(
-            F.sort_array(F.collect_list("name")).alias("items"), F.count("*").alias("n_items")
-        )
-        both = hits.join(named, _same(hits, named, key)).select(
-            hits["id"].alias("h_id"), hits["text_key"].alias("h_key"), "n_hit", "items", "n_items"
-        )
-        joined = all_docs.join(
-            both, all_docs["id"].eqNullSafe(both["h_id"]) & all_docs["text_key"].eqNullSafe(both["h_key"]), "left"
-        ).select(
-            *key, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
-            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        )
+    spans = found.select(*key, F.explode("starts").alias("start"), "t").distinct()
+    covered = spans.select(*key, F.explode(F.expr("sequence(start, start + t - 1)")).alias("word")).distinct()
+    hits = covered.groupBy(*key).agg(F.count("*").alias("n_hit"))
+    named = (
+        found.select(*key, "item", "name")
+        .distinct()
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list("name")).alias("items"), F.count("*").alias("n_items"))
+    )
+    both = hits.alias("h").join(named.alias("n"), _same("h", "n", key)).select("h.*", "items", "n_items")
+    joined = every.alias("e").join(both.alias("b"), _same("e", "b", key), "left")
+    nothing = F.lit(0).cast("long")
+    rows = joined.select(
+        "e.*",
+        F.coalesce("n_hit", nothing).alias("n_hit"),
+        F.coalesce("n_items", nothing).alias("n_items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
     dirty = (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
-    return joined.withColumn("contaminated", dirty)
+    # Repeated rows were counted once; each gets the result.
+    return rows.select(
+        *key, "n_words", "n_hit", "n_items", "items", dirty.alias("contaminated"), F.explode(F.sequence(F.lit(1), "copies"))
+    ).drop("col")
 
 
-def _same(a: DataFrame, b: DataFrame, key: list[str]) -> Column:
+def _same(a: str, b: str, key: list[str]) -> Column:
     condition = F.lit(True)
     for name in key:
-        condition = condition & a[name].eqNullSafe(b[name])
+        condition = condition & F.col(f"{a}.{name}").eqNullSafe(F.col(f"{b}.{name}"))
     return condition
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import cover_tree, pieces, simhash, token_orc, warc
+from tickloom.llm import cover_tree, decontaminate, pieces, simhash, token_orc, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.top_products(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -51,7 +63,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op3_topk, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
+QUERIES: tuple[Query, ...] = (op1_decontaminate, op3_topk, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
 
 
 def queries() -> dict[str, Query]:
@@ -75,6 +87,23 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM named"""
 
 
+_WORDS = r"""regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_DECONTAMINATE = f"""WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT item_id, ws, least(len(ws), 13) AS t FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, t, array_to_string(ws[s + 1 : s + t], ' ') AS w
+  FROM (SELECT *, UNNEST(range(len(ws) - t + 1)) AS s FROM i)),
+dw AS (SELECT doc_id, t, s, array_to_string(ws[s + 1 : s + t], ' ') AS w
+  FROM (SELECT doc_id, ws, t, UNNEST(range(len(ws) - t + 1)) AS s FROM d, (SELECT DISTINCT t FROM i) WHERE len(ws) >= t)),
+met AS (SELECT doc_id, item_id, s, dw.t AS t FROM dw JOIN iw ON dw.w = iw.w AND dw.t = iw.t),
+hit AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, UNNEST(range(s, s + t)) AS p FROM met) GROUP BY doc_id),
+named AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
 _TOPK = """WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -88,4 +117,4 @@ WHERE rank <= 5"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": _TOPK, "op10_warc": _WARC}
+    return {"op1_decontaminate": _DECONTAMINATE, "op3_topk": _TOPK, "op10_warc": _WARC}
