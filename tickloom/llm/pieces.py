@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE = 500_000
+CACHE = 300_000  # words in each of two generations
 PAIRS = 2_000_000
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -64,6 +64,7 @@ class Pieces:
             self.shorter[i] = next((self.ids[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids), -1)
         self.apart: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
         self.chunks: dict[str, tuple[str, str]] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -189,12 +190,22 @@ class Pieces:
         first = next((i for i in ids if i not in self.special), None)
         return text[1:] if first is not None and self.text[first].startswith(MARK) else text
 
-    def _kept(self, cache: dict[str, tuple[str, str]], key: str, chunk: str) -> tuple[str, str]:
+    def _entry(self, chunk: str) -> tuple[str, str]:
         ids = self.encode_chunk(chunk)
-        entry = (" ".join(map(str, ids)), self._spell(ids))
-        if len(cache) >= CACHE:
-            cache.clear()
-        cache[key] = entry
+        return " ".join(map(str, ids)), self._spell(ids)
+
+    def _word(self, word: str) -> tuple[str, str]:
+        """A word that the cache lacks. A full cache becomes the older generation, whose words return when
+        they are met again."""
+        if len(self.words) >= CACHE:
+            self.older, self.words = self.words, {}
+        entry = self.words[word] = self.older.get(word) or self._entry(MARK + word)
+        return entry
+
+    def _chunk(self, chunk: str) -> tuple[str, str]:
+        if len(self.chunks) >= CACHE // 10:
+            self.chunks.clear()
+        entry = self.chunks[chunk] = self._entry(chunk)
         return entry
 
     def round_trip(self, text: str) -> tuple[str, str]:
@@ -204,11 +215,11 @@ class Pieces:
         words = text.split(" ")
         if "" in words or MARK in text:
             keys = CHUNKS.findall(MARK + text.replace(" ", MARK))
-            got = [self.chunks.get(k) or self._kept(self.chunks, k, k) for k in keys]
+            got = [self.chunks.get(k) or self._chunk(k) for k in keys]
         else:
             got = list(map(self.words.get, words))
             if None in got:
-                got = [e or self.words.get(w) or self._kept(self.words, w, MARK + w) for w, e in zip(words, got, strict=True)]
+                got = [e or self.words.get(w) or self._word(w) for w, e in zip(words, got, strict=True)]
         ids = " ".join([e[0] for e in got])
         return f"{ids} {self.end}", "".join([e[1] for e in got])[1:]
 
