@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import cover_tree, decontaminate, pieces, simhash, token_orc, warc
+from tickloom.llm import cover_tree, decontaminate, pieces, pii, simhash, token_orc, toxicity, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +37,18 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.top_products(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(_table(spark, folder, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
@@ -63,7 +71,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op1_decontaminate, op3_topk, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
+QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
 
 
 def queries() -> dict[str, Query]:
