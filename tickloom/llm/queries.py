@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import cover_tree, decontaminate, pieces, pii, simhash, token_orc, toxicity, warc
+from tickloom.llm import cover_tree, decontaminate, html_text, pieces, pii, simhash, token_orc, toxicity, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,12 +66,19 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(_table(spark, folder, "pages"))
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.archive_round_trip(_table(spark, folder, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op6_sentencepiece, op7_simhash, op8_token_orc, op10_warc)
+QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op6_sentencepiece, op7_simhash, op8_token_orc, op9_html_text, op10_warc)
 
 
 def queries() -> dict[str, Query]:
