@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import cover_tree, decontaminate, html_text, pieces, pii, simhash, token_orc, toxicity, warc
+from tickloom.llm import cover_tree, decontaminate, html_text, line_dedup, pieces, pii, simhash, token_orc, toxicity, warc
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(_table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
@@ -78,7 +83,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op6_sentencepiece, op7_simhash, op8_token_orc, op9_html_text, op10_warc)
+QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op5_line_dedup, op6_sentencepiece, op7_simhash, op8_token_orc, op9_html_text, op10_warc)
 
 
 def queries() -> dict[str, Query]:
