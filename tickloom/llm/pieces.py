@@ -23,6 +23,7 @@ import heapq
 import re
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -240,11 +241,25 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
     @F.pandas_udf("array<int>")
     def of(texts: pd.Series) -> pd.Series:
         model = pieces(path)
-        return pd.Series([[int(i) for i in model.round_trip(t or "")[0].split(" ")] for t in texts], dtype=object)
+        ids = [np.fromstring(model.round_trip(t or "")[0], dtype=np.int32, sep=" ") for t in texts]
+        return pd.Series(ids, dtype=object)
 
     return docs.withColumn("ids", of(F.col(text)))
 
 
+def encoded_and_decoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Add ``ids`` and ``decoded``, both from one pass over the words."""
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        model = pieces(path)
+        trips = [model.round_trip(t or "") for t in texts]
+        ids = [np.fromstring(i, dtype=np.int32, sep=" ") for i, _ in trips]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [d for _, d in trips]})
+
+    return docs.withColumn("_d", of(F.col(text))).select(*docs.columns, "_d.*")
+
+
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the text of the ids."""
 

@@ -13,12 +13,12 @@ from tickloom.llm.shipping import ship
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     """The place of a public vocabulary file. Workers open it at the same path."""
     import public_tokenizers
 
@@ -26,7 +26,7 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
         F.col("id").alias("doc_id"),
         "n_words",
@@ -38,32 +38,32 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return cover_tree.top_products(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+    return cover_tree.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.digests(_table(spark, folder, "documents"))
+    return pii.digests(table(spark, folder, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return pieces.digests(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return pieces.digests(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
-    return token_orc.token_digests(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return token_orc.token_digests(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    found = simhash.near_duplicates(_table(spark, folder, "documents"))
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
         F.col("id").alias("doc_id"),
         simhash.hex_text(F.col("fingerprint")).alias("fingerprint"),
@@ -72,14 +72,14 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
-    found = html_text.extract(_table(spark, folder, "pages"))
+    found = html_text.extract(table(spark, folder, "pages"))
     return found.select(
         "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
     )
 
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
-    found = warc.archive_round_trip(_table(spark, folder, "pages"))
+    found = warc.archive_round_trip(table(spark, folder, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
