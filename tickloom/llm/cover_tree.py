@@ -55,6 +55,8 @@ def whole_vectors(rows: DataFrame, id_col: str, vector: str, scale: int = SCALE)
 
 
 def _matrix(rows: pd.Series) -> np.ndarray:
+    if not len(rows):
+        return np.zeros((0, 0), dtype=np.int64)
     return np.array([np.asarray(r, dtype=np.int64) for r in rows], dtype=np.int64).reshape(len(rows), -1)
 
 

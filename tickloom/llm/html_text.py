@@ -95,11 +95,11 @@ class Page:
         self.elements: list[tuple[int, int, int, str, bool, bool]] = []
         stack: list[list] = []  # tag, first piece, hashes of children, dropped, inside
         top: list[int] = []
-        at, raw = 0, ""
+        at = 0
 
         def text(value: str) -> None:
             if value:
-                value = entities.unescape(value) if "&" in value and not raw else value
+                value = entities.unescape(value) if "&" in value else value
                 self.pieces.append(value)
                 key = " ".join(value.split())
                 if key:
@@ -113,17 +113,14 @@ class Page:
             self.elements.append((mark, first, len(self.pieces), tag, dropped, inside))
             (stack[-1][2] if stack else top).append(mark)
 
-        for found in TAG.finditer(source):
+        while found := TAG.search(source, at):
             end, tag, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
-            if raw and not (end and tag.lower() == raw):
-                continue
             text(source[at : found.start()])
             at = found.end()
             if not tag:
                 continue
             tag = tag.lower()
             if end:
-                raw = ""
                 if any(e[0] == tag for e in stack):
                     while stack[-1][0] != tag:
                         close()
@@ -151,7 +148,10 @@ class Page:
             dropped = tag in DROP or (tag == "header" and not inside) or _marked(tag, attributes, inside)
             stack.append([tag, len(self.pieces), [], dropped, inside])
             if tag in RAW and not attributes.endswith("/"):
-                raw = tag
+                # What such an element holds is no markup and no text.
+                last = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+                at = last.end() if last else len(source)
+                close()
         text(source[at:])
         while stack:
             close()
@@ -232,8 +232,9 @@ def extract(
     least_pages: int = LEAST_PAGES,
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """Add ``main_text`` to the pages."""
-    rows = pages.select(F.struct(*pages.columns).alias("row"), host(F.col(url)).alias("host"), F.coalesce(html, F.lit("")).alias("html"))
+    """Add ``main_text`` to the pages, or replace a column of this name."""
+    others = [c for c in pages.columns if c != "main_text"]
+    rows = pages.select(F.struct(*others).alias("row"), host(F.col(url)).alias("host"), F.coalesce(html, F.lit("")).alias("html"))
     templates = store(site_templates(rows.select("host", "html"), least_pages, least_share), "templates")
     if is_small(templates):
         met = rows.join(F.broadcast(templates.drop("n")), "host", "left")
@@ -243,7 +244,7 @@ def extract(
     @F.pandas_udf("string")
     def of(sources: pd.Series, marks: pd.Series) -> pd.Series:
         return pd.Series(
-            [Page(s).text({m % (1 << 64) for m in known} if known is not None else frozenset()) for s, known in zip(sources, marks, strict=True)],
+            [Page(s).text({int(m) % (1 << 64) for m in known} if known is not None else frozenset()) for s, known in zip(sources, marks, strict=True)],
             dtype=object,
         )
 

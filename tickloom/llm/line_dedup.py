@@ -215,16 +215,20 @@ def line_decisions(
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: float = SIMILARITY, tile: int = TILE
 ) -> DataFrame:
-    """The documents with the text of the lines that stay, and ``n_lines, n_dropped``."""
-    gone = store(line_decisions(docs, id_col, text, limit, tile), "lines-dropped").withColumnRenamed("id", "_id")
-    met = docs.join(checked_broadcast(gone), F.col(id_col).eqNullSafe(F.col("_id")), "left").drop("_id")
-    raw = F.split(F.coalesce(text, F.lit("")), "\n")
+    """The documents with the text of the lines that stay, and ``n_lines, n_dropped`` (columns of these
+    names are replaced)."""
+    gone = store(line_decisions(docs, id_col, text, limit, tile), "lines-dropped").withColumnRenamed("id", "gone_id")
+    # The row travels as one value, so its column names cannot clash with those used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    met = rows.join(checked_broadcast(gone), F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    raw = F.split(F.coalesce("text", F.lit("")), "\n")
     stays = F.filter(raw, lambda line, at: ~F.array_contains("dropped", at))
-    count = F.size(F.filter(raw, lambda line: F.trim(F.regexp_replace(line, r"\s+", " ")) != "")).cast("long")
-    dropped = F.coalesce(F.size("dropped"), F.lit(0)).cast("long")
-    return (
-        met.withColumn("n_lines", count)
-        .withColumn("n_dropped", F.when(F.col("dropped").isNull(), F.lit(0).cast("long")).otherwise(dropped))
-        .withColumn(text, F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(stays, "\n")))
-        .drop("dropped")
+    lines = F.size(F.filter(raw, lambda line: F.trim(F.regexp_replace(line, r"\s+", " ")) != ""))
+    changed = F.col("dropped").isNotNull()
+    others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    new_text = F.when(changed, F.array_join(stays, "\n")).otherwise(F.col("text"))
+    return met.select(
+        *[new_text.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in others],
+        lines.cast("long").alias("n_lines"),
+        F.when(changed, F.size("dropped")).otherwise(0).cast("long").alias("n_dropped"),
     )

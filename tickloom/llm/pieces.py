@@ -248,7 +248,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 
 
 def encoded_and_decoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Add ``ids`` and ``decoded``, both from one pass over the words."""
+    """Add ``ids`` and ``decoded`` (or replace columns of these names), both from one pass over the words."""
 
     @F.pandas_udf("ids array<int>, decoded string")
     def of(texts: pd.Series) -> pd.DataFrame:
@@ -257,7 +257,8 @@ def encoded_and_decoded(docs: DataFrame, path: str, text: str = "text") -> DataF
         ids = [np.fromstring(i, dtype=np.int32, sep=" ") for i, _ in trips]
         return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [d for _, d in trips]})
 
-    return docs.withColumn("_d", of(F.col(text))).select(*docs.columns, "_d.*")
+    others = [c for c in docs.columns if c not in ("ids", "decoded")]
+    return docs.select(*others, of(F.col(text)).alias("_d")).select(*others, "_d.*")
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -219,9 +219,8 @@ def near_duplicates(
     tile: int = TILE,
 ) -> DataFrame:
     """``id, fingerprint (64-bit number), component``: the component is the smallest id within reach."""
-    marked = store(with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("_text")), "_text", size).select(
-        "id", F.col("_fp").alias("fp")
-    ), "simhash")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    marked = store(with_fingerprints(rows, "text", size).select("id", F.col("_fp").alias("fp")), "simhash")
     return marked.join(_classes(marked, radius, tile), "fp").select("id", F.col("fp").alias("fingerprint"), "component")
 
 
@@ -252,11 +251,10 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each component: that with the smallest id. Columns stay as they are; of repeated
     rows of that document one stays."""
-    names = docs.columns
-    full = store(with_fingerprints(docs, text, size), "simhash-rows")
-    classes = _classes(full.select(F.col(id_col).alias("id"), F.col("_fp").alias("fp")), radius, tile)
-    keepers = classes.filter("keeper").select(F.col("fp").alias("_keep_fp"), F.col("component").alias("_keep_id"))
-    kept = full.join(
-        keepers, (F.col("_fp") == F.col("_keep_fp")) & F.col(id_col).eqNullSafe(F.col("_keep_id"))
-    )
-    return kept.dropDuplicates(["_fp", id_col]).select(*names)
+    # The row travels as one value, so its column names cannot clash with those used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    full = store(with_fingerprints(rows, "text", size).drop("text"), "simhash-rows")
+    classes = _classes(full.select("id", F.col("_fp").alias("fp")), radius, tile)
+    keepers = classes.filter("keeper").select(F.col("fp").alias("keep_fp"), F.col("component").alias("keep_id"))
+    kept = full.join(keepers, (F.col("_fp") == F.col("keep_fp")) & F.col("id").eqNullSafe(F.col("keep_id")))
+    return kept.dropDuplicates(["_fp", "id"]).select("row.*")
