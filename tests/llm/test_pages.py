@@ -21,7 +21,7 @@ def odd_pages(spark, shipped):
         (0, "http://a.example/1", None, "m", 1), (1, None, "", "m", 1), (2, "http://a.example/2", "<p>x</p>" * 20_000, "m", 1),
         (3, "http://a.example/3\nX: y", "<p>ünï &amp; 漢</p>", "m", 1), (3, "http://a.example/3\nX: y", "<p>ünï &amp; 漢</p>", "m", 1),
         (4, "not a url", "<p>ünï &amp; 漢</p>", None, None), (None, "http://b.example", "<p>only</p>", None, None),
-        (None, "http://b.example", "<p>ünï &amp; 漢</p>", None, None), (5, "http://user@B.example:80/x", "<p>cut <b>off</p", "m", 1),
+        (None, "http://b.example", "<p>ünï &amp; 漢</p>", None, None), (2**60 + 1, "http://c.example/big", "big", None, None), (5, "http://user@B.example:80/x", "<p>cut <b>off</p", "m", 1),
     ]
     return spark.createDataFrame(rows, PAGES)
 
@@ -99,7 +99,7 @@ def test_salted_templates_give_the_same(spark, shipped, monkeypatch):
 
 def test_text_of_odd_pages(odd_pages):
     rows = html_text.extract(odd_pages)
-    assert rows.count() == 9 and rows.columns.count("main_text") == 1
+    assert rows.count() == 10 and rows.columns.count("main_text") == 1
     assert rows.filter("page_id in (0, 1) and main_text = ''").count() == 2
     assert rows.filter("page_id = 2").first()["main_text"] == "\n\n".join(["x"] * 20_000)
     assert rows.filter("page_id = 5").first()["main_text"] == "cut off</p"

@@ -145,7 +145,7 @@ class Page:
             if tag in VOID:
                 continue
             inside = tag in ("article", "main") or bool(stack and stack[-1][4])
-            dropped = tag in DROP or (tag == "header" and not inside) or _marked(tag, attributes, inside)
+            dropped = (bool(stack) and stack[-1][3]) or tag in DROP or (tag == "header" and not inside) or _marked(tag, attributes, inside)
             stack.append([tag, len(self.pieces), [], dropped, inside])
             if tag in RAW and not attributes.endswith("/"):
                 # What such an element holds is no markup and no text.
@@ -203,14 +203,16 @@ def host(url: Column) -> Column:
 
 def _counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        if not len(batch):
+            continue
         rows = []
         for name, source in zip(batch["host"], batch["html"], strict=True):
             page = Page(source)
             content = _signed(xxhash.xxh64_intdigest(page.text()))
             rows += [(name, _signed(mark), content) for mark in page.containers()]
             rows.append((name, None, content))
-        frame = pd.DataFrame(rows, columns=["host", "mark", "content"])
-        yield frame.astype({"mark": "Int64"})
+        hosts, marks, contents = zip(*rows, strict=True)
+        yield pd.DataFrame({"host": hosts, "mark": pd.array(marks, dtype="Int64"), "content": contents})
 
 
 def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:

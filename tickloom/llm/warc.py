@@ -113,7 +113,7 @@ def _writer(folder: str, date: str, archive_bytes: int):
         for batch in batches:
             rows = []
             for page_id, url, html, refers_to in zip(
-                batch["page_id"].astype(object), batch["url"], batch["html"], batch["refers_to"].astype(object), strict=True
+                batch["page_id"], batch["url"], batch["html"], batch["refers_to"], strict=True
             ):
                 if out is None or at >= archive_bytes:
                     if out is not None:
@@ -133,8 +133,8 @@ def _writer(folder: str, date: str, archive_bytes: int):
                 out.write(packed)
                 rows.append((name, at, len(packed), page, _none(url), digest))
                 at += len(packed)
-            frame = pd.DataFrame(rows, columns=["file", "offset", "length", "page_id", "url", "digest"])
-            yield frame.astype({"page_id": "Int64"})
+            frame = pd.DataFrame(rows, columns=["file", "offset", "length", "page_id", "url", "digest"], dtype=object)
+            yield frame.assign(page_id=pd.array(frame["page_id"], dtype="Int64"))
         if out is not None:
             out.close()
 
@@ -169,7 +169,11 @@ def write_archives(
     archives = qualified(spark, f"{folder}/archives")
     files, root = opened(archives)
     files.create_dir(root, recursive=True)
-    index = with_revisits(pages, min_bytes).mapInPandas(_writer(archives, date, archive_bytes), INDEX)
+    # Ids travel as text: a column of numbers and NULLs would become one of doubles.
+    rows = with_revisits(pages, min_bytes).withColumns(
+        {name: F.col(name).cast("string") for name in ("page_id", "refers_to")}
+    )
+    index = rows.mapInPandas(_writer(archives, date, archive_bytes), INDEX)
     index.write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
@@ -199,7 +203,8 @@ def _reader(folder: str, payload: bool):
                 source.seek(start)
                 block = source.read(end - start)
                 rows = [parse(zlib.decompress(block[o - start : o - start + n], GZIP)) for _, o, n in spans[at:upto]]
-                frame = pd.DataFrame(rows).astype({"page_id": "Int64", "refers_to": "Int64", "url": object})
+                frame = pd.DataFrame(rows, dtype=object)
+                frame = frame.assign(**{n: pd.array(frame[n], dtype="Int64") for n in ("page_id", "refers_to")})
                 yield frame if payload else frame.drop(columns="payload")
                 at = upto
         if source is not None:
