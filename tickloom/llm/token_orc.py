@@ -6,9 +6,10 @@ Rows are dealt by ranges of the id, encoded, sorted inside each range and writte
 all files is the order of ``row``. A reader takes stripes in parallel; a look-up of ids skips files,
 stripes and row groups by the statistics and the Bloom filters.
 
-Encoding keeps a bounded cache of words in each worker: text is cut at spaces, where the byte-level
-pre-tokenizer always cuts if the space stands between other characters. A text with white space on both
-sides of such a cut goes to the tokenizers library whole; so does every word that is not in the cache.
+Texts are cut at spaces, where the byte-level pre-tokenizer always cuts if the space stands between other
+characters, and each different word of a run of texts is looked up once in a bounded cache of the worker.
+Words that the cache lacks, and texts with white space on both sides of a cut as a whole, go to the
+tokenizers library.
 
 Edge cases: NULL is treated as the empty text, which gives the end id alone; a NULL id sorts first;
 documents of equal id are ordered by their ids; an empty table gives an empty folder of files.
@@ -22,15 +23,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import run_folder, store
 
 END = 0
-CACHE = 600_000
+CACHE = 500_000  # words in each of two generations
+TOGETHER = 16
+SLICE_BYTES = 8 << 20
 PLACE_BITS = 33
 ODD = False
+SPACE = "\u0120"  # the space in names of byte-level tokens
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 SCHEMA = "row long, doc_id long, ids array<int>"
@@ -45,44 +50,88 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.words: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+        names = self.library.get_vocab()
+        self.spaced = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.spaced[[i for name, i in names.items() if name[0] == SPACE]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<i4").tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the space before them. Some are encoded in one call; each of them starts at
+        a token that starts with the space, as no word holds one."""
+        done: list[bytes] = []
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
+            starts = (np.flatnonzero(self.spaced[np.frombuffer(ids, dtype="<i4")]) * 4).tolist()
+            if len(starts) == len(group):
+                done += [ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
+            else:
+                done += self._encode([" " + w for w in group])
+        return done
+
     def _learn(self, new: set[str]) -> None:
-        """Put words into the cache: each is encoded with the space before it."""
+        """Put words into the cache. When it is full, it becomes the older generation, whose words return
+        when they are met again."""
         if len(self.words) + len(new) > CACHE:
-            self.words.clear()
+            self.older, self.words = self.words, {}
         plain = []
         for word in new:
-            if not word or word[0].isspace() or word[-1].isspace():
+            known = self.older.get(word)
+            if known is not None:
+                self.words[word] = known
+            elif not word or word[0].isspace() or word[-1].isspace():
                 self.words[word] = ODD
             else:
                 plain.append(word)
-        self.words.update(zip(plain, self._encode([" " + w for w in plain]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        heads = self._encode([words[0] for words in split])
-        get = self.words.get
-        found = [list(map(get, words[1:])) for words in split]
-        # The rows of words that were missing are looked up once more, all in one call.
-        lacking = [i for i, got in enumerate(found) if None in got]
-        if lacking:
-            lost = {w for i in lacking for w, g in zip(split[i][1:], found[i], strict=True) if g is None}
+        self.words.update(zip(plain, self._words(plain), strict=True))
+
+    def entries(self, words: list[str]) -> list[bytes | bool]:
+        """Ids of different words with the space before them, ODD for odd ones."""
+        found = list(map(self.words.get, words))
+        lost = {w for w, ids in zip(words, found, strict=True) if ids is None}
+        if lost:
             self._learn(lost)
-            for i in lacking:
-                found[i] = [get(w) if g is None else g for w, g in zip(split[i][1:], found[i], strict=True)]
-        done = []
-        for text, words, head, got in zip(texts, split, heads, found, strict=True):
-            first = words[0]
-            try:
-                whole = got and (not first or first[-1].isspace())
-                done.append(self._encode([text])[0] if whole else head + b"".join(got))
-            except TypeError:  # an odd word
-                done.append(self._encode([text])[0])
-        return done
+            found = [self.words[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        return found
+
+    def encode(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, pa.ListArray]:
+        """Row numbers and their ids, followed by ``end``; rows that go to the library whole come last."""
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        words = lists.flatten().dictionary_encode()
+        codes = words.indices.to_numpy().astype(np.int64)
+        rows = np.arange(len(texts))
+        heads = words.dictionary.take(pa.array(codes[offsets[:-1]])).to_pylist()
+        known = self.entries(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.array([ids is ODD for ids in known], dtype=bool)[codes]
+        odd[offsets[:-1]] = [not h or h[-1].isspace() for h in heads]
+        odd[offsets[:-1]] &= np.diff(offsets) > 1
+        whole = np.logical_or.reduceat(odd, offsets[:-1]) if len(rows) else np.zeros(0, dtype=bool)
+        # The first word of a text has no space before it; an entry of its own stands for it, and one more
+        # for the end.
+        parts = [b"" if ids is ODD else ids for ids in known] + self._encode(heads) + [end]
+        codes[offsets[:-1]] = len(known) + rows
+        codes = np.insert(codes, offsets[1:], len(parts) - 1)
+        ends = offsets[1:] + rows + 1
+        if whole.any():
+            parts += [ids + end for ids in self._encode([texts[int(i)].as_py() for i in rows[whole]])]
+            keep = ~np.repeat(whole, np.diff(np.concatenate([[0], ends])))
+            codes = np.concatenate([codes[keep], np.arange(len(parts) - whole.sum(), len(parts))])
+            sizes = np.concatenate([np.diff(np.concatenate([[0], ends]))[~whole], np.ones(whole.sum(), dtype=np.int64)])
+            ends = np.cumsum(sizes)
+            rows = np.concatenate([rows[~whole], rows[whole]])
+        lengths = np.array([len(p) for p in parts], dtype=np.int64) // 4
+        starts = np.cumsum(lengths) - lengths
+        taken = lengths[codes]
+        upto = np.cumsum(taken)
+        places = np.repeat(starts[codes] - (upto - taken), taken)
+        places += np.arange(len(places))
+        values = np.frombuffer(b"".join(parts), dtype="<i4")[places]
+        bounds = np.concatenate([[0], upto[ends - 1]]).astype(np.int32)
+        return rows, pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, type=pa.int32()))
 
 
 _loaded: dict[str, WordEncoder] = {}
@@ -94,21 +143,27 @@ def encoder(path: str) -> WordEncoder:
     return _loaded[path]
 
 
-def _encoder(path: str, end: int, rows: int = 256):
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with a bounded sum of text, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        done = sizes[start - 1] if start else 0
+        end = max(int(np.searchsorted(sizes, done + SLICE_BYTES, side="right")), start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def _encoder(path: str, end: int):
     mark = np.array([end], dtype="<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                batch = whole.slice(at, rows)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                parts = [ids + mark for ids in words.encode(texts)]
-                offsets = np.zeros(len(parts) + 1, dtype=np.int32)
-                np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
-                values = np.frombuffer(b"".join(parts), dtype="<i4")
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            for batch in _slices(whole):
+                texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+                rows, ids = words.encode(texts, mark)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), ids], ["doc_id", "ids"])
 
     return run
 
