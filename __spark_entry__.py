@@ -18,9 +18,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from tickloom.functions.clock import local_text, trade_instant  # noqa: E402
 from tickloom.functions.layouts import EXPECTED, ORDER_BOOK, TRADE, Layout  # noqa: E402
 from tickloom.operators import archive, frames, freshness, joins, sectors, trades, vwap  # noqa: E402
+from tickloom.operators.raw_messages import with_messages  # noqa: E402
 from tickloom.plans import market, tables  # noqa: E402
 from tickloom.session import run_folder, store  # noqa: E402
-from tickloom.sources.archive import read_archive, write_archive  # noqa: E402
+from tickloom.sources.archive import archived_trades, compact_days, read_archive, write_archive  # noqa: E402
+from tickloom.sources.records import frame_files  # noqa: E402
+from tickloom.sources.sectors import read_sectors, write_sectors  # noqa: E402
 from tickloom.sources.sinks import table_sink  # noqa: E402
 from tickloom.streaming.market_report import start_market_report, stream_stats  # noqa: E402
 from tickloom.streaming.tables import start_archive, start_table  # noqa: E402
@@ -106,17 +109,17 @@ def q26_malformed_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def q02_decode_trades(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.trade_frames(_events(spark, folder))
-    return _doubles(frames.decode_trades(feed, keep=["event_id"]))
+    return _doubles(frames.decode_trades(feed, keep=["event_id", "record_no"]))
 
 
 def q03_decode_expected(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.expected_frames(_events(spark, folder))
-    return _doubles(frames.decode_expected(feed, keep=["event_id"]))
+    return _doubles(frames.decode_expected(feed, keep=["event_id", "record_no"]))
 
 
 def q04_decode_orderbook(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.orderbook_frames(_events(spark, folder))
-    return _doubles(frames.decode_orderbook(feed, keep=["event_id"]))
+    return _doubles(frames.decode_orderbook(feed, keep=["event_id", "record_no"]))
 
 
 def q05_classify_frames(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +129,7 @@ def q05_classify_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 def q06_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.mixed_frames(_events(spark, folder))
-    return frames.dead_letters(feed).select("event_id", "frame_no", "reason", "frame")
+    return frames.dead_letters(feed).select("event_id", "frame_no", "record_no", "reason", "frame")
 
 
 def q22_publish_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,11 +138,12 @@ def q22_publish_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def q24_orderbook_levels(spark: SparkSession, folder: str) -> DataFrame:
     feed = tables.orderbook_frames(_events(spark, folder))
-    levels = frames.orderbook_levels(frames.decode_orderbook(feed, keep=["event_id"]))
-    both = levels.select("event_id", F.explode(F.arrays_zip("asks", "bids")).alias("at"))
+    levels = frames.orderbook_levels(frames.decode_orderbook(feed, keep=["event_id", "record_no"]))
+    both = levels.select("event_id", "record_no", F.explode(F.arrays_zip("asks", "bids")).alias("at"))
     return _doubles(
         both.select(
             "event_id",
+            "record_no",
             F.col("at.asks.level").alias("level"),
             F.col("at.asks.price").alias("ask_price"),
             F.col("at.asks.qty").alias("ask_qty"),
@@ -198,6 +202,9 @@ def _flat_anomalies(rows: DataFrame) -> DataFrame:
         *vwap.ANOMALY_COLUMNS,
         F.size("raw_messages").cast("long").alias("messages"),
         F.array_join("raw_messages", "\n").alias("raw_messages"),
+        "part",
+        "parts",
+        "messages_complete",
     )
 
 
@@ -248,9 +255,11 @@ def q11_vwap_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table").select(*vwap.REPORT_COLUMNS)
 
 
-def q23_report_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """One stream, three outputs; the anomaly table is returned."""
-    out = run_folder(spark, "q23")
+def _fan_out(spark: SparkSession, folder: str, name: str) -> str:
+    """One stream, three outputs; the messages come from the archive. Returns the folder of the tables."""
+    out = run_folder(spark, name)
+    archived = archive.archive_rows(tables.trade_records(_events(spark, folder), "timestamp"), _arrival())
+    write_archive(archived, f"{out}/archive")
     start_market_report(
         _trade_stream(spark, _event_stream(spark, folder)),
         _dim(spark, folder),
@@ -259,9 +268,50 @@ def q23_report_fanout(spark: SparkSession, folder: str) -> DataFrame:
         table_sink(f"{out}/anomalies"),
         table_sink(f"{out}/messages"),
         width=HOUR,
+        archive=lambda start, end: archived_trades(spark, f"{out}/archive", TRADE.tr_id, start, end),
         trigger=ONCE,
     ).awaitTermination()
-    return _flat_anomalies(spark.read.parquet(f"{out}/anomalies"))
+    return out
+
+
+def q23_report_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    return _flat_anomalies(spark.read.parquet(f"{_fan_out(spark, folder, 'q23')}/anomalies"))
+
+
+def q28_fanout_report(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{_fan_out(spark, folder, 'q28')}/report").select(*vwap.REPORT_COLUMNS)
+
+
+def q29_fanout_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the Kafka values, what does not depend on the order of messages."""
+    rows = spark.read.parquet(f"{_fan_out(spark, folder, 'q29')}/messages")
+    value = F.from_json("value", "update_time string, sector string, raw_messages array<string>, part int, parts int")
+    return rows.select("key", value.alias("v")).select(
+        "key", "v.update_time", "v.sector", F.array_join(F.sort_array("v.raw_messages"), "\n").alias("raw_messages"), "v.part", "v.parts"
+    )
+
+
+def q30_lagging_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Anomalies over an archive that lacks the messages of two event types out of five."""
+    records = _records(spark, folder)
+    stats = store(market.market_stats(records, HOUR), "q30")
+    found = store(vwap.anomalies(stats), "q30-anomalies")
+    some = tables.trade_records(_events(spark, folder).filter("event_type not in ('view', 'click')"))
+    listed = with_messages(found, trades.parse_trades(some, keep=market.IDS), HOUR)
+    return listed.select(
+        "update_time", "stock_code", F.array_join(F.sort_array("raw_messages"), "\n").alias("raw_messages"), "messages_complete"
+    )
+
+
+def q31_batch_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    """Report and anomalies from one aggregate: report rows, marked where the window is an anomaly."""
+    report, odd = market.report_and_anomalies(_records(spark, folder), _dim(spark, folder), HOUR)
+    keys = ("update_time", "stock_code", "sector")
+    marks = odd.select(*[F.col(k).alias(f"odd_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"odd_{k}"))
+    return report.join(marks, same, "left").select(*vwap.REPORT_COLUMNS, F.col("odd_update_time").isNotNull().alias("odd"))
 
 
 def q20_late_data(spark: SparkSession, folder: str) -> DataFrame:
@@ -304,6 +354,31 @@ def q14_archive_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def q32_sector_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The sector file, written and read back."""
+    path = f"{run_folder(spark, 'q32')}/sectors"
+    write_sectors(_entries(spark, folder), path)
+    return read_sectors(spark, path, multiline=False)
+
+
+def q33_frame_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Trade frames as lines of text, read as a stream and decoded."""
+    out = run_folder(spark, "q33")
+    tables.trade_frames(_events(spark, folder)).select(F.col("frame").alias("value")).write.text(f"{out}/frames")
+    rows = frames.decode_trades(frame_files(spark, f"{out}/frames")).select(
+        "stock_code", "stck_cntg_hour", F.col("stck_prpr").cast("double"), F.col("cntg_vol").cast("double"), F.col("acml_vol").cast("double")
+    )
+    start_table(rows, f"{out}/table", f"{out}/checkpoint", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{out}/table")
+
+
+def q34_stock_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock links in several spellings; links to anything else are left out."""
+    pages = tables.linked_pages(_read(spark, folder, "pages"))
+    links = sectors.sector_links(pages, sector=F.col("url"), page_order=F.col("page_id"), html=F.col("html"))
+    return links.select("stock_code", "name", "sector", "page_order")
+
+
 # --- archive and freshness ----------------------------------------------------------------------
 
 
@@ -325,6 +400,16 @@ def q15_archive_counts(spark: SparkSession, folder: str) -> DataFrame:
     return archive.archive_counts(read_archive(spark, _archive_table(spark, folder, "q15")))
 
 
+def q35_compacted_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Days before the last one, compacted; counted by topic and day."""
+    path = _archive_table(spark, folder, "q35")
+    target = f"{run_folder(spark, 'q35-compact')}/table"
+    compact_days(read_archive(spark, path), target, F.lit("2024-01-31").cast("date"))
+    documents = read_archive(spark, target)
+    size = F.sum(F.length("raw_data")).alias("characters")
+    return documents.groupBy("topic", F.col("insert_day").cast("string").alias("insert_day")).agg(F.count("*").alias("documents"), size)
+
+
 def q16_latest_record(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_archive(spark, _archive_table(spark, folder, "q16"), TRADE.tr_id)
     return freshness.latest_record(documents, _now()).select(
@@ -375,6 +460,14 @@ QUERIES: tuple[Query, ...] = (
     q25_vwap_lineitem,
     q26_malformed_json,
     q27_vwap_trade_clock,
+    q28_fanout_report,
+    q29_fanout_messages,
+    q30_lagging_archive,
+    q31_batch_fanout,
+    q32_sector_file,
+    q33_frame_files,
+    q34_stock_links,
+    q35_compacted_archive,
 )
 
 
@@ -399,7 +492,7 @@ _TRADES = """trades AS (
   FROM events)"""
 
 _MESSAGES = f"""{_TRADES}, messages AS (
-  SELECT *, '{{"stck_prpr":"' || price || '","cntg_vol":"' || volume || '","acml_vol":"' || event_id
+  SELECT * REPLACE (CASE WHEN user_id <> 1 THEN stock_code END AS stock_code), '{{"stck_prpr":"' || price || '","cntg_vol":"' || volume || '","acml_vol":"' || event_id
     || '","acml_tr_pbmn":"' || price * event_id
     || '","cttr":"100.00","total_askp_rsqn":"5000","total_bidp_rsqn":"5000"}}' AS message,
     CASE event_type WHEN 'view' THEN 'H0STANC0' WHEN 'click' THEN 'H0STASP0' ELSE 'H0STCNT0' END AS topic
@@ -437,17 +530,18 @@ def _anomalies(where: str = "TRUE") -> str:
 odd AS (SELECT * FROM stats WHERE {_ODD} AND {where}),
 raw AS (
   SELECT o.w, o.stock_code, LIST(m.message ORDER BY m.message) AS list
-  FROM messages m JOIN odd o ON m.stock_code = o.stock_code AND time_bucket(INTERVAL '1 hour', m.ts) = o.w
+  FROM messages m JOIN odd o ON m.stock_code IS NOT DISTINCT FROM o.stock_code AND time_bucket(INTERVAL '1 hour', m.ts) = o.w
   GROUP BY ALL),
 rows AS (
   SELECT {_iso('o.w')} AS update_time, o.stock_code, sector, name, min_price, avg_price, max_price,
          total_volume, list
-  FROM odd o JOIN raw r ON o.w = r.w AND o.stock_code = r.stock_code
+  FROM odd o JOIN raw r ON o.w = r.w AND o.stock_code IS NOT DISTINCT FROM r.stock_code
   LEFT JOIN dim d ON o.stock_code = d.stock_code)"""
 
 
 _FLAT = """SELECT update_time, stock_code, sector, name, min_price, avg_price, max_price, total_volume,
-  CAST(LEN(list) AS BIGINT) AS messages, array_to_string(list, chr(10)) AS raw_messages FROM rows"""
+  CAST(LEN(list) AS BIGINT) AS messages, array_to_string(list, chr(10)) AS raw_messages,
+  0 AS part, 1 AS parts, TRUE AS messages_complete FROM rows"""
 
 # Frames, written down independently of the Spark side: fixed positions, blank positions, cut.
 _CLOCK = "strftime(ts, '%H%M%S')"
@@ -466,25 +560,42 @@ _FRAMES = {
 }
 
 
+_COUNT = "(1 + event_id % 3)"
+
+
 def _parts(layout: Layout) -> str:
+    """The values of record ``k`` of a frame."""
     fixed, blank, cut = _FRAMES[layout.tr_id]
     texts = ", ".join(str(i) for i, _, policy in layout.fields if policy == "text")
-    cases = " ".join(f"WHEN i = {i} THEN {value}" for i, value in fixed.items())
+    cases = " ".join(f"WHEN i = {i}{' AND k = 0' if i == 2 else ''} THEN {value}" for i, value in fixed.items())
     parts = f"""list_transform(range({layout.width}), lambda i: CASE
       WHEN event_type = 'error' AND i IN ({blank}) THEN '' {cases}
       WHEN i IN ({texts}) THEN event_type || i
-      WHEN i % 2 = 1 THEN (price + i) || '.25' ELSE CAST(price + i AS VARCHAR) END)"""
-    return parts if cut is None else f"CASE event_type WHEN 'signup' THEN ({parts})[1:{cut}] ELSE {parts} END"
+      WHEN i % 2 = 1 THEN (price + i + 1000 * k) || '.25' ELSE CAST(price + i + 1000 * k AS VARCHAR) END)"""
+    if cut is None:
+        return parts
+    return f"CASE WHEN event_type = 'signup' AND k = {_COUNT} - 1 THEN ({parts})[1:{cut}] ELSE {parts} END"
 
 
 def _frame(layout: Layout) -> str:
-    return f"'0|{layout.tr_id}|001|' || array_to_string({_parts(layout)}, '^')"
+    records = f"list_transform(range({_COUNT}), lambda k: array_to_string({_parts(layout)}, '^'))"
+    said = f"{_COUNT} + CASE WHEN event_type = 'click' AND event_id % 5 = 0 THEN 1 ELSE 0 END"
+    return f"'0|{layout.tr_id}|' || lpad(CAST({said} AS VARCHAR), 3, '0') || '|' || array_to_string({records}, '^')"
 
 
 def _split(frame: str) -> str:
     return f"string_split(string_split({frame}, '|')[4], '^')"
 
 
+def _cut(rows: str, width: str) -> str:
+    """Rows with ``frame``, one for each record: its number, its values and whether the count fits."""
+    values = _split("frame")
+    records = f"CAST(ceil(len({values}) / CAST({width} AS DOUBLE)) AS BIGINT)"
+    return f"""SELECT *, {values}[record_no * {width} + 1 : (record_no + 1) * {width}] AS p FROM (
+    SELECT *, UNNEST(range({records})) AS record_no,
+      COALESCE(TRY_CAST(string_split(frame, '|')[3] AS INTEGER) = {records}, FALSE) AS fits FROM {rows})"""
+
+
 def _number(i: int, policy: str) -> str:
     value = f"TRY_CAST(p[{i + 1}] AS DECIMAL(24, 4))"
     return f"CASE WHEN TRIM(p[{i + 1}]) = '' THEN 0 ELSE {value} END" if policy == "zero" else value
@@ -500,8 +611,10 @@ def _bad(layout: Layout) -> str:
 
 
 def _decoded(layout: Layout, columns: str) -> str:
-    return f"""WITH {_TRADES}, split AS (SELECT event_id, {_split(_frame(layout))} AS p FROM trades)
-SELECT event_id, {columns} FROM split WHERE LEN(p) >= {layout.width} AND NOT ({_bad(layout)})"""
+    return f"""WITH {_TRADES}, framed AS (SELECT event_id, {_frame(layout)} AS frame FROM trades),
+split AS ({_cut("framed", str(layout.width))})
+SELECT event_id, CAST(record_no AS INTEGER) AS record_no, {columns} FROM split
+WHERE LEN(p) >= {layout.width} AND fits AND NOT ({_bad(layout)})"""
 
 
 def _decode_sql(layout: Layout) -> str:
@@ -519,7 +632,7 @@ def _levels_sql() -> str:
         text = f"p[{first + 1} + level - 1]"
         return f"CAST(CASE WHEN TRIM({text}) = '' THEN 0 ELSE CAST({text} AS DECIMAL(24, 4)) END AS DOUBLE)"
 
-    return f"""SELECT event_id, CAST(level AS INTEGER) AS level, {pick(3)} AS ask_price, {pick(23)} AS ask_qty,
+    return f"""SELECT event_id, record_no, CAST(level AS INTEGER) AS level, {pick(3)} AS ask_price, {pick(23)} AS ask_qty,
   {pick(13)} AS bid_price, {pick(33)} AS bid_qty
 FROM ({book}) book, range(1, 11) AS levels(level)"""
 
@@ -537,15 +650,19 @@ _MIXED = f"""mixed AS (
 def _reasons() -> str:
     return " ".join(
         f"""WHEN tr = '{layout.tr_id}' THEN
-    CASE WHEN LEN(p) < {layout.width} THEN 'short_payload' WHEN {_bad(layout)} THEN 'bad_number' END"""
+    CASE WHEN LEN(p) < {layout.width} THEN 'short_payload' WHEN NOT fits THEN 'bad_count' WHEN {_bad(layout)} THEN 'bad_number' END"""
         for layout in (TRADE, EXPECTED, ORDER_BOOK)
     )
 
 
+_WIDTH = "CASE tr " + " ".join(f"WHEN '{x.tr_id}' THEN {x.width}" for x in (TRADE, EXPECTED, ORDER_BOOK)) + " END"
+_KNOWN = ", ".join(f"'{x.tr_id}'" for x in (TRADE, EXPECTED, ORDER_BOOK))
 _JUDGED = f"""judged AS (
   SELECT *, CASE WHEN frame[1] = '{{' THEN NULL WHEN frame[1] <> '0' THEN 'unknown_frame'
     {_reasons()} ELSE 'unknown_tr' END AS reason
-  FROM (SELECT *, string_split(frame, '|')[2] AS tr, {_split('frame')} AS p FROM mixed))"""
+  FROM ({_cut("(SELECT *, string_split(frame, '|')[2] AS tr FROM mixed)", _WIDTH)}
+    UNION ALL BY NAME SELECT *, string_split(frame, '|')[2] AS tr, 0 AS record_no FROM mixed
+    WHERE NOT (frame[1] = '0' AND string_split(frame, '|')[2] IN ({_KNOWN}))))"""
 
 
 def _message_json(layout: Layout) -> str:
@@ -603,7 +720,7 @@ FROM messages""",
 SELECT event_type, CASE frame[1] WHEN '0' THEN 'data' WHEN '{{' THEN 'control' ELSE 'unknown' END AS frame_class,
   COUNT(*) AS frames FROM mixed GROUP BY ALL""",
         "q06_dead_letters": f"""WITH {_TRADES}, {_MIXED}, {_JUDGED}
-SELECT event_id, CAST(frame_no AS INTEGER) AS frame_no, reason, frame FROM judged WHERE reason IS NOT NULL""",
+SELECT event_id, CAST(frame_no AS INTEGER) AS frame_no, CAST(record_no AS INTEGER) AS record_no, reason, frame FROM judged WHERE reason IS NOT NULL""",
         "q07_day_filter": f"""WITH {_MESSAGES}
 SELECT event_id, stock_code, message AS original_message FROM messages WHERE CAST(ts AS DATE) = DATE '{DAY}'""",
         "q08_sector_explode": f"WITH {_DIM} SELECT stock_code, sector, name FROM dim",
@@ -616,7 +733,8 @@ FROM messages m LEFT JOIN dim d ON m.stock_code = d.stock_code""",
         "q13_anomaly_envelope": f"""{_anomalies()}
 SELECT stock_code AS key, CAST(to_json(struct_pack(update_time := update_time, stock_code := stock_code,
   sector := sector, name := name, min_price := min_price, avg_price := avg_price, max_price := max_price,
-  total_volume := total_volume, raw_messages := list)) AS VARCHAR) AS value FROM rows""",
+  total_volume := total_volume, raw_messages := list, part := 0, parts := 1, messages_complete := TRUE)) AS VARCHAR) AS value
+FROM rows""",
         "q14_archive_stream": f"""WITH {_MESSAGES}, sent AS (SELECT *, {millis} AS t FROM messages)
 SELECT message AS raw_data, topic, CAST(user_id % 8 AS INTEGER) AS partition, event_id AS "offset",
   stock_code AS key, strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp,
@@ -641,9 +759,9 @@ FROM checks WHERE NOT COALESCE(lag_seconds < 300, FALSE)""",
   FROM pages),
 links AS (SELECT * FROM anchors WHERE code <> ''),
 names AS (SELECT code, arg_min(name, (page_id, pos)) AS name FROM links GROUP BY code)
-SELECT code AS stock_code, ANY_VALUE(n.name) AS name, string_agg(url, ' ' ORDER BY page_id, pos) AS sectors,
-  page_id // 10000 AS part
-FROM links l JOIN names n USING (code) GROUP BY code, page_id // 10000""",
+SELECT code AS stock_code, ANY_VALUE(n.name) AS name, string_agg(url, ' ' ORDER BY page_id, pos) AS sectors, part
+FROM (SELECT *, (row_number() OVER (PARTITION BY code ORDER BY page_id, pos) - 1) // 10000 AS part FROM links) l
+JOIN names n USING (code) GROUP BY code, part""",
         "q20_late_data": f"""WITH {_MESSAGES}, {_stats('1 hour', where=late)}
 SELECT {_iso('w')} AS update_time, stock_code, {_VWAP} AS vwap, total_volume, n AS message_count
 FROM stats WHERE {closed_hour}""",
@@ -663,7 +781,31 @@ FROM stats""",
         "q26_malformed_json": f"""WITH {_MESSAGES}
 SELECT event_id, CASE event_type WHEN 'error' THEN message[1:-2] ELSE '"no trade"' END AS value,
   'bad_json' AS reason FROM messages WHERE event_type IN ('error', 'signup')""",
+        "q28_fanout_report": f"WITH {_MESSAGES}, {_DIM}, {_stats('1 hour')} {_REPORT} WHERE {closed_hour}",
+        "q29_fanout_messages": f"""{_anomalies(closed_hour)}
+SELECT stock_code AS key, update_time, sector, array_to_string(list, chr(10)) AS raw_messages, 0 AS part, 1 AS parts FROM rows""",
+        "q30_lagging_archive": f"""WITH {_MESSAGES}, {_stats('1 hour')}, odd AS (SELECT * FROM stats WHERE {_ODD})
+SELECT {_iso('o.w')} AS update_time, o.stock_code,
+  COALESCE(string_agg(m.message, chr(10) ORDER BY m.message), '') AS raw_messages, COUNT(m.message) = ANY_VALUE(n) AS messages_complete
+FROM odd o LEFT JOIN messages m ON m.stock_code IS NOT DISTINCT FROM o.stock_code
+  AND time_bucket(INTERVAL '1 hour', m.ts) = o.w AND m.event_type NOT IN ('view', 'click')
+GROUP BY o.w, o.stock_code""",
+        "q31_batch_fanout": f"""WITH {_MESSAGES}, {_DIM}, {_stats('1 hour')}
+SELECT {_iso('w')} AS update_time, s.stock_code, sector, name, {_VWAP} AS vwap, total_volume, COALESCE({_ODD}, FALSE) AS odd
+FROM stats s LEFT JOIN dim d ON s.stock_code = d.stock_code""",
+        "q32_sector_file": f"WITH {_DIM} SELECT stock_code, sector, name FROM dim",
+        "q33_frame_files": f"""SELECT stock_code, stck_cntg_hour, stck_prpr, cntg_vol, acml_vol FROM ({_decode_sql(TRADE)}) decoded""",
+        "q34_stock_links": """SELECT lpad(CAST(page_id % 40 AS VARCHAR), 6, '0') AS stock_code,
+  'stock ' || lpad(CAST(page_id % 40 AS VARCHAR), 6, '0') AS name, url AS sector, page_id AS page_order FROM pages
+UNION ALL SELECT lpad(CAST(page_id % 7 AS VARCHAR), 6, '9'), 'nine', url, page_id FROM pages""",
+        "q35_compacted_archive": f"""WITH {_MESSAGES}, placed AS (
+  SELECT topic, message, strftime({_ARRIVED} + INTERVAL '9 hours', '%Y-%m-%d') AS insert_day FROM messages)
+SELECT topic, insert_day, COUNT(*) AS documents, CAST(SUM(len(message)) AS BIGINT) AS characters
+FROM placed WHERE insert_day < '2024-01-31' GROUP BY topic, insert_day""",
         "q27_vwap_trade_clock": f"""WITH {_TRADES}, {_DIM},
-clocked AS (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM trades WHERE event_type NOT IN ('error', 'signup')),
+clocked AS (SELECT * REPLACE (date_trunc('second', ts) AS ts, price + CASE k WHEN 0 THEN 0 ELSE 2 + 1000 * k END AS price)
+  FROM (SELECT *, UNNEST(range({_COUNT})) AS k FROM trades)
+  WHERE event_type <> 'error' AND NOT (event_type = 'signup' AND k = {_COUNT} - 1)
+    AND NOT (event_type = 'click' AND event_id % 5 = 0)),
 {_stats('30 seconds', 'clocked')} {_REPORT}""",
     }

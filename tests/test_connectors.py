@@ -3,6 +3,10 @@ for them."""
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -47,3 +51,23 @@ def test_session_settings(spark):
     assert session.conf.get("spark.sql.session.timeZone") == "Asia/Seoul"
     assert session.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
     session.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_without_a_shared_folder_the_error_says_what_to_set(tmp_path):
+    """In a process of its own: a session that names no folder, then one set in the supported way."""
+    code = f"""
+from pyspark.sql import SparkSession
+from tickloom.session import shared_root, store
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+try:
+    shared_root(spark)
+except ValueError as error:
+    print("said", "spark.checkpoint.dir" in str(error))
+spark.conf.set("spark.tickloom.shared", "{tmp_path}")
+print("rows", store(spark.range(3), "x").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": root, "SPARK_CONF_DIR": str(tmp_path)}, timeout=200
+    )
+    assert "said True" in done.stdout and "rows 3" in done.stdout, done.stderr[-2000:]

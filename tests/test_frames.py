@@ -156,10 +156,29 @@ def test_dead_letters_and_decoded_rows_share_out_the_frames(spark):
 
 def test_several_records_in_one_frame(spark):
     two = EXPECTED_SAMPLE + "^" + EXPECTED_SAMPLE.replace("005930", "000660")
-    feed = _frames(spark, _frame(EXPECTED, two))
-    assert [r.stock_code for r in frames.decode_expected(feed).collect()] == ["005930"]
-    both = frames.decode_expected(feed, record_width=EXPECTED.width)
-    assert [r.stock_code for r in both.collect()] == ["005930", "000660"]
+    trade = TRADE_SAMPLE + "^" + TRADE_SAMPLE + "^" + TRADE_SAMPLE
+    lines = [f"0|H0STANC0|002|{two}", f"0|H0STCNT0|003|{trade}", f"0|H0STASP0|001|{book_payload()}"]
+    feed = _frames(spark, *lines)
+    both = frames.decode_expected(feed, keep=["record_no"]).collect()
+    assert [(r.record_no, r.stock_code) for r in both] == [(0, "005930"), (1, "000660")]
+    assert frames.decode_trades(feed).count() == 3 and frames.decode_orderbook(feed).count() == 1
+    assert frames.dead_letters(feed).count() == 0 and frames.publish_rows(feed).count() == 6
+
+
+def test_frames_with_another_number_of_records_than_they_say(spark):
+    two = EXPECTED_SAMPLE + "^" + EXPECTED_SAMPLE
+    lines = [f"0|H0STANC0|003|{two}", f"0|H0STANC0||{EXPECTED_SAMPLE}", f"0|H0STANC0|002|{EXPECTED_SAMPLE}^1^2"]
+    feed = _frames(spark, *lines)
+    found = sorted((r.frame, r.record_no, r.reason) for r in frames.dead_letters(feed).collect())
+    assert found == sorted([(lines[0], 0, "bad_count"), (lines[0], 1, "bad_count"), (lines[1], 0, "bad_count"), (lines[2], 1, "short_payload")])
+    assert frames.decode_expected(feed).count() == frames.publish_rows(feed).count() == 1
+
+
+@pytest.mark.parametrize("blank", ["", " ", "\t", "\r", " \t\r"])
+def test_white_space_of_any_kind_is_blank(spark, blank):
+    feed = _frames(spark, _frame(EXPECTED, _with(EXPECTED_SAMPLE, 14, blank)))
+    assert frames.decode_expected(feed).first()["stck_lwpr"] == 0
+    assert json.loads(frames.publish_rows(feed).first().value)["stck_lwpr"] == "0"
 
 
 def test_published_message_keeps_the_received_digits(spark):

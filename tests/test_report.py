@@ -50,8 +50,7 @@ def test_dirty_values_do_not_end_the_job(spark):
     stats = {r.stock_code: r for r in _stats(spark, rows).collect()}
     assert stats["1"].total_volume == 29 and stats["1"].message_count == 6
     assert stats["1"].min_price == 85100 and stats["1"].max_price == 9223372036854775807
-    # A product beyond 64 bits counts as missing.
-    assert stats["1"].sum_price_volume == 85100 * 20
+    assert stats["1"].sum_price_volume == 85100 * 20 + 9223372036854775807 * 9
     assert stats["2"].vwap is None and stats["2"].total_volume == 0
     assert stats[None].vwap == 5.0
 
@@ -162,22 +161,47 @@ def _odd_records(spark, count):
     return feed.records(spark, rows)
 
 
-@pytest.mark.parametrize(("per_list", "parts"), [(1000, 1), (30, 4)])
-def test_long_message_lists_are_cut_but_whole(spark, per_list, parts):
+@pytest.mark.parametrize(("list_bytes", "parts"), [(1_000_000, 1), (4_000, 4)])
+def test_long_message_lists_are_cut_but_whole(spark, list_bytes, parts):
     records = _odd_records(spark, 100)
     found = vwap.anomalies(market.market_stats(records))
     parsed = trades.parse_trades(records, keep=market.IDS)
     expected = sorted(r.original_message for r in parsed.filter("stock_code = '1'").collect())
     for limit in (0, raw.BROADCAST_LIMIT):
-        rows = raw.with_messages(found, parsed, per_list=per_list, slices=8, limit=limit).collect()
+        rows = raw.with_messages(found, parsed, list_bytes=list_bytes, rows_per_slice=9, limit=limit).collect()
         assert {r.parts for r in rows} == {parts} and len(rows) == parts
         assert sorted(m for r in rows for m in r.raw_messages) == expected
 
     sliced = vwap.window_sums(parsed, slices=8)
     found = vwap.anomalies(vwap.window_stats(vwap.merge_slices(sliced)))
-    rows = raw.with_sliced_messages(found, sliced, per_list=per_list).collect()
+    rows = raw.with_sliced_messages(found, sliced, list_bytes=list_bytes).collect()
     assert sorted(m for r in rows for m in r.raw_messages) == expected
-    assert {r.message_count for r in rows} == {100}
+    assert {r.message_count for r in rows} == {100} and all(r.messages_complete for r in rows)
+
+
+@pytest.mark.parametrize("limit", [0, raw.BROADCAST_LIMIT])
+def test_no_anomaly_is_lost(spark, limit):
+    """A missing stock code is a stock of its own; missing messages leave a list that says so."""
+    spikes = [("1", 100, 1, 0), ("1", 200, 1, 1), ("2", 100, 1, 0), ("2", 200, 1, 1)]
+    rows = feed.trades(*spikes) + [feed.record(None, feed.message(p, 1), n, 10 + n) for n, p in enumerate((100, 200))]
+    records = feed.records(spark, rows)
+    found = vwap.anomalies(market.market_stats(records))
+    parsed = trades.parse_trades(records, keep=market.IDS)
+    some = parsed.filter("stock_code is null or stock_code = '1' and offset = 0")
+    got = {r.stock_code: r for r in raw.with_messages(found, some, limit=limit).collect()}
+    assert {k: (len(r.raw_messages), r.messages_complete) for k, r in got.items()} == {
+        "1": (1, False), "2": (0, False), None: (2, True),
+    }
+    sliced = vwap.window_sums(parsed, slices=2)
+    assert raw.with_sliced_messages(found, sliced).filter("messages_complete").count() == 3
+
+
+def test_report_and_anomalies_from_one_aggregate(spark):
+    dim = feed.dim(spark, ("005930", "chips", "Samsung"))
+    records = feed.records(spark, feed.trades(*NORMAL, *SPIKE))
+    report, odd = market.report_and_anomalies(records, dim)
+    assert sorted(map(str, report.collect())) == sorted(map(str, market.vwap_report(records, dim).collect()))
+    assert [len(r.raw_messages) for r in odd.collect()] == [3]
 
 
 def test_envelope(spark):

@@ -28,12 +28,12 @@ def test_sector_map_keeps_first_name_and_visit_order(spark):
 
 
 def test_long_lists_come_in_parts_and_read_back_whole(spark, tmp_path):
-    entries = sectors.sector_map(_links(spark), pages_per_row=2)
+    entries = sectors.sector_map(_links(spark), per_row=2, pages_per_bucket=2)
     rows = sorted((r.stock_code, r.part, r.name, r.sectors) for r in entries.collect())
     assert rows == [
         ("000660", 0, "Hynix", ["chips"]),
         ("005930", 0, "Samsung", ["chips", "phones"]),
-        ("005930", 3, "Samsung", ["chips"]),
+        ("005930", 1, "Samsung", ["chips"]),
     ]
     write_sectors(entries, str(tmp_path / "sectors"))
     dim = read_sectors(spark, str(tmp_path / "sectors"), multiline=False)
@@ -53,3 +53,18 @@ def test_sector_file_as_one_array(spark, tmp_path):
     file.write_text(json.dumps(entries, ensure_ascii=False, indent=4), encoding="utf-8")
     rows = sorted(map(tuple, read_sectors(spark, str(file)).collect()))
     assert rows == [("005930", "반도체", "삼성전자"), ("005930", "휴대폰", "삼성전자")]
+
+
+def test_a_short_list_is_one_row_wherever_its_pages_are(spark):
+    entries = sectors.sector_map(_links(spark), per_row=3, pages_per_bucket=2).collect()
+    assert sorted((r.stock_code, r.part, r.sectors) for r in entries) == [
+        ("000660", 0, ["chips"]),
+        ("005930", 0, ["chips", "phones", "chips"]),
+    ]
+
+
+def test_anchors_of_any_spelling(spark):
+    html = "<A class='x' HREF='/i?code=000001'><b>One</b></A><a\n href=\"/i?code=000002\" >\n Two </a><a name=x>no</a>"
+    pages = spark.createDataFrame([(0, "s", html)], "page int, sector string, html string")
+    links = sectors.sector_links(pages, F.col("sector"), F.col("page"), F.col("html")).collect()
+    assert [(r.stock_code, r.name) for r in links] == [("000001", "One"), ("000002", "Two")]

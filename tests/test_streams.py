@@ -73,7 +73,7 @@ def test_grace_of_one_batch_within_a_run(spark, tmp_path):
     source.add(("1", 10, 4, 1))
     source.add(("1", 10, 8, 2))
     stats = vwap.window_sums(source.trades(maxFilesPerTrigger=1), lateness=vwap.LATENESS)
-    rows = stats.select("stock_code", "total_volume", "window")
+    rows = stats.select("stock_code", F.col("sum_volume").alias("total_volume"), "window")
     start_table(rows, f"{tmp_path}/t", f"{tmp_path}/c", trigger=ONCE).awaitTermination()
     assert [r.total_volume for r in spark.read.parquet(f"{tmp_path}/t").collect()] == [1 + 4]
 
@@ -130,11 +130,11 @@ def _fan_out(spark, source, out, **options):
     )
 
 
-@pytest.mark.parametrize("per_list", [1000, 40])
-def test_fan_out_writes_three_outputs(spark, tmp_path, per_list):
+@pytest.mark.parametrize(("list_bytes", "parts"), [(1_000_000, 1), (6_000, 3)])
+def test_fan_out_writes_three_outputs(spark, tmp_path, list_bytes, parts):
     source = Feed(spark, tmp_path)
     source.add(*ROWS)
-    _fan_out(spark, source, tmp_path, per_list=per_list, slices=8).awaitTermination()
+    _fan_out(spark, source, tmp_path, list_bytes=list_bytes, slices=8).awaitTermination()
     report = spark.read.parquet(f"{tmp_path}/report")
     assert sorted((r.stock_code, r.sector, r.total_volume) for r in report.collect()) == [
         ("cold", "a", 20),
@@ -144,7 +144,8 @@ def test_fan_out_writes_three_outputs(spark, tmp_path, per_list):
     assert {str(r.report_date) for r in report.collect()} == {"2025-07-02"}
     odd = spark.read.parquet(f"{tmp_path}/anomalies").collect()
     assert {(r.stock_code, r.sector) for r in odd} == {("hot", "a"), ("hot", "b")}
-    assert {r.parts for r in odd} == {1 if per_list == 1000 else 3}
+    assert {r.parts for r in odd} == {parts} and len(odd) == 2 * parts
+    assert all(r.messages_complete for r in odd)
     for sector in ("a", "b"):
         messages = [m for r in odd if r.sector == sector for m in r.raw_messages]
         assert len(messages) == 100
@@ -200,7 +201,7 @@ def test_messages_from_the_archive(spark, tmp_path):
     start_archive(records, f"{tmp_path}/archive", f"{tmp_path}/archive_c", trigger=ONCE).awaitTermination()
 
     def archive(start, end):
-        return archived_trades(spark, f"{tmp_path}/archive", "H0STCNT0", start, end)
+        return archived_trades(spark, f"{tmp_path}/archive", "H0STCNT0", start, end, lag="36500 days")
 
     for name, options in (("state", {}), ("lookup", {"archive": archive})):
         _fan_out(spark, source, tmp_path / name, **options).awaitTermination()
@@ -211,6 +212,17 @@ def test_messages_from_the_archive(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/none/report").count() == 3
 
 
+def test_anomalies_do_not_wait_for_the_archive(spark, tmp_path):
+    source = Feed(spark, tmp_path)
+    source.add(*ROWS)
+    nothing = trades.parse_trades(feed.records(spark, feed.trades(*ROWS)).limit(0), keep=market.IDS)
+    _fan_out(spark, source, tmp_path, archive=lambda start, end: nothing).awaitTermination()
+    odd = spark.read.parquet(f"{tmp_path}/anomalies").collect()
+    assert {(r.stock_code, r.sector) for r in odd} == {("hot", "a"), ("hot", "b")}
+    assert all(r.raw_messages == [] and not r.messages_complete for r in odd)
+    assert spark.read.parquet(f"{tmp_path}/messages").count() == 2
+
+
 def test_frames_as_a_stream(spark, tmp_path):
     from tickloom.operators import frames
 

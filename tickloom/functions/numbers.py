@@ -14,8 +14,13 @@ WHOLE = r"^\s*[+-]?\d+\s*$"
 SHORT = r"^\s*[+-]?\d{1,19}(\.\d*)?\s*$"
 
 
+def trimmed(text: Column) -> Column:
+    """Without white space of any kind around it; stray line ends often cling to the last value."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def is_blank(text: Column) -> Column:
-    return F.trim(text) == ""
+    return trimmed(text) == ""
 
 
 def to_decimal(text: Column) -> Column:
@@ -52,7 +57,7 @@ def as_message_text(text: Column, policy: str) -> Column:
     """The value as it stands in a published message: digits as received, blanks by policy."""
     if policy == "text":
         return text
-    digits = F.trim(text)
+    digits = trimmed(text)
     if policy == "zero":
         return F.when(digits == "", F.lit("0")).otherwise(digits)
     if policy == "null":

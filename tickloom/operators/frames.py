@@ -26,42 +26,49 @@ def classify(frames: DataFrame, frame_col: str = "frame") -> DataFrame:
     return frames.withColumn("frame_class", frame_class(F.col(frame_col)))
 
 
+def _width(tr_id: Column, layouts: Sequence[Layout]) -> Column:
+    """Values in one record of a kind; NULL for unknown kinds."""
+    width = F.lit(None).cast("int")
+    for layout in layouts:
+        width = F.when(tr_id == layout.tr_id, layout.width).otherwise(width)
+    return width
+
+
 def split_frames(
     frames: DataFrame,
+    layouts: Sequence[Layout] = LAYOUTS,
     frame_col: str = "frame",
-    record_width: int | None = None,
     number: Callable[[Column], Column] = to_decimal,
 ) -> DataFrame:
-    """One row per record of a frame: ``frame_class``, ``tr_id``, ``parts`` (payload values as text)
-    and ``numbers`` (the same values as decimals, or as ``number`` gives them; NULL for other text).
+    """One row per record of a frame: ``frame_class``, ``tr_id``, ``record_no``, ``count_fits`` (the frame
+    holds as many records as it says), ``parts`` (the record's values as text) and ``numbers`` (the same
+    values as decimals, or as ``number`` gives them; NULL for other text).
 
-    A frame may carry several records. By default only the first one is taken; with
-    ``record_width`` the payload is cut into records of that many values. Lines that are no data,
-    and frames without a payload, stay as one row of NULLs, so that they can reach the dead letters.
+    The payload is cut by the width of the frame's own kind. Frames of unknown kinds, lines that are no
+    data, and frames without a payload stay as one row, so that they can reach the dead letters.
 
     Records leave through a generator. Filters on them therefore stay above it, and each frame is
     split and cast once however many fields a filter looks at.
     """
     kind = frame_class(F.col(frame_col))
     fields = F.when(kind == "data", F.split(F.col(frame_col), r"\|"))
+    tr_id = F.get(fields, F.lit(1))
     payload = F.split(F.get(fields, F.lit(3)), r"\^")
-    if record_width is None:
-        records = F.array(payload)
-    else:
-        last = F.greatest(F.floor((F.size(payload) - 1) / record_width), F.lit(0)).cast("int")
-        starts = F.sequence(F.lit(0), last)
-        cut = F.transform(starts, lambda i: F.slice(payload, i * record_width + 1, record_width))
-        records = F.when(payload.isNotNull(), cut).otherwise(F.array(payload))
+    width = F.coalesce(_width(tr_id, layouts), F.greatest(F.size(payload), F.lit(1)))
+    last = F.greatest(F.floor((F.size(payload) - 1) / width), F.lit(0)).cast("int")
+    said = F.get(fields, F.lit(2)).try_cast("int")
     typed = F.transform(
-        records,
-        lambda parts: F.struct(
+        F.sequence(F.lit(0), F.coalesce(last, F.lit(0))),
+        lambda i: F.struct(
             kind.alias("frame_class"),
-            F.get(fields, F.lit(1)).alias("tr_id"),
-            parts.alias("parts"),
-            F.transform(parts, number).alias("numbers"),
+            tr_id.alias("tr_id"),
+            i.alias("record_no"),
+            F.coalesce(said == last + 1, F.lit(False)).alias("count_fits"),
+            F.slice(payload, i * width + 1, width).alias("parts"),
         ),
     )
-    return frames.select("*", F.inline(typed))
+    cut = frames.select("*", F.inline(typed))
+    return cut.withColumn("numbers", F.transform("parts", number))
 
 
 def _part(position: int) -> Column:
@@ -79,7 +86,7 @@ def _problem(layout: Layout) -> Column:
         [breaks_policy(_part(i), _number(i), rule) for i, _, rule in layout.fields if rule != "text"],
     )
     too_short = F.coalesce(F.size("parts"), F.lit(0)) < layout.width
-    return F.when(too_short, "short_payload").when(bad, "bad_number")
+    return F.when(too_short, "short_payload").when(~F.col("count_fits"), "bad_count").when(bad, "bad_number")
 
 
 def decode(
@@ -87,16 +94,16 @@ def decode(
     layout: Layout,
     keep: Sequence[str] = (),
     frame_col: str = "frame",
-    record_width: int | None = None,
 ) -> DataFrame:
-    """Typed rows of one record kind: ``keep`` columns, the key, then the fields of the layout.
+    """Typed rows of one record kind: ``keep`` columns, the key, then the fields of the layout. All records
+    of a frame are decoded; ``record_no`` counts them and can be kept.
 
     Frames of other kinds and undecodable frames are left out; the latter are in
     :func:`dead_letters`.
     """
     # Frames of other kinds are sorted out by their head, before anything is split.
     of_kind = frames.filter(F.col(frame_col).rlike(rf"^0[^|]*\|{layout.tr_id}(\||$)"))
-    split = split_frames(of_kind, frame_col, record_width)
+    split = split_frames(of_kind, (layout,), frame_col)
     return split.filter(_problem(layout).isNull()).select(
         *keep,
         _part(0).alias("stock_code"),
@@ -152,26 +159,26 @@ def dead_letters(
     frames: DataFrame,
     layouts: Sequence[Layout] = LAYOUTS,
     frame_col: str = "frame",
-    record_width: int | None = None,
 ) -> DataFrame:
-    """Frames that no layout can decode, with ``reason``. Control messages are not among them."""
-    split = split_frames(frames, frame_col, record_width, number_mark)
+    """Records that no layout can decode, with their frame, ``record_no`` and ``reason``. Control messages
+    are not among them. A frame whose number of records differs from the one it gives is not trusted: its
+    whole records come here as ``bad_count``."""
+    split = split_frames(frames, layouts, frame_col, number_mark)
     found = split.withColumn("reason", _reason(layouts)).filter("reason is not null")
-    return found.drop("parts", "numbers")
+    return found.drop("parts", "numbers", "count_fits")
 
 
 def publish_rows(
     frames: DataFrame,
     layouts: Sequence[Layout] = LAYOUTS,
     frame_col: str = "frame",
-    record_width: int | None = None,
 ) -> DataFrame:
     """Kafka-ready rows ``topic, key, value``: topic = record kind, key = stock code, value = JSON.
 
     Numbers stay the text that was received, so no digit is added or lost. All kinds are handled
     in one pass over the frames.
     """
-    split = split_frames(frames, frame_col, record_width, number_mark)
+    split = split_frames(frames, layouts, frame_col, number_mark)
     good = split.filter((F.col("frame_class") == "data") & _reason(layouts).isNull())
     value = F.lit(None).cast("string")
     for layout in layouts:

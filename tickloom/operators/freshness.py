@@ -24,12 +24,20 @@ def arrived_today(documents: DataFrame, now: Column | None = None, zone: str = Z
 
 
 def latest_record(documents: DataFrame, now: Column | None = None, zone: str = ZONE) -> DataFrame:
-    """The newest document of today. Ties go to the highest topic, partition and offset."""
-    newest_first = [
-        F.desc(name)
-        for name in ("insert_time", "metadata.topic", "metadata.partition", "metadata.offset")
-    ]
-    return arrived_today(documents, now, zone).orderBy(*newest_first).limit(1)
+    """The newest document of today. Ties go to the highest topic, partition and offset.
+
+    Which one it is, is found from the narrow columns (this runs a job); its text is then fetched by a
+    filter that reaches the scan, so the raw texts of the day are not read.
+    """
+    today = arrived_today(documents, now, zone)
+    place = F.struct("insert_time", "metadata.topic", "metadata.partition", "metadata.offset")
+    newest = today.agg(F.max(place).alias("at")).select("at.*").first()
+    if newest["insert_time"] is None:
+        return today.limit(0)
+    found = F.col("insert_time") == F.lit(newest["insert_time"])
+    for name in ("topic", "partition", "offset"):
+        found = found & F.col(f"metadata.{name}").eqNullSafe(F.lit(newest[name]))
+    return today.filter(found).limit(1)
 
 
 def freshness(

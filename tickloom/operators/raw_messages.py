@@ -1,4 +1,4 @@
-"""The original messages behind anomalous windows, in lists of bounded length."""
+"""The original messages behind anomalous windows, in lists of bounded size."""
 
 from __future__ import annotations
 
@@ -10,17 +10,40 @@ from pyspark.sql import functions as F
 from tickloom.operators.joins import BROADCAST_LIMIT, is_small
 from tickloom.operators.vwap import WINDOW
 
-MESSAGES_PER_LIST = 100_000
-SLICES = 32
+# About so many bytes of messages in one list; well below the size of record that a broker takes.
+LIST_BYTES = 256 * 1024
+ROWS_PER_SLICE = 1_000_000
 
 
-def _parts(per_list: int) -> Column:
+def _parts(list_bytes: int) -> Column:
     """Number of lists a window needs."""
-    return F.greatest(F.ceil(F.col("message_count") / per_list), F.lit(1)).cast("int")
+    return F.greatest(F.ceil(F.col("message_bytes") / list_bytes), F.lit(1)).cast("int")
 
 
-def _lists(rows: DataFrame, windows: DataFrame, collected: Column) -> DataFrame:
-    return rows.groupBy(*windows.columns, "part", "parts").agg(collected.alias("raw_messages"))
+def _same_window(a: str, b: str, *more: str) -> Column:
+    """Windows of one stock; a missing stock code is a stock of its own."""
+    condition = F.col(f"{a}.window") == F.col(f"{b}.window")
+    for name in ("stock_code", *more):
+        condition = condition & F.col(f"{a}.{name}").eqNullSafe(F.col(f"{b}.{name}"))
+    return condition
+
+
+def _complete(windows: DataFrame, lists: DataFrame, list_bytes: int) -> DataFrame:
+    """Every window in all of its parts, whether or not messages were found for them."""
+    wanted = windows.withColumn("parts", _parts(list_bytes)).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    )
+    totals = lists.groupBy("window", "stock_code").agg(F.sum(F.size("raw_messages")).alias("found"))
+    joined = (
+        wanted.alias("w")
+        .join(lists.alias("l"), _same_window("w", "l", "part"), "left")
+        .join(totals.alias("t"), _same_window("w", "t"), "left")
+    )
+    return joined.select(
+        "w.*",
+        F.coalesce("l.raw_messages", F.array().cast("array<string>")).alias("raw_messages"),
+        (F.coalesce("t.found", F.lit(0)) >= F.col("w.message_count")).alias("messages_complete"),
+    )
 
 
 def with_messages(
@@ -28,50 +51,59 @@ def with_messages(
     trades: DataFrame,
     width: str = WINDOW,
     spread_on: Sequence[str] = ("partition", "offset"),
-    per_list: int = MESSAGES_PER_LIST,
-    slices: int = SLICES,
+    list_bytes: int = LIST_BYTES,
+    rows_per_slice: int = ROWS_PER_SLICE,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """The given windows with their messages: ``raw_messages, part, parts`` added.
+    """The given windows with their messages: ``raw_messages, part, parts, messages_complete`` added.
 
-    ``windows`` (with ``window, stock_code, message_count``) are the few windows in question, so
-    only their messages are gathered, not those of all windows. They are measured and should be
-    stored or cached: below ``limit`` bytes they are broadcast and all other trades are dropped
-    before any shuffle. Beyond that the join shuffles, cut into ``slices`` so that the messages of
-    one hot window spread over that many tasks.
+    ``windows`` (with ``window, stock_code, message_count, message_bytes``) are the few windows in
+    question, so only their messages are gathered, not those of all windows. They are measured and should
+    be stored or cached: below ``limit`` bytes they are broadcast and all other trades are dropped before
+    any shuffle. Beyond that the join shuffles, each window cut into as many slices as its messages need.
 
-    One window gives one row unless it has more than ``per_list`` messages; then ``parts`` rows hold
-    them all.
+    A window always gives ``parts`` rows, one for each ``list_bytes`` of its messages; ``part`` counts
+    them. No window is lost: one whose messages are not (all) in ``trades`` has lists that are empty or
+    short, and ``messages_complete`` is false.
     """
-    wanted = windows.withColumn("parts", _parts(per_list))
+    wanted = windows.select("window", "stock_code", "message_count", _parts(list_bytes).alias("parts"))
     spread = F.xxhash64(*spread_on)
     timed = trades.select(
         F.window("timestamp", width).alias("window"),
         "stock_code",
         "original_message",
-        spread.alias("_spread"),
+        spread.alias("spread"),
     )
-    keys = ["window", "stock_code"]
     if is_small(windows, limit):
-        found = timed.join(F.broadcast(wanted), keys)
+        found = timed.alias("t").join(F.broadcast(wanted).alias("w"), _same_window("t", "w"))
     else:
-        slice_of = F.pmod("_spread", F.lit(slices)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-        found = timed.withColumn("_slice", slice_of).join(
-            wanted.select("*", every.alias("_slice")), [*keys, "_slice"]
-        )
-    part = F.pmod(F.shiftrightunsigned("_spread", 16), F.col("parts")).cast("int")
-    return _lists(found.withColumn("part", part), windows, F.collect_list("original_message"))
-
+        # Slices by the size of each window; small windows stay whole.
+        cuts = F.greatest(F.ceil(F.col("message_count") / rows_per_slice), F.lit(1)).cast("int")
+        sliced = wanted.withColumn("cuts", cuts)
+        hot = sliced.filter("cuts > 1").select("window", "stock_code", "cuts")
+        marked = timed.alias("t").join(F.broadcast(hot).alias("h"), _same_window("t", "h"), "left")
+        rows = marked.select("t.*", F.pmod("spread", F.coalesce("cuts", F.lit(1))).cast("int").alias("slice"))
+        every = sliced.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        found = rows.alias("t").join(every.alias("w"), _same_window("t", "w", "slice"))
+    part = F.pmod(F.shiftrightunsigned("spread", 16), F.col("parts")).cast("int")
+    lists = (
+        found.select("t.window", "t.stock_code", part.alias("part"), "original_message")
+        .groupBy("window", "stock_code", "part")
+        .agg(F.collect_list("original_message").alias("raw_messages"))
+    )
+    return _complete(windows, lists, list_bytes)
 
-def with_sliced_messages(
-    windows: DataFrame, sliced: DataFrame, per_list: int = MESSAGES_PER_LIST
-) -> DataFrame:
-    """The same from sub-groups that kept their messages (:func:`vwap.window_sums` with ``slices``).
 
-    A window is spread over at most as many rows as it has slices.
-    """
-    wanted = windows.withColumn("parts", _parts(per_list))
+def with_sliced_messages(windows: DataFrame, sliced: DataFrame, list_bytes: int = LIST_BYTES) -> DataFrame:
+    """The same from sub-groups that kept their messages (:func:`vwap.window_sums` with ``slices``)."""
+    wanted = windows.select("window", "stock_code", _parts(list_bytes).alias("parts"))
     kept = sliced.select("window", "stock_code", "slice", "raw_messages")
-    found = kept.join(wanted, ["window", "stock_code"]).withColumn("part", F.pmod("slice", "parts"))
-    return _lists(found, windows, F.flatten(F.collect_list("raw_messages")))
+    found = kept.alias("t").join(wanted.alias("w"), _same_window("t", "w"))
+    each = found.select("t.window", "t.stock_code", "parts", "slice", F.posexplode("raw_messages").alias("at", "message"))
+    part = F.pmod(F.xxhash64("slice", "at"), F.col("parts")).cast("int")
+    lists = (
+        each.select("window", "stock_code", part.alias("part"), "message")
+        .groupBy("window", "stock_code", "part")
+        .agg(F.collect_list("message").alias("raw_messages"))
+    )
+    return _complete(windows, lists, list_bytes)

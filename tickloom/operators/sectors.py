@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.numbers import trimmed
 from tickloom.operators.joins import BROADCAST_LIMIT, ROWS_PER_SLICE, is_small, sliced_left_join
 
 # Fixed value: how a link shows the stock it leads to.
 STOCK_LINK = r"code=(\d{6})"
-# An anchor with its target and its text.
-ANCHOR = r'<a [^>]*href="([^"]+)"[^>]*>([^<]*)</a>'
+# An anchor, whatever its case, quotes and inner elements; its target; markup inside its text.
+ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*(?:\"[^\"]*\"|'[^']*')[^>]*>.*?</a\s*>"
+TARGET = r"(?is)^<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+MARKUP = r"<[^>]*>"
 
-SECTOR_PAGES_PER_ROW = 10_000
+SECTORS_PER_ROW = 10_000
+PAGES_PER_BUCKET = 10_000
 
 
 def sector_rows(entries: DataFrame) -> DataFrame:
@@ -58,10 +62,13 @@ def sector_links(
 ) -> DataFrame:
     """One row per stock link found in already fetched sector pages, with its visit position."""
 
-    def found(group: int) -> Column:
-        return F.regexp_extract_all(html, F.lit(anchor_pattern), F.lit(group))
-
-    anchors = F.arrays_zip(found(1).alias("href"), found(2).alias("text"))
+    anchors = F.transform(
+        F.regexp_extract_all(html, F.lit(anchor_pattern), F.lit(0)),
+        lambda a: F.struct(
+            F.concat(F.regexp_extract(a, TARGET, 1), F.regexp_extract(a, TARGET, 2)).alias("href"),
+            trimmed(F.regexp_replace(a, MARKUP, "")).alias("text"),
+        ),
+    )
     links = pages.select(
         sector.alias("sector"),
         page_order.alias("page_order"),
@@ -76,17 +83,23 @@ def sector_links(
     ).filter(F.col("stock_code") != "")
 
 
-def sector_map(links: DataFrame, pages_per_row: int = SECTOR_PAGES_PER_ROW) -> DataFrame:
+def sector_map(links: DataFrame, per_row: int = SECTORS_PER_ROW, pages_per_bucket: int = PAGES_PER_BUCKET) -> DataFrame:
     """Per stock: the name seen first and its sectors in visit order.
 
-    A list never spans more than ``pages_per_row`` consecutive pages: a stock found on more pages
-    gets further rows, numbered by ``part``. Readers explode the lists, so the dimension is the same
-    however many rows it came in.
+    A stock with more than ``per_row`` links gets further rows, numbered by ``part``; a shorter list is
+    always one row, wherever its pages are. Positions are counted within buckets of pages and added up
+    over the few buckets of a stock, so no task sorts all links of one.
     """
     place = F.struct("page_order", "link_order")
-    part = F.floor(F.col("page_order") / pages_per_row).alias("part")
+    bucketed = links.withColumn("bucket", F.floor(F.col("page_order") / pages_per_bucket))
+    sizes = bucketed.groupBy("stock_code", "bucket").agg(F.count("*").alias("links"))
+    earlier = Window.partitionBy("stock_code").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("stock_code", "bucket", F.coalesce(F.sum("links").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("stock_code", "bucket").orderBy("page_order", "link_order")
+    placed = bucketed.withColumn("inside", F.row_number().over(inside) - 1).join(before, ["stock_code", "bucket"])
+    part = F.floor((F.col("before") + F.col("inside")) / per_row).alias("part")
     visits = F.array_sort(F.collect_list(F.struct("page_order", "link_order", "sector")))
-    lists = links.groupBy("stock_code", part).agg(
+    lists = placed.groupBy("stock_code", part).agg(
         F.transform(visits, lambda visit: visit["sector"]).alias("sectors")
     )
     names = links.groupBy("stock_code").agg(F.min_by("name", place).alias("name"))

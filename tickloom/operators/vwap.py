@@ -22,6 +22,7 @@ LATENESS = "1 minute"
 SPREAD = 0.05
 ABOVE_MEAN = 0.03
 
+# Column names of the report and of anomalies.
 REPORT_COLUMNS = ("update_time", "stock_code", "sector", "name", "vwap", "total_volume")
 ANOMALY_COLUMNS = (
     "update_time",
@@ -33,22 +34,32 @@ ANOMALY_COLUMNS = (
     "max_price",
     "total_volume",
 )
-MESSAGE_FIELDS = (*ANOMALY_COLUMNS, "raw_messages")
+MESSAGE_FIELDS = (*ANOMALY_COLUMNS, "raw_messages", "part", "parts", "messages_complete")
+
+# Whole numbers of 64 bits, their products and the sums of these.
+EXACT = "decimal(38,0)"
 
 
 def with_numbers(trades: DataFrame) -> DataFrame:
     return trades if "whole_price" in trades.columns else trade_numbers(trades)
 
 
+def _whole(name: str) -> Column:
+    return F.col(name).cast("decimal(19,0)")
+
+
 def _sums(trades: DataFrame) -> list[Column]:
+    """Sums that do not depend on how rows are grouped on the way: none overflows where 64 bits would."""
+    size = F.octet_length("original_message") if "original_message" in trades.columns else F.lit(0)
     return [
-        F.try_sum(F.try_multiply("whole_price", "volume")).alias("sum_price_volume"),
-        F.try_sum("volume").alias("total_volume"),
+        F.try_sum(F.try_multiply(_whole("whole_price"), _whole("volume")).try_cast(EXACT)).alias("sum_price_volume"),
+        F.try_sum(_whole("volume")).alias("sum_volume"),
         F.min("whole_price").alias("min_price"),
         F.max("whole_price").alias("max_price"),
         F.try_sum("price").alias("sum_price"),
         F.count("price").alias("price_count"),
         F.count("*").alias("message_count"),
+        F.sum(size).alias("message_bytes"),
     ]
 
 
@@ -78,20 +89,21 @@ def window_sums(
 def merge_slices(sums: DataFrame) -> DataFrame:
     """Sums of sub-groups to sums per (window, stock); messages are left aside."""
     return sums.groupBy("window", "stock_code").agg(
-        *[F.try_sum(name).alias(name) for name in ("sum_price_volume", "total_volume", "sum_price")],
+        *[F.try_sum(name).alias(name) for name in ("sum_price_volume", "sum_volume", "sum_price")],
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
-        *[F.sum(name).alias(name) for name in ("price_count", "message_count")],
+        *[F.sum(name).alias(name) for name in ("price_count", "message_count", "message_bytes")],
     )
 
 
 def window_stats(sums: DataFrame) -> DataFrame:
-    """Add the mean price (fraction cut off), the VWAP and the window start as ISO text."""
+    """Add the mean price (fraction cut off), the VWAP, the volume and the window start as ISO text."""
     mean = F.expr("sum_price div nullif(price_count, 0)")
     return sums.withColumns(
         {
             "avg_price": mean,
-            "vwap": ratio(F.col("sum_price_volume"), F.col("total_volume")),
+            "vwap": ratio(F.col("sum_price_volume"), F.col("sum_volume")),
+            "total_volume": F.col("sum_volume").try_cast("long"),
             "update_time": iso_text(F.col("window.start")),
         }
     )
@@ -109,12 +121,13 @@ def anomalies(stats: DataFrame, spread: float = SPREAD, above_mean: float = ABOV
 
 
 def anomaly_rows(stats: DataFrame) -> DataFrame:
-    extra = [name for name in ("raw_messages", "part", "parts") if name in stats.columns]
+    extra = [name for name in ("raw_messages", "part", "parts", "messages_complete") if name in stats.columns]
     return stats.select(*ANOMALY_COLUMNS, *extra)
 
 
 def anomaly_messages(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Kafka rows of anomalies: key = stock, value = JSON of nine fields with the raw messages."""
+    """Kafka rows of anomalies: key = stock, value = JSON of the anomaly, its raw messages, which ``part`` of
+    how many ``parts`` this is, and whether all messages were found."""
     value = F.to_json(F.struct(*MESSAGE_FIELDS))
     return rows.select(F.col("stock_code").alias("key"), value.alias("value"), *keep)
 
@@ -124,15 +137,15 @@ def sector_breakdown(stats: DataFrame) -> DataFrame:
     return (
         stats.groupBy("update_time", "sector")
         .agg(
-            F.count("stock_code").alias("stocks"),
-            F.try_sum("total_volume").alias("sector_volume"),
+            F.count("*").alias("stocks"),
+            F.try_sum("sum_volume").alias("volume"),
             F.try_sum("sum_price_volume").alias("sector_price_volume"),
         )
         .select(
             "update_time",
             "sector",
             "stocks",
-            "sector_volume",
-            ratio(F.col("sector_price_volume"), F.col("sector_volume")).alias("sector_vwap"),
+            F.col("volume").try_cast("long").alias("sector_volume"),
+            ratio(F.col("sector_price_volume"), F.col("volume")).alias("sector_vwap"),
         )
     )

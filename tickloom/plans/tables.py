@@ -16,6 +16,10 @@ EVENTS = (
 )
 
 
+# The user whose trades come without a key.
+KEYLESS = 1
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -52,9 +56,10 @@ def _message(volume: Column) -> Column:
 
 
 def _records(events: DataFrame, topic: Column, time: str, text: Column | None = None) -> DataFrame:
+    """Records of one stock have no key, so that missing keys are part of the data."""
     message = _message(quantity()) if text is None else text
     return events.select(
-        F.encode(stock(), "utf-8").alias("key"),
+        F.when(F.col("user_id") != KEYLESS, F.encode(stock(), "utf-8")).alias("key"),
         F.encode(message, "utf-8").alias("value"),
         topic.alias("topic"),
         F.pmod(F.col("user_id"), F.lit(8)).cast("int").alias("partition"),
@@ -90,28 +95,41 @@ def broken_records(events: DataFrame) -> DataFrame:
     return _records(events, F.lit(TRADE.tr_id), "timestamp_ntz", text)
 
 
+def record_count() -> Column:
+    """One to three records in a frame."""
+    return (1 + F.pmod(F.col("event_id"), F.lit(3))).cast("int")
+
+
 def _payload(layout: Layout, fixed: dict[int, Column], blank: tuple[int, ...], cut: int | None) -> Column:
-    """One record of a layout. Numbers are cents plus position, odd positions with a fraction;
-    error events leave the ``blank`` positions empty, signups end before position ``cut``."""
+    """The records of a frame, one after the other. Numbers are cents plus position plus a thousand for
+    each record before, odd positions with a fraction; error events leave the ``blank`` positions empty,
+    the last record of signups ends before position ``cut``. Fixed values are those of the first record."""
     as_text = [i for i, _, policy in layout.fields if policy == "text"]
 
-    def part(i: Column) -> Column:
-        number = (cents() + i).cast("string")
+    def part(i: Column, k: Column) -> Column:
+        number = (cents() + i + 1000 * k).cast("string")
         value = F.when((F.col("event_type") == "error") & i.isin(*blank), "")
         for position, text in fixed.items():
-            value = value.when(i == position, text)
+            value = value.when((i == position) & ((k == 0) | (i != 2)), text)
         value = value.when(i.isin(*as_text), F.concat("event_type", i.cast("string")))
         return value.when(i % 2 == 1, F.concat(number, F.lit(".25"))).otherwise(number)
 
-    parts = F.transform(F.sequence(F.lit(0), F.lit(layout.width - 1)), part)
-    if cut is not None:
-        parts = F.when(F.col("event_type") == "signup", F.slice(parts, 1, cut)).otherwise(parts)
-    return F.concat_ws("^", parts)
+    def record(k: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.lit(layout.width - 1)), lambda i: part(i, k))
+        if cut is not None:
+            short = (F.col("event_type") == "signup") & (k == record_count() - 1)
+            parts = F.when(short, F.slice(parts, 1, cut)).otherwise(parts)
+        return F.concat_ws("^", parts)
+
+    return F.concat_ws("^", F.transform(F.sequence(F.lit(0), record_count() - 1), record))
 
 
 def _with_frame(events: DataFrame, tr_id: str, payload: Column) -> DataFrame:
-    """The frame leaves through a generator, so that filters above do not build it again."""
-    frame = F.concat(F.lit(f"0|{tr_id}|001|"), payload)
+    """The frame leaves through a generator, so that filters above do not build it again. The count is one
+    too high in every fifth frame of clicks."""
+    wrong = (F.col("event_type") == "click") & (F.pmod(F.col("event_id"), F.lit(5)) == 0)
+    count = F.lpad((record_count() + wrong.cast("int")).cast("string"), 3, "0")
+    frame = F.concat(F.lit(f"0|{tr_id}|"), count, F.lit("|"), payload)
     return events.select("*", F.explode(F.array(frame)).alias("frame"))
 
 
@@ -173,3 +191,13 @@ def lineitem_trades(lineitem: DataFrame) -> DataFrame:
         price.alias("whole_price"),
         F.col("l_quantity").cast("long").alias("volume"),
     )
+
+
+def linked_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with stock links of several spellings added, and links that lead to no stock."""
+    code = F.lpad((F.col("page_id") % 40).cast("string"), 6, "0")
+    links = F.concat(
+        F.lit('<A class="x" HREF=\'/item?code='), code, F.lit("'><b>stock "), code, F.lit('</b></A><a href="/item?code=12">short</a>'),
+        F.lit('<a\n href="/sise?code='), F.lpad((F.col("page_id") % 7).cast("string"), 6, "9"), F.lit('">  nine </a>'),
+    )
+    return pages.withColumn("html", F.concat("html", links))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import local_day
@@ -12,11 +12,17 @@ from tickloom.operators.archive import ZONE
 from tickloom.operators.trades import parse_trades
 
 PARTITIONS = ("topic", "insert_day")
+SCHEMA = (
+    "raw_data string, metadata struct<topic:string, partition:int, offset:bigint, key:string>, kafka_timestamp timestamp, "
+    "insert_time timestamp, insert_date string, topic string, insert_day date"
+)
+# How long after it was sent a record may reach the archive.
+LAG = "7 days"
 
 
 def read_archive(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
     """Archived documents; with ``topic`` only that topic's folders are read."""
-    documents = spark.read.parquet(path)
+    documents = spark.read.schema(SCHEMA).parquet(path)
     return documents if topic is None else documents.filter(F.col("topic") == topic)
 
 
@@ -24,6 +30,19 @@ def write_archive(documents: DataFrame, path: str) -> None:
     documents.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
+def compact_days(documents: DataFrame, target: str, before: Column) -> None:
+    """Write the days before ``before`` anew into the table ``target``, in files of the size that Spark
+    aims at instead of one per task and flush. A repeated run overwrites just these days."""
+    (
+        documents.filter(F.col("insert_day") < before)
+        .hint("rebalance", *PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .parquet(target)
+    )
+
+
 def archived_records(documents: DataFrame) -> DataFrame:
     """Documents back in the shape of Kafka records."""
     return documents.select(
@@ -38,12 +57,19 @@ def archived_records(documents: DataFrame) -> DataFrame:
 
 
 def archived_trades(
-    spark: SparkSession, path: str, topic: str, start: datetime, end: datetime, zone: str = ZONE
+    spark: SparkSession,
+    path: str,
+    topic: str,
+    start: datetime,
+    end: datetime,
+    zone: str = ZONE,
+    lag: str = LAG,
 ) -> DataFrame:
-    """Parsed trades sent in ``[start, end)``. A record is archived after it was sent, so only the
-    folders from the start's day on are read."""
+    """Parsed trades sent in ``[start, end)``. A record is archived after it was sent and within ``lag``,
+    so only the folders of these days are read."""
+    last = local_day(F.lit(end) + F.expr(f"interval {lag}"), zone)
     sent = F.col("timestamp")
     records = archived_records(read_archive(spark, path, topic)).filter(
-        (F.col("insert_day") >= local_day(F.lit(start), zone)) & (sent >= F.lit(start)) & (sent < F.lit(end))
+        F.col("insert_day").between(local_day(F.lit(start), zone), last) & (sent >= F.lit(start)) & (sent < F.lit(end))
     )
     return parse_trades(records, keep=["partition", "offset"])

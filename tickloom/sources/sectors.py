@@ -16,5 +16,7 @@ def read_sectors(spark: SparkSession, path: str, multiline: bool = True) -> Data
 
 
 def write_sectors(entries: DataFrame, path: str) -> None:
-    """Write ``stock_code, name, sectors`` as JSON, one object per line."""
-    entries.select("stock_code", "name", "sectors").write.mode("overwrite").json(path)
+    """Write ``stock_code, name, sectors`` as JSON, one object per line, with ``part`` where a stock has
+    several rows."""
+    part = [name for name in ("part",) if name in entries.columns]
+    entries.select("stock_code", "name", "sectors", *part).write.mode("overwrite").json(path)

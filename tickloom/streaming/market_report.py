@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators import raw_messages as raw
 from tickloom.operators import vwap
 from tickloom.operators.sectors import enrich
+from tickloom.session import store
 from tickloom.sources.sinks import Sink
 
 ArchivedTrades = Callable[[datetime, datetime], DataFrame]
@@ -43,26 +44,30 @@ def start_market_report(
     above_mean: float = vwap.ABOVE_MEAN,
     archive: ArchivedTrades | None = None,
     slices: int = 16,
-    per_list: int = raw.MESSAGES_PER_LIST,
+    list_bytes: int = raw.LIST_BYTES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """One query, three outputs: the source is read once and the state is kept once.
 
-    The messages behind anomalies are kept in the state, cut into ``slices`` per window and stock,
-    and are exactly those that were counted. With ``archive``, a function that gives the parsed
-    trades of a time range, the state holds sums only and the messages are looked up, for anomalous
-    windows alone; a message that came after its window was closed is then in the list too.
+    With ``archive``, a function that gives the parsed trades of a time range, the state holds sums only
+    and the messages are looked up, for anomalous windows alone. An anomaly is written in any case; where
+    the archive lags behind, ``messages_complete`` is false. This is the way for feeds of any size.
+    Without it the messages of all open windows are kept in the state, cut into ``slices`` per window and
+    stock, and are exactly those that were counted: for feeds whose open windows fit the state.
+
+    The dimension is stored when the stream starts; a rewritten sector file takes effect with a restart.
     """
+    dim = store(dim, "report-dim")
     sums = vwap.window_sums(trades, width, lateness, None if archive is not None else slices)
 
     def anomalies_with_messages(stats: DataFrame, closed: DataFrame) -> DataFrame:
         found = vwap.anomalies(stats, spread, above_mean)
         if archive is None:
-            return raw.with_sliced_messages(found, closed, per_list)
+            return raw.with_sliced_messages(found, closed, list_bytes)
         start, end = found.agg(F.min("window.start"), F.max("window.end")).first()
         if start is None:  # no anomalies: an empty range
             start = end = datetime(1970, 1, 2)
-        return raw.with_messages(found, archive(start, end), width, per_list=per_list)
+        return raw.with_messages(found, archive(start, end), width, list_bytes=list_bytes)
 
     def write(closed: DataFrame, batch_id: int) -> None:
         closed.persist()
@@ -76,7 +81,7 @@ def start_market_report(
             # Two sinks take the anomalies; their messages are gathered once.
             odd = enrich(anomalies_with_messages(stats, closed), dim).persist()
             report_sink(enrich(stats, dim).select(*vwap.REPORT_COLUMNS, "report_date"), batch_id)
-            anomaly_sink(odd.select(*vwap.MESSAGE_FIELDS, "part", "parts", "report_date"), batch_id)
+            anomaly_sink(odd.select(*vwap.MESSAGE_FIELDS, "report_date"), batch_id)
             message_sink(vwap.anomaly_messages(odd, keep=["report_date"]), batch_id)
         finally:
             if odd is not None:
