@@ -71,3 +71,14 @@ print("rows", store(spark.range(3), "x").count())
         [sys.executable, "-c", code], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": root, "SPARK_CONF_DIR": str(tmp_path)}, timeout=200
     )
     assert "said True" in done.stdout and "rows 3" in done.stdout, done.stderr[-2000:]
+
+
+def test_document_ids_tell_rows_apart_and_repeat(spark):
+    rows = spark.createDataFrame(
+        [("t", "1", None, "n", 1), ("t", "1", "n", None, 1), ("t", "1", None, "n", 2)],
+        "update_time string, stock_code string, sector string, name string, total_volume long",
+    )
+    ids = [r.document_id for r in sinks.with_document_id(rows).collect()]
+    assert ids[0] == ids[2] != ids[1]
+    parts = sinks.with_document_id(rows.withColumn("part", rows["total_volume"]))
+    assert parts.select("document_id").distinct().count() == 3

@@ -22,8 +22,9 @@ ANOMALY_INDEX = "stock_report_anomal_{report_date}"
 INDEX_FIELDS = {
     "es.mapping.properties.name": "keyword",
     "es.mapping.properties.update_time": "date",
-    "es.mapping.exclude": "report_date",
+    "es.mapping.exclude": "report_date,document_id",
 }
+# Connection settings of the index.
 INDEX_CONNECTION = {
     "es.net.ssl": "true",
     "es.nodes.wan.only": "true",
@@ -49,15 +50,28 @@ def table_sink(path: str) -> Sink:
     return write
 
 
+# What tells documents of one index apart; a redone batch writes the same ones again.
+INDEX_KEYS = ("update_time", "stock_code", "sector", "name", "part")
+INDEX_WRITE = {"es.mapping.id": "document_id", "es.write.operation": "upsert"}
+
+
+def with_document_id(rows: DataFrame) -> DataFrame:
+    """Add ``document_id``, made of the keys that the rows have. NULLs count as values."""
+    keys = [name for name in INDEX_KEYS if name in rows.columns]
+    text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    return rows.withColumn("document_id", F.sha2(text, 256))
+
+
 def index_sink(index: str, **options: str) -> Sink:
-    """A search index per report day. ``options`` hold host, port and credentials."""
+    """A search index per report day. ``options`` hold host, port and credentials. Documents have ids of
+    their own, so a repeated batch overwrites what it wrote before."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         (
-            rows.withColumn("report_date", F.col("report_date").cast("string"))
+            with_document_id(rows.withColumn("report_date", F.col("report_date").cast("string")))
             .write.format("org.elasticsearch.spark.sql")
             .mode("append")
-            .options(**INDEX_CONNECTION, **INDEX_FIELDS)
+            .options(**INDEX_CONNECTION, **INDEX_FIELDS, **INDEX_WRITE)
             .options(**options)
             .option("es.resource", index)
             .save()
