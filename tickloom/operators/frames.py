@@ -51,24 +51,34 @@ def split_frames(
     split and cast once however many fields a filter looks at.
     """
     kind = frame_class(F.col(frame_col))
-    fields = F.when(kind == "data", F.split(F.col(frame_col), r"\|"))
-    tr_id = F.get(fields, F.lit(1))
-    payload = F.split(F.get(fields, F.lit(3)), r"\^")
-    width = F.coalesce(_width(tr_id, layouts), F.greatest(F.size(payload), F.lit(1)))
-    last = F.greatest(F.floor((F.size(payload) - 1) / width), F.lit(0)).cast("int")
-    said = F.get(fields, F.lit(2)).try_cast("int")
+    # Each step is a projection of its own, so that a frame is split once however often its parts are used.
+    split = (
+        frames.withColumn("_fields", F.when(kind == "data", F.split(F.col(frame_col), r"\|")))
+        .withColumn("_payload", F.split(F.get("_fields", F.lit(3)), r"\^"))
+        .withColumn("_tr_id", F.get("_fields", F.lit(1)))
+    )
+    payload, size = F.col("_payload"), F.size("_payload")
+    split = split.withColumn("_width", F.coalesce(_width(F.col("_tr_id"), layouts), F.greatest(size, F.lit(1))))
+    width = F.col("_width")
+    last = F.coalesce(F.greatest(F.floor((size - 1) / width), F.lit(0)), F.lit(0)).cast("int")
+    split = split.withColumn("_last", last)
+    said = F.get("_fields", F.lit(2)).try_cast("int")
+    records = F.transform(
+        F.sequence(F.lit(0), F.col("_last")),
+        lambda i: F.struct(i.alias("record_no"), F.slice(payload, i * width + 1, width).alias("parts")),
+    )
     typed = F.transform(
-        F.sequence(F.lit(0), F.coalesce(last, F.lit(0))),
-        lambda i: F.struct(
+        records,
+        lambda r: F.struct(
             kind.alias("frame_class"),
-            tr_id.alias("tr_id"),
-            i.alias("record_no"),
-            F.coalesce(said == last + 1, F.lit(False)).alias("count_fits"),
-            F.slice(payload, i * width + 1, width).alias("parts"),
+            F.col("_tr_id").alias("tr_id"),
+            r["record_no"].alias("record_no"),
+            F.coalesce(said == F.col("_last") + 1, F.lit(False)).alias("count_fits"),
+            r["parts"].alias("parts"),
+            F.transform(r["parts"], number).alias("numbers"),
         ),
     )
-    cut = frames.select("*", F.inline(typed))
-    return cut.withColumn("numbers", F.transform("parts", number))
+    return split.select(*frames.columns, F.inline(typed))
 
 
 def _part(position: int) -> Column:
