@@ -21,17 +21,23 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickloom.llm.batches import slices
 
 MARK = "▁"
-CACHE = 300_000  # words in each of two generations
-PAIRS = 2_000_000
+CACHE = 100_000  # words in each of two generations; workers keep them between tasks
+PAIRS = 300_000
+SLICE_BYTES = 2 << 20
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -250,15 +256,22 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 def encoded_and_decoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``ids`` and ``decoded`` (or replace columns of these names), both from one pass over the words."""
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        model = pieces(path)
-        trips = [model.round_trip(t or "") for t in texts]
-        ids = [np.fromstring(i, dtype=np.int32, sep=" ") for i, _ in trips]
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [d for _, d in trips]})
-
     others = [c for c in docs.columns if c not in ("ids", "decoded")]
-    return docs.select(*others, of(F.col(text)).alias("_d")).select(*others, "_d.*")
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    at = others.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(path)
+        for whole in batches:
+            for batch in slices(whole, at, SLICE_BYTES):
+                trips = [model.round_trip(t or "") for t in batch.column(at).to_pylist()]
+                ids = [np.fromstring(i, dtype=np.int32, sep=" ") for i, _ in trips]
+                bounds = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(ids)))
+                decoded = pa.array([d for _, d in trips], type=pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists, decoded], [*others, "ids", "decoded"])
+
+    return docs.select(*others).mapInArrow(run, T.StructType([*docs.select(*others).schema.fields, *added]))
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

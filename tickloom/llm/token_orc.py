@@ -27,12 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.batches import slices
 from tickloom.session import run_folder, store
 
 END = 0
 CACHE = 500_000  # words in each of two generations
 TOGETHER = 16
-SLICE_BYTES = 8 << 20
 PLACE_BITS = 33
 ODD = False
 SPACE = "\u0120"  # the space in names of byte-level tokens
@@ -143,24 +143,13 @@ def encoder(path: str) -> WordEncoder:
     return _loaded[path]
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with a bounded sum of text, one row at least."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < batch.num_rows:
-        done = sizes[start - 1] if start else 0
-        end = max(int(np.searchsorted(sizes, done + SLICE_BYTES, side="right")), start + 1)
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def _encoder(path: str, end: int):
     mark = np.array([end], dtype="<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in slices(whole, 1):
                 texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
                 rows, ids = words.encode(texts, mark)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), ids], ["doc_id", "ids"])
