@@ -8,6 +8,10 @@ import pytest
 from tickloom.llm import line_dedup, queries
 
 
+def shingles(line, size=9):
+    return frozenset(line[i : i + size] for i in range(max(len(line) - size + 1, 1)))
+
+
 def plain(docs, limit=0.8):
     """Texts after deduplication by comparison of all pairs of lines."""
     docs = sorted(docs, key=lambda d: d[0])
@@ -16,7 +20,7 @@ def plain(docs, limit=0.8):
     for i, p, line in places:
         first.setdefault(line, (i, p))
     lines = list(first)
-    sets = [line_dedup.shingles(line) for line in lines]
+    sets = [shingles(line) for line in lines]
     label = list(range(len(lines)))
 
     def root(i):

@@ -4,7 +4,7 @@ Lines are compared in lower case with white space collapsed. Equal lines become
 that occurs everywhere costs one row. Each different line gets a MinHash signature, whose bands put it
 into buckets; twelve bands of four values find a pair of similarity 0.8 with probability 0.998 and one of 0.85
 with 0.9998. Lines that share a bucket are compared exactly by the Jaccard similarity of their
-shingle sets; buckets with the same members are compared once, large buckets are cut into tiles, all pairs
+shingle sets (of 64-bit hashes of the shingles); buckets with the same members are compared once, large buckets are cut into tiles, all pairs
 of which are read. Within a tile, lines already joined are not compared again, and what leaves a task is
 a forest of links. Components are found by distributed union-find, and of each component the line that
 comes first (by document id, then position) stays; all other occurrences go.
@@ -33,11 +33,15 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 TILE = 1024
 SEED = 20
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 15  # what the working arrays of a block take stays in the cache
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+    """Lower case, white space collapsed. Few lines hold any that has to be, so the pattern runs on these."""
+    odd = F.lit(False)
+    for space in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd = odd | line.contains(space)
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
 
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -47,19 +51,32 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return rows.select("id", "pos", F.unhex(F.md5("line")).alias("key"), "line")
 
 
-def shingles(line: str, size: int = SHINGLE) -> frozenset[str]:
-    return frozenset(line[i : i + size] for i in range(max(len(line) - size + 1, 1)))
-
-
 def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
-    """A 32-bit hash of every run of ``size`` characters."""
+    """A 64-bit hash of every run of ``size`` characters."""
     n = len(codes) - size + 1
     found = np.zeros(n, dtype=np.uint64)
     for at in range(size):
-        found = found * np.uint64(0x100000001B3) + codes[at : at + n]
+        found *= np.uint64(0x100000001B3)
+        found += codes[at : at + n]
     found ^= found >> np.uint64(29)
     found *= np.uint64(0xBF58476D1CE4E5B9)
-    return (found >> np.uint64(32)).astype(np.uint32)
+    return found
+
+
+def _codes(lines: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(lines).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
+
+
+def shingle_hashes(line: str, size: int = SHINGLE) -> np.ndarray:
+    """The different shingles of a line as 64-bit hashes, in order."""
+    hashes = np.sort(_rolling(_codes([line if len(line) >= size else line.ljust(size, "\0")]), size))
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many hashes two lines share."""
+    at = np.searchsorted(b, a)
+    return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
 
 
 def signatures(lines: list[str], bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> np.ndarray:
@@ -75,18 +92,20 @@ def signatures(lines: list[str], bands: int = BANDS, rows: int = ROWS, size: int
             chars += len(lines[end])
             end += 1
         padded = [line if len(line) >= size else line.ljust(size, "\0") for line in lines[start:end]]
-        codes = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
+        codes = _codes(padded)
         lengths = np.array([len(p) for p in padded])
         firsts = np.cumsum(lengths) - lengths
-        hashes = _rolling(codes, size)
+        hashes = (_rolling(codes, size) >> np.uint64(32)).astype(np.uint32)
         # Runs that cross into the next line belong to no line: they repeat the line's first run instead.
         last = np.repeat(firsts + lengths - size, lengths)[: len(hashes)]
         at = np.arange(len(hashes))
         hashes = np.where(at <= last, hashes, hashes[np.repeat(firsts, lengths)[: len(hashes)]])
+        mixed = np.empty_like(hashes)
         for band in range(bands):
             name = np.full(end - start, band + 1, dtype=np.uint64)
             for p in range(band * rows, (band + 1) * rows):
-                mixed = hashes * factors[p] + terms[p]
+                np.multiply(hashes, factors[p], out=mixed)
+                np.add(mixed, terms[p], out=mixed)
                 name = name * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed, firsts)
             names[start:end, band] = name ^ (name >> np.uint64(31))
         start = end
@@ -103,7 +122,7 @@ def _with_bands(different: DataFrame, bands: int, rows: int, size: int) -> DataF
 
 def _tile_links(ids: list[int], lines: list[str], sides: list[int], limit: float, size: int) -> list[tuple[int, int]]:
     """Links that join the lines of a tile (one side) or of two tiles (pairs across)."""
-    sets = [shingles(line, size) for line in lines]
+    sets = [shingle_hashes(line, size) for line in lines]
     parent = list(range(len(ids)))
 
     def root(i: int) -> int:
@@ -122,8 +141,8 @@ def _tile_links(ids: list[int], lines: list[str], sides: list[int], limit: float
                 break
             if (across and sides[i] == sides[j]) or root(i) == root(j):
                 continue
-            common = len(sets[i] & sets[j])
-            if common >= limit * (len(sets[i]) + len(sets[j]) - common):
+            shared = common(sets[i], sets[j])
+            if shared >= limit * (len(sets[i]) + len(sets[j]) - shared):
                 parent[root(j)] = root(i)
                 found.append((ids[i], ids[j]))
     return found
@@ -159,7 +178,7 @@ def similar_lines(
     banded = store(_with_bands(different, bands, rows, size), "line-bands")
     buckets = (
         banded.groupBy("band")
-        .agg(F.count("*").alias("n"), F.sum(F.xxhash64("line_id").cast("decimal(20,0)")).alias("members"))
+        .agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(line_id))").alias("members"))
         .filter("n > 1")
     )
     # Buckets with the same members are one.
