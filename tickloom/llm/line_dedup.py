@@ -31,6 +31,7 @@ from tickloom.session import store
 SHINGLE = 9
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
+SPACES = " \t\r\x0b\x0c"
 TILE = 1024
 SEED = 20
 BLOCK_CHARS = 1 << 15  # what the working arrays of a block take stays in the cache
@@ -242,7 +243,7 @@ def dedup_lines(
     met = rows.join(checked_broadcast(gone), F.col("id").eqNullSafe(F.col("gone_id")), "left")
     raw = F.split(F.coalesce("text", F.lit("")), "\n")
     stays = F.filter(raw, lambda line, at: ~F.array_contains("dropped", at))
-    lines = F.size(F.filter(raw, lambda line: F.trim(F.regexp_replace(line, r"\s+", " ")) != ""))
+    lines = F.size(F.filter(raw, lambda line: F.btrim(line, F.lit(SPACES)) != ""))
     changed = F.col("dropped").isNotNull()
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     new_text = F.when(changed, F.array_join(stays, "\n")).otherwise(F.col("text"))
