@@ -99,3 +99,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert got[3]["text"] == "Hello there." and got[4]["text"] == "" and got[4]["n_dropped"] == 1
     assert got[5]["text"] == odd_docs.filter("doc_id = 5").first()["text"]
     assert line_dedup.dedup_lines(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_but_not_a_text(spark, shipped, shared):
+    """Each row loses its own repeated lines only, and no line is left twice or lost."""
+    texts = ["x\ny", "z\nx", "same place\na", "same place\nb", "x\nalone", None]
+    rows = [(shared, t) for t in texts] + [(9, "y\nnine")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = line_dedup.dedup_lines(frame).collect()
+    left = [line for r in got for line in (r["text"] or "").split("\n") if line]
+    assert sorted(left) == ["a", "alone", "b", "nine", "same place", "x", "y", "z"]
+    assert sum(r["n_lines"] for r in got) == 12 and sum(r["n_dropped"] for r in got) == 4
+    assert all(r["n_lines"] - r["n_dropped"] == len((r["text"] or "").split("\n")) for r in got if r["text"])

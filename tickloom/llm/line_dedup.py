@@ -7,11 +7,13 @@ with 0.9998. Lines that share a bucket are compared exactly by the Jaccard simil
 shingle sets (of 64-bit hashes of the shingles); buckets with the same members are compared once, large buckets are cut into tiles, all pairs
 of which are read. Within a tile, lines already joined are not compared again, and what leaves a task is
 a forest of links. Components are found by distributed union-find, and of each component the line that
-comes first (by document id, then position) stays; all other occurrences go.
+comes first (by document id, then text hash, then position) stays; all other occurrences go.
 
 Edge cases: NULL text is the empty text; blank lines are no lines and stay; a line shorter than a shingle
-is one shingle, so only equal lines match it; repeated rows get equal results, as they name the same
-places; a NULL id comes first; an empty table gives an empty result. Texts and lines are read whole.
+is one shingle, so only equal lines match it; a row is known by its id and a hash of its text, so rows that
+share an id (NULL as well) but not a text are documents of their own, and repeated rows get equal results, as
+they name the same places; a NULL id comes first; an empty table gives an empty result. Texts and lines are
+read whole.
 """
 
 from __future__ import annotations
@@ -45,11 +47,19 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
 
 
+def text_key(text: str) -> Column:
+    """Tells the texts of one id apart."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(whole).alias("hash"), F.length(whole).alias("length"))
+
+
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``id, pos, key, line``: the lines that are not blank. ``key`` stands for the normal form."""
-    every = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("pos", "raw"))
-    rows = every.select("id", "pos", normal(F.col("raw")).alias("line")).filter("line <> ''")
-    return rows.select("id", "pos", F.unhex(F.md5("line")).alias("key"), "line")
+    """``id, text_key, pos, key, line``: the lines that are not blank. ``key`` stands for the normal form."""
+    # The key of the text is made before the text is cut, once for all of its lines.
+    whole = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), F.coalesce(text, F.lit("")).alias("text"))
+    every = whole.select("id", "text_key", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    rows = every.select("id", "text_key", "pos", normal(F.col("raw")).alias("line")).filter("line <> ''")
+    return rows.select("id", "text_key", "pos", F.unhex(F.md5("line")).alias("key"), "line")
 
 
 def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
@@ -203,15 +213,15 @@ def similar_lines(
 def line_decisions(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: float = SIMILARITY, tile: int = TILE
 ) -> DataFrame:
-    """``id, dropped``: positions of the lines that go, for each document id that loses any."""
+    """``id, text_key, dropped``: positions of the lines that go, for each id and text that loses any."""
     lines = _lines(docs, id_col, text)
-    place = F.struct("id", "pos")
+    place = F.struct("id", "text_key", "pos")
     different = store(
         lines.groupBy("key")
-        .agg(F.min(F.struct("id", "pos", "line")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(F.struct("id", "text_key", "pos", "line")).alias("first"), F.count("*").alias("n"))
         .select(
             F.monotonically_increasing_id().alias("line_id"), "key", F.col("first.id").alias("id"),
-            F.col("first.pos").alias("pos"), F.col("first.line").alias("line"), "n",
+            F.col("first.text_key").alias("text_key"), F.col("first.pos").alias("pos"), F.col("first.line").alias("line"), "n",
         ),
         "lines",
     )
@@ -227,9 +237,11 @@ def line_decisions(
         .union(joined.filter("root is null and n > 1").select("key", F.col("place").alias("kept"), "n"))
     )
     # Only lines that repeat or resemble another are looked up again.
-    occurrences = lookup(lines.select("id", "pos", "key"), store(decided, "line-keepers"), "key", "n", ["id", "pos"], "inner")
+    occurrences = lookup(
+        lines.select("id", "text_key", "pos", "key"), store(decided, "line-keepers"), "key", "n", ["id", "text_key", "pos"], "inner"
+    )
     gone = occurrences.filter(~place.eqNullSafe(F.col("kept")))
-    return gone.groupBy("id").agg(F.collect_set("pos").alias("dropped"))
+    return gone.groupBy("id", "text_key").agg(F.collect_set("pos").alias("dropped"))
 
 
 def dedup_lines(
@@ -237,10 +249,12 @@ def dedup_lines(
 ) -> DataFrame:
     """The documents with the text of the lines that stay, and ``n_lines, n_dropped`` (columns of these
     names are replaced)."""
-    gone = store(line_decisions(docs, id_col, text, limit, tile), "lines-dropped").withColumnRenamed("id", "gone_id")
+    gone = store(line_decisions(docs, id_col, text, limit, tile), "lines-dropped")
+    gone = gone.withColumnsRenamed({"id": "gone_id", "text_key": "gone_key"})
     # The row travels as one value, so its column names cannot clash with those used here.
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
-    met = rows.join(checked_broadcast(gone), F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"), text_key(text).alias("text_key"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key"))
+    met = rows.join(checked_broadcast(gone), same, "left")
     raw = F.split(F.coalesce("text", F.lit("")), "\n")
     stays = F.filter(raw, lambda line, at: ~F.array_contains("dropped", at))
     lines = F.size(F.filter(raw, lambda line: F.btrim(line, F.lit(SPACES)) != ""))
