@@ -84,6 +84,16 @@ def test_templates_of_a_site_go(spark, shipped):
     assert found["https://t.example/1"] == "rare\n\nstory t.example number 1\n\nshared line"
 
 
+def test_rare_templates_of_a_large_host_go(spark, shipped):
+    """A box on 12 of 400 pages goes as it would from a small host."""
+    rows = site("box of one section", 12, "l.example") + [
+        (i, f"https://l.example/{i}", f"<body><div class='y'><p>story l.example number {i}</p></div>") for i in range(12, 400)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["main_text"] for r in html_text.extract(frame).collect()}
+    assert found[3] == "story l.example number 3\n\nshared line" and found[300] == "story l.example number 300"
+
+
 def test_copies_of_a_page_are_no_template(spark, shipped):
     page = "<article><div><p>the same article</p></div></article>"
     frame = spark.createDataFrame([(i, "http://c.example/x", page) for i in range(40)], "page_id long, url string, html string")

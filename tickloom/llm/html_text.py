@@ -3,7 +3,8 @@
 One pass over a page gives its text pieces and its elements, each with the range of pieces it covers and
 a hash of its subtree (made of tag and the hashes of its children, so every hash costs one step). Spark
 counts, for each host, on how many pages of different content a container subtree occurs; subtrees that
-recur on many are the site's template and are deleted from its pages, together with what is marked as
+recur on ten or more are the site's template, whatever the size of the host, and are deleted from its pages
+(each page meets only the marks that it holds itself), together with what is marked as
 menu, header, footer, sidebar, notice, advert, form, script, style or reader comment by tag, class, id or
 role. Text blocks themselves (paragraphs, headings, items, quotes) are never template inside an article,
 however often a passage recurs.
@@ -32,7 +33,7 @@ from tickloom.operators.joins import is_small
 from tickloom.session import store
 
 LEAST_PAGES = 10
-LEAST_SHARE = 0.05
+SEEN = "host string, page string, content long, marks array<long>"
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -201,47 +202,48 @@ def host(url: Column) -> Column:
     return name
 
 
-def _counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        if not len(batch):
-            continue
         rows = []
-        for name, source in zip(batch["host"], batch["html"], strict=True):
+        for name, key, source in zip(batch["host"], batch["page"], batch["html"], strict=True):
             page = Page(source)
-            content = _signed(xxhash.xxh64_intdigest(page.text()))
-            rows += [(name, _signed(mark), content) for mark in page.containers()]
-            rows.append((name, None, content))
-        hosts, marks, contents = zip(*rows, strict=True)
-        yield pd.DataFrame({"host": hosts, "mark": pd.array(marks, dtype="Int64"), "content": contents})
-
-
-def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``host, marks, n``: hashes of the subtrees that recur on at least ``least_pages`` pages of different
-    content and ``least_share`` of them. The share bounds the list: no host can have more than the number
-    of subtrees of an average page divided by it."""
-    seen = pages.mapInPandas(_counter, "host string, mark long, content long").distinct()
-    counts = store(seen.groupBy("host", "mark").agg(F.count("*").alias("n")), "template-counts")
-    whole = counts.filter("mark is null").select("host", F.col("n").alias("pages"))
-    often = counts.filter((F.col("n") >= least_pages) & F.col("mark").isNotNull())
-    template = often.join(whole, "host").filter(F.col("n") >= least_share * F.col("pages"))
-    return template.groupBy("host").agg(F.collect_list("mark").alias("marks"), F.max("pages").alias("n"))
-
-
-def extract(
-    pages: DataFrame,
-    url: str = "url",
-    html: str = "html",
-    least_pages: int = LEAST_PAGES,
-    least_share: float = LEAST_SHARE,
-) -> DataFrame:
+            rows.append((name, key, _signed(xxhash.xxh64_intdigest(page.text())), [_signed(m) for m in page.containers()]))
+        yield pd.DataFrame(rows, columns=["host", "page", "content", "marks"])
+
+
+def _held(seen: DataFrame, marks: DataFrame, *columns: str) -> DataFrame:
+    """The rows of ``seen``, once for each mark of theirs that is among ``marks`` (``host, mark, n_rows``)."""
+    rows = seen.select("page", *columns, F.explode("marks").alias("mark"), "host").withColumn("spot", F.struct("host", "mark"))
+    wanted = marks.select(F.struct("host", "mark").alias("spot"), "n_rows")
+    if is_small(marks):
+        return rows.join(F.broadcast(wanted), "spot")
+    return lookup(rows, wanted, "spot", "n_rows", ["page"], "inner")
+
+
+def site_templates(seen: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host, mark, n_rows``: hashes of the subtrees that recur on at least ``least_pages`` pages of different
+    content, whatever the size of the host."""
+    spots = seen.select("host", "content", F.explode("marks").alias("mark"))
+    each = spots.groupBy("host", "mark", "content").agg(F.count("*").alias("copies"))
+    counts = each.groupBy("host", "mark").agg(F.count("*").alias("n"), F.sum("copies").alias("n_rows"))
+    return store(counts.filter(F.col("n") >= least_pages).drop("n"), "templates")
+
+
+def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
     """Add ``main_text`` to the pages, or replace a column of this name."""
     others = [c for c in pages.columns if c != "main_text"]
     rows = pages.select(F.struct(*others).alias("row"), host(F.col(url)).alias("host"), F.coalesce(html, F.lit("")).alias("html"))
-    templates = store(site_templates(rows.select("host", "html"), least_pages, least_share), "templates")
+    # Equal pages of a host share a key, and so the marks that they hold.
+    rows = rows.withColumn("page", F.md5(F.concat_ws("\0", "host", "html"))).withColumn("part", F.spark_partition_id())
+    seen = store(rows.select("host", "page", "html").mapInPandas(_reader, SEEN), "page-marks")
+    found = _held(seen, site_templates(seen, least_pages)).groupBy("page").agg(
+        F.collect_set("mark").alias("marks"), F.count("*").alias("n")
+    )
+    templates = store(found.select("page", "marks", (F.col("n") / F.size("marks")).cast("long").alias("copies")), "page-templates")
     if is_small(templates):
-        met = rows.join(F.broadcast(templates.drop("n")), "host", "left")
+        met = rows.join(F.broadcast(templates), "page", "left")
     else:
-        met = lookup(rows, templates, "host", "n", ["html"])
+        met = lookup(rows, templates, "page", "copies", ["part"])
 
     @F.pandas_udf("string")
     def of(sources: pd.Series, marks: pd.Series) -> pd.Series:
