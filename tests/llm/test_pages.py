@@ -100,6 +100,27 @@ def test_copies_of_a_page_are_no_template(spark, shipped):
     assert {r["main_text"] for r in html_text.extract(frame).collect()} == {"the same article"}
 
 
+def test_near_copies_of_a_page_are_no_template(spark, shipped):
+    """An article in a section, a list and a table, with another date line and last paragraph each time."""
+    words = [f"word{i * 37 % 101} term{i}" for i in range(60)]
+    body = (
+        f"<section><p>{' '.join(words)}</p></section><ul><li>first item of the list</li><li>second item of it</li></ul>"
+        "<table><tr><td>cell one</td><td>cell two</td></tr></table>"
+    )
+    rows = [(i, f"https://n.example/{i}", f"<article><p>Date {i}</p>{body}<p>Copy {i} ends.</p></article>") for i in range(40)]
+    rows += [
+        (100 + i, f"https://n.example/{i}x", f"<article><div>a box</div><p>{' '.join(f'own{i}x{k}' for k in range(30))}</p></article>")
+        for i in range(12)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = {r["page_id"]: r["main_text"] for r in html_text.extract(frame).collect()}
+    for i in range(40):
+        assert found[i] == "\n\n".join(
+            [f"Date {i}", " ".join(words), "first item of the list", "second item of it", "cell one cell two", f"Copy {i} ends."]
+        )
+    assert all(found[100 + i].startswith(f"own{i}x0") for i in range(12))
+
+
 def test_salted_templates_give_the_same(spark, shipped, monkeypatch):
     frame = spark.createDataFrame(site("<ul><li>Home</li></ul>", 30), "page_id long, url string, html string")
     expected = sorted(r["main_text"] for r in html_text.extract(frame).collect())

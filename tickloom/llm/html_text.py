@@ -14,7 +14,7 @@ white space within a block becomes one space, blocks are joined by an empty line
 
 Edge cases: NULL html is an empty page with empty text; unclosed, crossed and cut-off tags are closed by
 their parents; text outside any tag is body text; a NULL URL is a host of its own; repeated pages have
-equal content and count once towards a template; an empty table gives an empty result.
+equal content and count once towards a template, and so do near copies, known by a sketch of the text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,17 +23,22 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.line_dedup import shingle_hashes
 from tickloom.llm.skew import lookup
 from tickloom.operators.joins import is_small
 from tickloom.session import store
 
 LEAST_PAGES = 10
-SEEN = "host string, page string, content long, marks array<long>"
+SEEN = "host string, page string, content long, sketch array<long>, marks array<long>"
+SHINGLE, SKETCH = 12, 128
+NEAR = 0.7
+SALTS = 64
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -202,13 +207,57 @@ def host(url: Column) -> Column:
     return name
 
 
+def sketch(text: str) -> np.ndarray:
+    """The least hashes of the text's shingles, in order; of a short text all of them."""
+    return shingle_hashes(text, SHINGLE)[:SKETCH].view(np.int64)
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two texts are near copies, by the share of common hashes among the least of both."""
+    both = np.sort(np.concatenate([a, b]).view(np.uint64))
+    again = np.concatenate([[False], both[1:] == both[:-1]])
+    least = min(SKETCH, len(both) - int(again.sum()))
+    last = both[~again][least - 1]
+    return int(np.count_nonzero(both[again] <= last)) >= NEAR * least
+
+
+def _different(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Of each host and mark in a batch up to ``most`` pages of which no two are near copies."""
+    for batch in batches:
+        found: dict[tuple, list[np.ndarray]] = {}
+        rows = []
+        for name, mark, content, own in zip(batch["host"], batch["mark"], batch["content"], batch["sketch"], strict=True):
+            others = found.setdefault((name, mark), [])
+            if len(others) < most and not any(near(own, other) for other in others):
+                others.append(own)
+                rows.append((name, mark, content, own))
+        yield pd.DataFrame(rows, columns=["host", "mark", "content", "sketch"])
+
+
+def _counted(batches: Iterator[pd.DataFrame], most: int, emit: bool) -> Iterator[pd.DataFrame]:
+    """The same for rows that arrive sorted by host and mark, over all batches; or else the marks that have ``most``."""
+    key, others = None, []
+    for batch in batches:
+        rows = []
+        for name, mark, content, own in zip(batch["host"], batch["mark"], batch["content"], batch["sketch"], strict=True):
+            if (name, mark) != key:
+                key, others = (name, mark), []
+            if len(others) < most and not any(near(own, other) for other in others):
+                others.append(own)
+                if emit or len(others) == most:
+                    rows.append((name, mark, content, own))
+        yield pd.DataFrame(rows, columns=["host", "mark", "content", "sketch"])
+
+
 def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for name, key, source in zip(batch["host"], batch["page"], batch["html"], strict=True):
             page = Page(source)
-            rows.append((name, key, _signed(xxhash.xxh64_intdigest(page.text())), [_signed(m) for m in page.containers()]))
-        yield pd.DataFrame(rows, columns=["host", "page", "content", "marks"])
+            text = page.text()
+            content = _signed(xxhash.xxh64_intdigest(text))
+            rows.append((name, key, content, sketch(text), [_signed(m) for m in page.containers()]))
+        yield pd.DataFrame(rows, columns=["host", "page", "content", "sketch", "marks"])
 
 
 def _held(seen: DataFrame, marks: DataFrame, *columns: str) -> DataFrame:
@@ -222,11 +271,22 @@ def _held(seen: DataFrame, marks: DataFrame, *columns: str) -> DataFrame:
 
 def site_templates(seen: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host, mark, n_rows``: hashes of the subtrees that recur on at least ``least_pages`` pages of different
-    content, whatever the size of the host."""
+    content, whatever the size of the host. Near copies count once: pages are picked one after the other that are
+    no near copy of one picked before, and only whether ``least_pages`` are found matters, so no more are kept."""
     spots = seen.select("host", "content", F.explode("marks").alias("mark"))
     each = spots.groupBy("host", "mark", "content").agg(F.count("*").alias("copies"))
     counts = each.groupBy("host", "mark").agg(F.count("*").alias("n"), F.sum("copies").alias("n_rows"))
-    return store(counts.filter(F.col("n") >= least_pages).drop("n"), "templates")
+    often = store(counts.filter(F.col("n") >= least_pages).drop("n"), "template-counts")
+    rows = "host string, mark long, content long, sketch array<long>"
+    held = _held(seen, often, "content", "sketch").select("host", "mark", "content", "sketch")
+    few = held.mapInPandas(lambda batches: _different(batches, least_pages), rows)
+    # A mark of very many pages is dealt out before its pages meet in one task.
+    salt = F.pmod(F.xxhash64("content"), F.lit(SALTS))
+    dealt = few.repartition("host", "mark", salt).sortWithinPartitions("host", "mark", "content")
+    fewer = dealt.mapInPandas(lambda batches: _counted(batches, least_pages, True), rows)
+    met = fewer.repartition("host", "mark").sortWithinPartitions("host", "mark", "content")
+    found = met.mapInPandas(lambda batches: _counted(batches, least_pages, False), rows).select("host", "mark")
+    return store(often.join(found, ["host", "mark"], "left_semi"), "templates")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
