@@ -69,3 +69,15 @@ def test_bound_holds_for_every_pair():
         for y in right[::3]:
             assert (a[x.rows] @ b[y.rows].T).max() <= cover_tree.bound(x, y) + 1e-9
     assert sorted(np.concatenate([n.rows for n in left if not n.children]).tolist()) == list(range(300))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_ties_of_large_scores_are_not_pruned(seed):
+    """Sums of 2^60 in another order: doubles round them differently, the scores are equal."""
+    dice = np.random.default_rng(seed)
+    query = np.full((1, 8), (1 << 28) + 1, dtype=np.int64)
+    one = dice.integers(1 << 28, 1 << 29, 8)
+    orders = np.array([dice.permutation(one) for _ in range(12)])
+    ids = np.arange(1, 1201)
+    search = cover_tree.Search(np.array([0]), query, np.array([-(1 << 62)]), ids, orders[ids % 12], 5)
+    assert search.best[0] == [(-int(query[0] @ one), i) for i in range(1, 6)]

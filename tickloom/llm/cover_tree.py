@@ -42,7 +42,9 @@ QUERY_BLOCK = 2048
 LEAF = 64
 FAN = 16
 EXACT_DOUBLE = 2.0**53
-SLACK = 0.25  # scores are whole numbers; bounds are doubles
+SLACK = 0.25  # scores are whole numbers; bounds are doubles,
+ROUNDING = 1e-12  # which are off by this share of the product of the norms at most
+LOWEST = -(1 << 63)
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
@@ -110,6 +112,11 @@ class Node:
                 self.children.append(Node(points, rows[np.concatenate([[centre], first])]))
 
 
+def slack(a: Node, b: Node) -> float:
+    """More than the rounding of ``bound`` and of a score that it is compared with."""
+    return SLACK + ROUNDING * (a.norm + a.radius) * (b.norm + b.radius)
+
+
 def bound(a: Node, b: Node) -> float:
     return float(a.centre @ b.centre) + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius
 
@@ -119,14 +126,14 @@ class Search:
 
     def __init__(self, q_ids, queries, floor, v_ids, vectors, k: int) -> None:
         self.q_ids, self.queries, self.v_ids, self.vectors, self.k = q_ids, queries, v_ids, vectors, k
-        self.kth = floor.astype(np.float64).copy()
+        self.kth = floor.astype(np.int64)
         self.best: list[list[tuple[int, int]]] = [[] for _ in q_ids]
         if len(q_ids) and len(v_ids):
             self.walk(Node(queries.astype(np.float64), np.arange(len(q_ids))), Node(vectors.astype(np.float64), np.arange(len(v_ids))))
 
     def walk(self, q: Node, v: Node) -> None:
-        q.worst = self.kth[q.rows].min()
-        if bound(q, v) + SLACK < q.worst:
+        q.worst = int(self.kth[q.rows].min())
+        if bound(q, v) + slack(q, v) < q.worst:
             return
         if not q.children and not v.children:
             self.base(q, v)
@@ -212,9 +219,9 @@ def _celled(vectors: DataFrame, tops: dict) -> DataFrame:
 def _planned(queries: DataFrame, tops: dict, radii: dict, k: int) -> DataFrame:
     """Add ``floor``, the k-th score within the sample, and ``cells``, those that can hold a better one."""
 
-    @F.pandas_udf("floor double, cells array<int>")
+    @F.pandas_udf("floor long, cells array<int>")
     def of(ids: pd.Series, rows: pd.Series) -> pd.DataFrame:
-        floors = np.full(len(rows), -np.inf)
+        floors = np.full(len(rows), LOWEST, dtype=np.int64)
         cells: list = [None] * len(rows)
         lengths = rows.map(len)
         for dim in lengths.unique():
@@ -223,17 +230,19 @@ def _planned(queries: DataFrame, tops: dict, radii: dict, k: int) -> DataFrame:
             pivots = np.zeros((1, dim))
             if dim in tops:
                 pivots, sample_ids, sample = tops[dim]
-                got = scores(q, sample).astype(np.float64)
-                got[ids.iloc[at].to_numpy()[:, None] == sample_ids[None, :]] = -np.inf
+                got = scores(q, sample)
+                got[ids.iloc[at].to_numpy()[:, None] == sample_ids[None, :]] = LOWEST
                 if got.shape[1] >= k:
                     floors[at] = np.sort(got, axis=1)[:, -k]
             known = {c: r for (d, c), r in radii.items() if d == dim}
             names = np.array(sorted(known), dtype=np.int64)
             reach = np.array([known[c] for c in names.tolist()])
             norms = np.linalg.norm(q.astype(np.float64), axis=1)
-            most = q.astype(np.float64) @ pivots[names].astype(np.float64).T + norms[:, None] * reach[None, :]
+            centres = pivots[names].astype(np.float64)
+            most = q.astype(np.float64) @ centres.T + norms[:, None] * reach[None, :]
+            most += SLACK + ROUNDING * norms[:, None] * (np.linalg.norm(centres, axis=1) + reach)[None, :]
             for i, line in zip(at.tolist(), most, strict=True):
-                cells[i] = names[line * (1 + 1e-12) + SLACK >= floors[i]].astype("int32")
+                cells[i] = names[line >= float(floors[i])].astype("int32")
         return pd.DataFrame({"floor": floors, "cells": cells})
 
     return queries.withColumn("_p", of("vec_id", "v")).select("vec_id", "v", "dim", "cell", "_p.*")
@@ -286,7 +295,7 @@ def top_products(
     data = (
         celled.join(table, ["dim", "cell"])
         .join(checked_broadcast(store(asked, "asked")), ["dim", "cell"])
-        .select(F.explode("blocks").alias("block"), "dim", "cell", cut.alias("cut"), F.lit(1).alias("side"), "vec_id", "v", F.lit(0.0).alias("floor"))
+        .select(F.explode("blocks").alias("block"), "dim", "cell", cut.alias("cut"), F.lit(1).alias("side"), "vec_id", "v", F.lit(0).cast("long").alias("floor"))
     )
     asking = (
         queries.select("block", "dim", F.explode("cells").alias("cell"), "vec_id", "v", "floor")
