@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import cover_tree, decontaminate, html_text, line_dedup, pieces, pii, simhash, token_orc, toxicity, warc
+from tickloom.llm import (
+    cover_tree,
+    decontaminate,
+    html_text,
+    line_dedup,
+    pieces,
+    pii,
+    prefix_trie,
+    reply_trees,
+    simhash,
+    token_orc,
+    toxicity,
+    warc,
+    whitening,
+)
 from tickloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +97,37 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: tuple[Query, ...] = (op1_decontaminate, op2_toxicity, op3_topk, op4_pii, op5_line_dedup, op6_sentencepiece, op7_simhash, op8_token_orc, op9_html_text, op10_warc)
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more, whose texts hold the template's own marks."""
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    return reply_trees.chat_digests(conversations.unionByName(more))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+QUERIES: tuple[Query, ...] = (
+    op1_decontaminate,
+    op2_toxicity,
+    op3_topk,
+    op4_pii,
+    op5_line_dedup,
+    op6_sentencepiece,
+    op7_simhash,
+    op8_token_orc,
+    op9_html_text,
+    op10_warc,
+    op11_chat_format,
+    op12_prefix_trie,
+    op13_whitening,
+)
 
 
 def queries() -> dict[str, Query]:
@@ -136,5 +180,58 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 5"""
 
 
+def _escapes(text: str) -> str:
+    """Characters that escaping adds: before backslashes, the third and further hashes of a run, end marks."""
+    return f"""(len({text}) - len(replace({text}, chr(92), ''))
+    + COALESCE(list_sum(list_transform(regexp_extract_all({text}, '#{{3,}}'), lambda r: len(r) - 2)), 0)
+    + (len({text}) - len(replace({text}, '</turn>', ''))) // 7)"""
+
+
+# Marks of the template: 4 and 5 characters around the role, 9 after the text.
+_CHATS = f"""WITH said AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM (
+    SELECT conv_id, turn, role, text FROM conversations UNION ALL
+    SELECT -7, UNNEST([0, 1]), UNNEST(['user', 'assistant']), '\\### Assistant: </turn> ok')),
+listed AS (
+  SELECT conv_id, COUNT(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learnt,
+    SUM(18 + len(role) + len(text) + {_escapes("role")} + {_escapes("text")}) AS chars
+  FROM said GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(len(learnt) AS BIGINT) AS loss_chars,
+  sha256(learnt) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM listed"""
+
+
+# CRC-32 of a text of digits, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda r, s: CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295)"""
+
+_TRIE = f"""WITH own AS (
+  SELECT conv_id AS c, list({{'role': COALESCE(role, ''), 'text': COALESCE(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+named AS (SELECT c, ts, {_CRC} % 9 AS h FROM own),
+seq AS (
+  SELECT n.c, list_concat(COALESCE(b.ts, [])[1:n.h], n.ts[n.h + 1:]) AS s FROM named n LEFT JOIN own b ON b.c = n.c - n.c % 5),
+nodes AS (
+  SELECT p, d, MIN(c) AS conv_id, COUNT(*) AS n_convs, (COUNT(*) - 1) * COALESCE(strlen(p[d].text), 0) AS saved
+  FROM (SELECT c, d, s[1:d] AS p FROM (SELECT c, s, UNNEST(range(len(s) + 1)) AS d FROM seq)) GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, COUNT(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+known AS (SELECT n.*, COALESCE(n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.p = n.p),
+totals AS (
+  SELECT p[1:a] AS p, SUM(CAST(n_children = 0 AS BIGINT)) AS n_leaves, SUM(saved) AS saved_tokens
+  FROM (SELECT *, UNNEST(range(d + 1)) AS a FROM known) GROUP BY ALL),
+ends AS (SELECT s AS p, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM seq GROUP BY s)
+SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(COALESCE(ids, '')) AS ends_sha256
+FROM known k JOIN totals t ON t.p = k.p LEFT JOIN ends e ON e.p = k.p LEFT JOIN known u ON k.d > 0 AND u.p = k.p[1:k.d - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _DECONTAMINATE, "op3_topk": _TOPK, "op10_warc": _WARC}
+    return {
+        "op1_decontaminate": _DECONTAMINATE,
+        "op3_topk": _TOPK,
+        "op10_warc": _WARC,
+        "op11_chat_format": _CHATS,
+        "op12_prefix_trie": _TRIE,
+    }
