@@ -572,6 +572,7 @@ def _parts(layout: Layout) -> str:
       WHEN event_type = 'error' AND i IN ({blank}) THEN '' {cases}
       WHEN i IN ({texts}) THEN event_type || i
       WHEN i % 2 = 1 THEN (price + i + 1000 * k) || '.25' ELSE CAST(price + i + 1000 * k AS VARCHAR) END)"""
+    parts = f"list_concat({parts}, CASE WHEN event_id % 7 = 0 AND event_type NOT IN ('signup', 'click') THEN ['added'] ELSE [] END)"
     if cut is None:
         return parts
     return f"CASE WHEN event_type = 'signup' AND k = {_COUNT} - 1 THEN ({parts})[1:{cut}] ELSE {parts} END"
@@ -588,12 +589,15 @@ def _split(frame: str) -> str:
 
 
 def _cut(rows: str, width: str) -> str:
-    """Rows with ``frame``, one for each record: its number, its values and whether the count fits."""
-    values = _split("frame")
-    records = f"CAST(ceil(len({values}) / CAST({width} AS DOUBLE)) AS BIGINT)"
-    return f"""SELECT *, {values}[record_no * {width} + 1 : (record_no + 1) * {width}] AS p FROM (
-    SELECT *, UNNEST(range({records})) AS record_no,
-      COALESCE(TRY_CAST(string_split(frame, '|')[3] AS INTEGER) = {records}, FALSE) AS fits FROM {rows})"""
+    """Rows with ``frame``, one for each record: its number, its values and whether the count fits. Records
+    are as long as the count says if they have added fields, else as wide as their kind."""
+    said = "TRY_CAST(string_split(frame, '|')[3] AS INTEGER)"
+    return f"""SELECT *, vals[record_no * step + 1 : record_no * step + w] AS p FROM (
+    SELECT *, UNNEST(range(CAST(ceil(len(vals) / CAST(step AS DOUBLE)) AS BIGINT))) AS record_no,
+      COALESCE(said = ceil(len(vals) / CAST(step AS DOUBLE)), FALSE) AS fits FROM (
+      SELECT *, CASE WHEN said > 0 AND len(vals) % said = 0 AND len(vals) // said > w AND (len(vals) // said) % w <> 0
+        THEN len(vals) // said ELSE w END AS step FROM (
+        SELECT *, {_split("frame")} AS vals, {said} AS said, {width} AS w FROM {rows})))"""
 
 
 def _number(i: int, policy: str) -> str:
@@ -731,9 +735,9 @@ FROM messages m LEFT JOIN dim d ON m.stock_code = d.stock_code""",
         "q11_vwap_stream": f"WITH {_MESSAGES}, {_DIM}, {_stats('30 seconds')} {_REPORT} WHERE {closed_30s}",
         "q12_anomalies": f"{_anomalies()} {_FLAT}",
         "q13_anomaly_envelope": f"""{_anomalies()}
-SELECT stock_code AS key, CAST(to_json(struct_pack(update_time := update_time, stock_code := stock_code,
+SELECT stock_code AS key, CAST(json_merge_patch('{{}}', to_json(struct_pack(update_time := update_time, stock_code := stock_code,
   sector := sector, name := name, min_price := min_price, avg_price := avg_price, max_price := max_price,
-  total_volume := total_volume, raw_messages := list, part := 0, parts := 1, messages_complete := TRUE)) AS VARCHAR) AS value
+  total_volume := total_volume, raw_messages := list, part := 0, parts := 1, messages_complete := TRUE))) AS VARCHAR) AS value
 FROM rows""",
         "q14_archive_stream": f"""WITH {_MESSAGES}, sent AS (SELECT *, {millis} AS t FROM messages)
 SELECT message AS raw_data, topic, CAST(user_id % 8 AS INTEGER) AS partition, event_id AS "offset",

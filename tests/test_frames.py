@@ -174,6 +174,25 @@ def test_frames_with_another_number_of_records_than_they_say(spark):
     assert frames.decode_expected(feed).count() == frames.publish_rows(feed).count() == 1
 
 
+@pytest.mark.parametrize("layout", LAYOUTS, ids=lambda x: x.tr_id)
+@pytest.mark.parametrize("records", [1, 3])
+@pytest.mark.parametrize("added", [0, 1, 5])
+def test_added_fields_are_left_aside(spark, layout, records, added):
+    payload = {TRADE: TRADE_SAMPLE, EXPECTED: EXPECTED_SAMPLE, ORDER_BOOK: book_payload()}[layout]
+    longer = "^".join([payload + "^new" * added] * records)
+    plain = _frames(spark, _frame(layout, payload))
+    feed = _frames(spark, f"0|{layout.tr_id}|{records:03d}|{longer}")
+    assert frames.decode(feed, layout).collect() == frames.decode(plain, layout).collect() * records
+    assert frames.publish_rows(feed).collect() == frames.publish_rows(plain).collect() * records
+    assert frames.dead_letters(feed).count() == 0
+
+
+def test_a_count_too_low_is_no_added_field(spark):
+    """Twice the width is two records, whatever the frame says."""
+    feed = _frames(spark, f"0|H0STANC0|001|{EXPECTED_SAMPLE}^{EXPECTED_SAMPLE}")
+    assert [r.reason for r in frames.dead_letters(feed).collect()] == ["bad_count", "bad_count"]
+
+
 @pytest.mark.parametrize("blank", ["", " ", "\t", "\r", " \t\r"])
 def test_white_space_of_any_kind_is_blank(spark, blank):
     feed = _frames(spark, _frame(EXPECTED, _with(EXPECTED_SAMPLE, 14, blank)))

@@ -34,6 +34,14 @@ def _width(tr_id: Column, layouts: Sequence[Layout]) -> Column:
     return width
 
 
+def _step(size: Column, said: Column, width: Column) -> Column:
+    """Values from one record to the next: the width, or more where records have added fields."""
+    count = F.when(said > 0, said)
+    each = F.floor(size / count).cast("int")
+    added = (size % count == 0) & (each > width) & (each % width != 0)
+    return F.when(F.coalesce(added, F.lit(False)), each).otherwise(width)
+
+
 def split_frames(
     frames: DataFrame,
     layouts: Sequence[Layout] = LAYOUTS,
@@ -44,8 +52,11 @@ def split_frames(
     holds as many records as it says), ``parts`` (the record's values as text) and ``numbers`` (the same
     values as decimals, or as ``number`` gives them; NULL for other text).
 
-    The payload is cut by the width of the frame's own kind. Frames of unknown kinds, lines that are no
-    data, and frames without a payload stay as one row, so that they can reach the dead letters.
+    The payload is cut by the width of the frame's own kind. Records may have got more fields at their end
+    than the layout knows: where the count that the frame gives divides its values into records that are
+    longer than the layout, and not just by whole records, each is cut at that length and the added
+    values are left aside. Frames of unknown kinds, lines that are no data, and frames without a
+    payload stay as one row, so that they can reach the dead letters.
 
     Records leave through a generator. Filters on them therefore stay above it, and each frame is
     split and cast once however many fields a filter looks at.
@@ -58,14 +69,19 @@ def split_frames(
         .withColumn("_tr_id", F.get("_fields", F.lit(1)))
     )
     payload, size = F.col("_payload"), F.size("_payload")
-    split = split.withColumn("_width", F.coalesce(_width(F.col("_tr_id"), layouts), F.greatest(size, F.lit(1))))
-    width = F.col("_width")
-    last = F.coalesce(F.greatest(F.floor((size - 1) / width), F.lit(0)), F.lit(0)).cast("int")
+    split = split.withColumns(
+        {
+            "_width": F.coalesce(_width(F.col("_tr_id"), layouts), F.greatest(size, F.lit(1))),
+            "_said": F.get("_fields", F.lit(2)).try_cast("int"),
+        }
+    )
+    width, said = F.col("_width"), F.col("_said")
+    split = split.withColumn("_step", _step(size, said, width))
+    last = F.coalesce(F.greatest(F.floor((size - 1) / F.col("_step")), F.lit(0)), F.lit(0)).cast("int")
     split = split.withColumn("_last", last)
-    said = F.get("_fields", F.lit(2)).try_cast("int")
     records = F.transform(
         F.sequence(F.lit(0), F.col("_last")),
-        lambda i: F.struct(i.alias("record_no"), F.slice(payload, i * width + 1, width).alias("parts")),
+        lambda i: F.struct(i.alias("record_no"), F.slice(payload, i * F.col("_step") + 1, width).alias("parts")),
     )
     typed = F.transform(
         records,

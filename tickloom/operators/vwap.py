@@ -127,7 +127,8 @@ def anomaly_rows(stats: DataFrame) -> DataFrame:
 
 def anomaly_messages(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Kafka rows of anomalies: key = stock, value = JSON of the anomaly, its raw messages, which ``part`` of
-    how many ``parts`` this is, and whether all messages were found."""
+    how many ``parts`` this is, and whether all messages were found. Members that are NULL are left out, as
+    readers of the topic know it (a trade without stock code has no ``stock_code`` member)."""
     value = F.to_json(F.struct(*MESSAGE_FIELDS))
     return rows.select(F.col("stock_code").alias("key"), value.alias("value"), *keep)
 
