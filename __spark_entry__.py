@@ -17,22 +17,40 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickloom.functions.clock import local_text, trade_instant  # noqa: E402
 from tickloom.functions.layouts import EXPECTED, ORDER_BOOK, TRADE, Layout  # noqa: E402
-from tickloom.operators import archive, frames, freshness, joins, sectors, trades, vwap  # noqa: E402
+from tickloom.operators import archive, frames, freshness, joins, offsets, raw_schemas, sectors, trades, vwap  # noqa: E402
 from tickloom.operators.raw_messages import with_messages  # noqa: E402
-from tickloom.plans import market, tables  # noqa: E402
+from tickloom.plans import market, reconcile, replay, tables  # noqa: E402
 from tickloom.session import run_folder, store  # noqa: E402
-from tickloom.sources.archive import archived_trades, compact_days, read_archive, write_archive  # noqa: E402
+from tickloom.sources.archive import (  # noqa: E402
+    archived_trades,
+    compact_archive,
+    compact_days,
+    copy_days,
+    list_days,
+    read_archive,
+    read_whole_archive,
+    write_archive,
+)
 from tickloom.sources.records import frame_files  # noqa: E402
-from tickloom.sources.sectors import read_sectors, write_sectors  # noqa: E402
+from tickloom.sources.sectors import read_sector_history, read_sectors, write_sectors  # noqa: E402
 from tickloom.sources.sinks import table_sink  # noqa: E402
-from tickloom.streaming.market_report import start_market_report, stream_stats  # noqa: E402
+from tickloom.streaming.market_report import (  # noqa: E402
+    finish_anomalies,
+    start_market_report,
+    stream_breakdown,
+    stream_stats,
+)
+from tickloom.streaming.publishing import start_publishing  # noqa: E402
 from tickloom.streaming.tables import start_archive, start_table  # noqa: E402
 
+# The corpus operators are an optional part, with packages of its own. Nothing else may be missing.
+OPTIONAL = ("corpus_pipeline", "tickloom.llm", "ahocorasick", "numpy", "pandas", "public_tokenizers", "pyarrow", "sentencepiece", "tokenizers", "xxhash", "zstandard")
+
 try:
     import corpus_pipeline
     from tickloom.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # the corpus operators are an optional part
-    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "tickloom"):
+except ModuleNotFoundError as missing:
+    if not any(f"{missing.name}.".startswith(f"{name}.") for name in OPTIONAL):
         raise
     corpus_pipeline = llm_queries = None
 
@@ -92,6 +110,16 @@ def q01_parse_json(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def q36_today(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of today, found by the clock: the feed is moved by whole days so that its ``DAY`` is today."""
+    today = F.current_date().cast("timestamp_ntz")
+    shift = today - F.lit(DAY).cast("timestamp_ntz")
+    moved = _records(spark, folder).withColumn("timestamp", F.col("timestamp") + shift)
+    return trades.parse_trades(trades.on_day(moved), keep=["offset"]).select(
+        F.col("offset").alias("event_id"), "stock_code", "original_message"
+    )
+
+
 def q07_day_filter(spark: SparkSession, folder: str) -> DataFrame:
     day = trades.on_day(_records(spark, folder), F.lit(DAY).cast("date"))
     return trades.parse_trades(day, keep=["offset"]).select(
@@ -329,6 +357,146 @@ def q20_late_data(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table")
 
 
+def _report_sinks(out: str) -> tuple:
+    return tuple(table_sink(f"{out}/{name}") for name in ("report", "anomalies", "messages"))
+
+
+def q37_pending_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive lags: when a part of the feed is reported, the archive holds only the parts before. Anomalies
+    wait and are completed in later batches, the last ones when the stream has ended."""
+    out = run_folder(spark, "q37")
+    events, dim = _events(spark, folder), store(_dim(spark, folder), "q37-dim")
+    parts = ((None, "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", None))
+    archived = f"{out}/archive"
+    write_archive(archive.archive_rows(tables.trade_records(events, "timestamp"), _arrival()).limit(0), archived)
+    sinks = _report_sinks(out)
+    settings = {"width": HOUR, "archive": lambda start, end: archived_trades(spark, archived, TRADE.tr_id, start, end)}
+    for since, until in parts:
+        part = events
+        if since is not None:
+            part = part.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        if until is not None:
+            part = part.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(f"{out}/events")
+        source = _trade_stream(spark, spark.readStream.schema(tables.EVENTS).parquet(f"{out}/events"))
+        start_market_report(source, dim, f"{out}/checkpoint", *sinks, patience="60 days", trigger=ONCE, **settings).awaitTermination()
+        write_archive(archive.archive_rows(tables.trade_records(part, "timestamp"), _arrival()), archived)
+    finish_anomalies(spark, dim, f"{out}/checkpoint", *sinks[1:], **settings)
+    return _flat_anomalies(spark.read.parquet(f"{out}/anomalies"))
+
+
+def q38_breakdown_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The report per sector from the live feed: two aggregates in one query."""
+    out = run_folder(spark, "q38")
+    dim = joins.checked_broadcast(store(_dim(spark, folder), "q38"))
+    rows = stream_breakdown(_trade_stream(spark, _event_stream(spark, folder)), dim, HOUR).drop("window")
+    start_table(rows, f"{out}/table", f"{out}/checkpoint", ("report_date",), ONCE).awaitTermination()
+    return spark.read.parquet(f"{out}/table").drop("report_date")
+
+
+def q39_ordered_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Published records with a number per stock. The feed comes in three batches, each in disorder and each with
+    the last third of the batch before delivered again."""
+    out = run_folder(spark, "q39")
+    feed = tables.placed_frames(_events(spark, folder))
+    third = F.floor(3 * F.col("event_id") / (F.lit(1) + F.lit(feed.agg(F.max("event_id")).first()[0])))
+    for n in range(3):
+        again = (third == n - 1) & (F.pmod(F.col("event_id"), F.lit(3)) == 0)
+        batch = feed.filter((third == n) | again).repartition(3, F.xxhash64("event_id"))
+        batch.write.mode("append").parquet(f"{out}/feed")
+        source = spark.readStream.schema(feed.schema).parquet(f"{out}/feed")
+        rows = frames.publish_rows(source, keep=("partition", "offset", "record_no"))
+
+        def sink(sent: DataFrame, batch_id: int) -> None:
+            sent.write.mode("overwrite").parquet(f"{out}/published/batch={batch_id}")
+
+        start_publishing(rows, f"{out}/checkpoint", sink, trigger=ONCE).awaitTermination()
+    sent = spark.read.parquet(f"{out}/published")
+    return sent.select("topic", "key", "partition", "offset", "record_no", "sequence", "value")
+
+
+def q40_reconciled_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a stream that dropped late records, put right from the archive, window by window."""
+    reported = store(q20_late_data(spark, folder), "q40")
+    return reconcile.corrected(reported, tables.trade_records(_events(spark, folder)), HOUR)
+
+
+def q41_late_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """In which windows the report and the archive differ, and how."""
+    reported = store(q20_late_data(spark, folder), "q41")
+    records = tables.trade_records(_events(spark, folder).filter("event_type <> 'view'"))
+    return reconcile.differences(reported, records, HOUR).drop("window")
+
+
+def q42_offset_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Offsets that are missing in an archive without error events and without a long run."""
+    documents = archive.archive_rows(tables.dense_records(_events(spark, folder)))
+    kept = documents.filter("not (metadata.offset between 100 and 180 and metadata.partition < 3)")
+    starts = spark.createDataFrame([(TRADE.tr_id, p, 0) for p in range(8)], "topic string, partition int, first_expected long")
+    return offsets.missing_offsets(offsets.source_offsets(kept), starts)
+
+
+def q43_archive_cutover(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents per topic, read while the archive is compacted: before, with days copied but not listed, with days
+    listed, and when the stream has gone on and further days were compacted."""
+    out = run_folder(spark, "q43")
+    events, path, compacted = _events(spark, folder), f"{out}/archive", f"{out}/compacted"
+    early = F.col("ts") < F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+
+    def stream(part: DataFrame) -> None:
+        part.write.mode("append").parquet(f"{out}/events")
+        source = spark.readStream.schema(tables.EVENTS).parquet(f"{out}/events")
+        start_archive(tables.topic_records(source), path, f"{out}/checkpoint", insert_time=_arrival(), trigger=ONCE).awaitTermination()
+
+    def counted(phase: str) -> DataFrame:
+        return store(archive.archive_counts(read_whole_archive(spark, path, compacted)).withColumn("phase", F.lit(phase)), "q43")
+
+    stream(events.filter(early))
+    found = [counted("before")]
+    entries = store(copy_days(spark, path, compacted, F.lit("2024-01-15").cast("date")), "q43-days")
+    found.append(counted("copied"))
+    list_days(entries, compacted)
+    found.append(counted("listed"))
+    stream(events.filter(~early))
+    compact_archive(spark, path, compacted, F.lit("2024-01-25").cast("date"))
+    found.append(counted("later"))
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
+def q44_schema_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of raw messages that appear, vanish or change their type, by topic and day."""
+    documents = archive.archive_rows(tables.changing_records(_events(spark, folder)), _arrival())
+    fields = store(raw_schemas.day_fields(documents), "q44")
+    return raw_schemas.field_changes(fields).withColumn("day", F.col("day").cast("string"))
+
+
+def q45_replayed_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Published with a layout that is too wide, then the dead letters replayed with the right one, twice."""
+    feed = store(replay.with_frame_id(tables.placed_frames(_events(spark, folder)), ("partition", "offset")), "q45-feed")
+    wrong = (Layout(TRADE.tr_id, (*TRADE.fields, (TRADE.width + 25, "never_there", "strict"))), EXPECTED, ORDER_BOOK)
+    done = store(replay.published(feed, wrong, 1), "q45-published")
+    dead = store(replay.letters(feed, wrong, 1), "q45-letters")
+    for version in (2, 3):
+        fresh, dead = replay.replay(dead, done, (TRADE, EXPECTED, ORDER_BOOK), version)
+        done, dead = store(done.unionByName(fresh), "q45-published"), store(dead, "q45-letters")
+    return done.select("topic", "key", "value", "record_no", "layout_version")
+
+
+def q46_sectors_by_time(spark: SparkSession, folder: str) -> DataFrame:
+    """The report with the sectors of each window's own time, from three successive sector files."""
+    path = f"{run_folder(spark, 'q46')}/sectors"
+    entries = _entries(spark, folder)
+    for day, without in (("2024-01-01", "none"), ("2024-01-10", "1-URGENT"), ("2024-01-20", "5-LOW")):
+        kept = entries.withColumn("sectors", F.array_remove("sectors", without))
+        write_sectors(kept, f"{path}/valid_from={day} 00%3A00%3A00")
+    history = store(read_sector_history(spark, path, multiline=False), "q46")
+    stats = market.market_stats(_records(spark, folder), HOUR)
+    return vwap.report(sectors.enrich_windows(stats, history))
+
+
 def _arrival() -> Column:
     """When a record reaches the archive: two seconds after it was sent."""
     return F.col("timestamp") + F.expr("interval 2 seconds")
@@ -468,6 +636,17 @@ QUERIES: tuple[Query, ...] = (
     q33_frame_files,
     q34_stock_links,
     q35_compacted_archive,
+    q36_today,
+    q37_pending_anomalies,
+    q38_breakdown_stream,
+    q39_ordered_messages,
+    q40_reconciled_report,
+    q41_late_windows,
+    q42_offset_gaps,
+    q43_archive_cutover,
+    q44_schema_changes,
+    q45_replayed_letters,
+    q46_sectors_by_time,
 )
 
 
@@ -701,6 +880,63 @@ _CHECKS = f"""checks AS (
   ON t.topic = m.topic)"""
 
 
+_PLACED = f"""placed AS (
+  SELECT j.*, CAST(user_id % 8 AS INTEGER) AS partition, 2 * event_id + frame_no AS "offset"
+  FROM judged j JOIN (SELECT event_id, user_id FROM events) USING (event_id)
+  WHERE frame_no < 2 AND reason IS NULL AND frame[1] = '0')"""
+
+
+def _placed_sql(columns: str) -> str:
+    kinds = " ".join(f"WHEN '{layout.tr_id}' THEN {_message_json(layout)}" for layout in (TRADE, EXPECTED))
+    return f"""WITH {_TRADES}, {_MIXED}, {_JUDGED}, {_PLACED}
+SELECT tr AS topic, p[1] AS key, CAST(CASE tr {kinds} END AS VARCHAR) AS value, CAST(record_no AS INTEGER) AS record_no, {columns} FROM placed"""
+
+
+def _reported(late: str, closed: str) -> str:
+    """What the report of q20 holds, and what an archive without ``view`` events holds."""
+    return f"""WITH {_MESSAGES}, {_stats('1 hour', where=late)},
+reported AS (SELECT w, stock_code, n AS message_count FROM stats WHERE {closed}),
+archived AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS w, stock_code, COUNT(*) AS archived FROM messages
+  WHERE event_type <> 'view' GROUP BY ALL)
+SELECT {_iso('COALESCE(r.w, a.w)')} AS update_time, CASE WHEN r.w IS NULL THEN a.stock_code ELSE r.stock_code END AS stock_code,
+  COALESCE(message_count, 0) AS message_count, COALESCE(archived, 0) AS archived,
+  CASE WHEN r.w IS NULL THEN 'not reported' WHEN COALESCE(archived, 0) > message_count THEN 'late records dropped' ELSE 'archive behind' END AS reason
+FROM reported r FULL JOIN archived a ON r.w = a.w AND r.stock_code IS NOT DISTINCT FROM a.stock_code
+WHERE COALESCE(message_count, 0) <> COALESCE(archived, 0)"""
+
+
+_GAPS = f"""WITH kept AS (
+  SELECT DISTINCT event_id % 8 AS p, event_id // 8 AS o FROM events
+  WHERE event_type <> 'error' AND NOT (event_id // 8 BETWEEN 100 AND 180 AND event_id % 8 < 3)),
+gaps AS (
+  SELECT p, LAG(o) OVER (PARTITION BY p ORDER BY o) + 1 AS f, o - 1 AS l FROM kept
+  UNION ALL SELECT s.p, 0, MIN(o) - 1 FROM range(8) s(p) LEFT JOIN kept k ON k.p = s.p GROUP BY s.p)
+SELECT '{TRADE.tr_id}' AS topic, CAST(p AS INTEGER) AS partition, CAST(f AS BIGINT) AS first_missing, CAST(l AS BIGINT) AS last_missing,
+  CAST(l - f + 1 AS BIGINT) AS missing FROM gaps WHERE f IS NOT NULL AND (l IS NULL OR l >= f)"""
+
+_CUTOVER = """
+SELECT topic, COUNT(*) AS documents, phase FROM messages, (VALUES ('before'), ('copied'), ('listed'), ('later')) phases(phase)
+WHERE phase = 'later' OR ts < TIMESTAMP '2024-01-20 12:00:00' GROUP BY topic, phase"""
+
+_CHANGES = f"""WITH {_MESSAGES}, sent AS (
+  SELECT topic, CAST(ts + INTERVAL '2 seconds' + INTERVAL '9 hours' AS DATE) AS day, ts FROM messages),
+members AS (
+  SELECT topic, day, UNNEST(list_filter([
+      {{'field': 'stck_prpr', 'type': 'STRING'}}, {{'field': 'cntg_vol', 'type': 'BIGINT'}},
+      {{'field': 'cttr', 'type': CASE WHEN ts >= TIMESTAMP '{tables.NEW_TYPE}' THEN 'BIGINT' ELSE 'STRING' END}},
+      CASE WHEN ts < TIMESTAMP '{tables.NO_FIELD}' THEN {{'field': 'total_bidp_rsqn', 'type': 'STRING'}} END,
+      CASE WHEN ts >= TIMESTAMP '{tables.NEW_FIELD}' THEN {{'field': 'venue', 'type': 'STRING'}} END], lambda m: m IS NOT NULL), recursive := true)
+  FROM sent),
+days AS (SELECT topic, day, row_number() OVER (PARTITION BY topic ORDER BY day) AS no, LEAD(day) OVER (PARTITION BY topic ORDER BY day) AS next
+  FROM (SELECT DISTINCT topic, day FROM sent)),
+seen AS (
+  SELECT *, LAG(no) OVER f AS no_before, LAG(type) OVER f AS type_before, LEAD(no) OVER f AS no_after
+  FROM (SELECT DISTINCT topic, day, field, type FROM members) JOIN days USING (topic, day) WINDOW f AS (PARTITION BY topic, field ORDER BY no))
+SELECT topic, CAST(day AS VARCHAR) AS day, field, CASE WHEN no = 1 THEN 'first day' WHEN no_before IS NULL OR no_before < no - 1 THEN 'appears' ELSE 'changes type' END AS change,
+  type, type_before FROM seen WHERE no = 1 OR no_before IS NULL OR no_before < no - 1 OR type <> type_before
+UNION ALL SELECT topic, CAST(next AS VARCHAR), field, 'vanishes', NULL, type FROM seen WHERE next IS NOT NULL AND (no_after IS NULL OR no_after > no + 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return _own_sql() | (llm_queries.oracle_sql() if llm_queries is not None else {})
 
@@ -806,6 +1042,27 @@ UNION ALL SELECT lpad(CAST(page_id % 7 AS VARCHAR), 6, '9'), 'nine', url, page_i
   SELECT topic, message, strftime({_ARRIVED} + INTERVAL '9 hours', '%Y-%m-%d') AS insert_day FROM messages)
 SELECT topic, insert_day, COUNT(*) AS documents, CAST(SUM(len(message)) AS BIGINT) AS characters
 FROM placed WHERE insert_day < '2024-01-31' GROUP BY topic, insert_day""",
+        "q36_today": f"""WITH {_MESSAGES}
+SELECT event_id, stock_code, message AS original_message FROM messages WHERE CAST(ts AS DATE) = DATE '{DAY}'""",
+        "q37_pending_anomalies": f"{_anomalies(closed_hour)} {_FLAT}",
+        "q38_breakdown_stream": f"""WITH {_MESSAGES}, {_DIM}, {_stats('1 hour')}
+SELECT {_iso('w')} AS update_time, sector, COUNT(*) AS stocks, CAST(SUM(total_volume) AS BIGINT) AS sector_volume,
+  CAST(SUM(spv) AS DOUBLE) / NULLIF(SUM(total_volume), 0) AS sector_vwap
+FROM stats s LEFT JOIN dim d ON s.stock_code = d.stock_code WHERE {closed_hour} GROUP BY ALL""",
+        "q39_ordered_messages": _placed_sql(
+            'partition, "offset", row_number() OVER (PARTITION BY tr, p[1] ORDER BY partition, "offset", record_no) AS sequence'
+        ),
+        "q40_reconciled_report": f"""WITH {_MESSAGES}, {_stats('1 hour')}
+SELECT {_iso('w')} AS update_time, stock_code, {_VWAP} AS vwap, total_volume, n AS message_count FROM stats""",
+        "q41_late_windows": _reported(late, closed_hour),
+        "q42_offset_gaps": _GAPS,
+        "q43_archive_cutover": f"WITH {_MESSAGES} {_CUTOVER}",
+        "q44_schema_changes": _CHANGES,
+        "q45_replayed_letters": _placed_sql(f"CASE tr WHEN '{TRADE.tr_id}' THEN 2 ELSE 1 END AS layout_version"),
+        "q46_sectors_by_time": f"""WITH {_MESSAGES}, {_DIM}, {_stats('1 hour')}
+SELECT {_iso('w')} AS update_time, s.stock_code, sector, name, {_VWAP} AS vwap, total_volume
+FROM stats s LEFT JOIN dim d ON s.stock_code = d.stock_code AND CASE WHEN w < TIMESTAMP '2024-01-10' THEN TRUE
+  WHEN w < TIMESTAMP '2024-01-20' THEN sector <> '1-URGENT' ELSE sector <> '5-LOW' END""",
         "q27_vwap_trade_clock": f"""WITH {_TRADES}, {_DIM},
 clocked AS (SELECT * REPLACE (date_trunc('second', ts) AS ts, price + CASE k WHEN 0 THEN 0 ELSE 2 + 1000 * k END AS price)
   FROM (SELECT *, UNNEST(range({_COUNT})) AS k FROM trades)

@@ -9,7 +9,13 @@ from tickloom.plans import market, tables
 from tickloom.sources import records as sources
 from tickloom.sources.archive import archived_trades, read_archive
 from tickloom.sources.sinks import table_sink
-from tickloom.streaming.market_report import start_market_report, stream_stats
+from tickloom.streaming.market_report import (
+    finish_anomalies,
+    start_market_report,
+    start_market_report_keeping_messages,
+    stream_breakdown,
+    stream_stats,
+)
 from tickloom.streaming.tables import start_archive, start_table
 
 ONCE = {"availableNow": True}
@@ -118,7 +124,8 @@ def _outputs(spark, out):
 
 
 def _fan_out(spark, source, out, **options):
-    return start_market_report(
+    start = start_market_report if "archive" in options else start_market_report_keeping_messages
+    return start(
         source.trades(),
         feed.dim(spark, *DIM),
         f"{out}/checkpoint",
@@ -173,7 +180,7 @@ def test_failed_batch_is_redone_once(spark, tmp_path):
         raise RuntimeError("sink is down")
 
     with pytest.raises(Exception, match="sink is down"):
-        start_market_report(
+        start_market_report_keeping_messages(
             source.trades(),
             feed.dim(spark, *DIM),
             f"{out}/checkpoint",
@@ -212,17 +219,118 @@ def test_messages_from_the_archive(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/none/report").count() == 3
 
 
-def test_anomalies_do_not_wait_for_the_archive(spark, tmp_path):
-    source = Feed(spark, tmp_path)
+def _archive_of(spark, rows):
+    """The parsed trades of an archive that holds these rows; the list may grow."""
+
+    def archive(start, end):
+        parsed = trades.parse_trades(feed.records(spark, feed.trades(*rows)), keep=market.IDS)
+        return parsed.filter((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+
+    return archive
+
+
+def _anomalies(spark, out):
+    odd = spark.read.schema("stock_code string, sector string, raw_messages array<string>, messages_complete boolean").parquet(f"{out}/anomalies")
+    return sorted((r.stock_code, r.sector, len(r.raw_messages), r.messages_complete) for r in odd.collect())
+
+
+def test_anomalies_wait_for_the_archive_and_come_once(spark, tmp_path):
+    source, held = Feed(spark, tmp_path), [ROWS[-1]]
+    options = {"archive": _archive_of(spark, held), "patience": "1 hour"}
     source.add(*ROWS)
-    nothing = trades.parse_trades(feed.records(spark, feed.trades(*ROWS)).limit(0), keep=market.IDS)
-    _fan_out(spark, source, tmp_path, archive=lambda start, end: nothing).awaitTermination()
-    odd = spark.read.parquet(f"{tmp_path}/anomalies").collect()
-    assert {(r.stock_code, r.sector) for r in odd} == {("hot", "a"), ("hot", "b")}
-    assert all(r.raw_messages == [] and not r.messages_complete for r in odd)
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/report").count() == 3 and not (tmp_path / "anomalies" / "report_date=2025-07-02").exists()
+    held.extend(ROWS[:60])  # some of the messages
+    source.add(("cold", 100, 1, 400))
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    held.extend(ROWS[60:])
+    source.add(("cold", 100, 1, 600))
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    source.add(("cold", 100, 1, 800))
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    assert _anomalies(spark, tmp_path) == [("hot", "a", 100, True), ("hot", "b", 100, True)]
     assert spark.read.parquet(f"{tmp_path}/messages").count() == 2
 
 
+def test_patience_ends(spark, tmp_path):
+    source, held = Feed(spark, tmp_path), ROWS[:60]
+    options = {"archive": _archive_of(spark, held), "patience": "5 minutes"}
+    source.add(*ROWS)
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    source.add(("cold", 100, 1, 1000), ("cold", 100, 1, 2000))
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    assert _anomalies(spark, tmp_path) == [("hot", "a", 60, False), ("hot", "b", 60, False)]
+    held.extend(ROWS[60:])
+    source.add(("cold", 100, 1, 3000))
+    _fan_out(spark, source, tmp_path, **options).awaitTermination()
+    assert len(_anomalies(spark, tmp_path)) == 2
+
+
+def test_what_waits_is_written_at_the_end(spark, tmp_path):
+    source, held = Feed(spark, tmp_path), [ROWS[-1]]
+    source.add(*ROWS)
+    _fan_out(spark, source, tmp_path, archive=_archive_of(spark, held), patience="1 hour").awaitTermination()
+    held.extend(ROWS[:-1])
+    sinks = [table_sink(f"{tmp_path}/{name}") for name in ("anomalies", "messages")]
+    for _ in range(2):
+        finish_anomalies(spark, feed.dim(spark, *DIM), f"{tmp_path}/checkpoint", *sinks, archive=_archive_of(spark, held))
+    assert _anomalies(spark, tmp_path) == [("hot", "a", 100, True), ("hot", "b", 100, True)]
+
+
+def test_a_run_killed_between_sinks_goes_on_where_it_was(spark, tmp_path):
+    """Sinks that only append: a repeated batch must skip those that have it, with the rows of the first try."""
+    source, held, down = Feed(spark, tmp_path), list(ROWS), [True]
+    source.add(*ROWS)
+
+    def append(name):
+        def write(rows, batch_id):
+            if name == "messages" and down[0]:
+                raise RuntimeError("sink is down")
+            rows.write.mode("append").parquet(f"{tmp_path}/{name}")
+
+        return write
+
+    def run():
+        start_market_report(
+            source.trades(),
+            feed.dim(spark, *DIM),
+            f"{tmp_path}/checkpoint",
+            *[append(name) for name in ("report", "anomalies", "messages")],
+            archive=_archive_of(spark, held),
+            patience="0 seconds",
+            trigger=ONCE,
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="sink is down"):
+        run()
+    held.clear()
+    held.append(ROWS[-1])  # what the archive gives later no longer matters for this batch
+    down[0] = False
+    run()
+    counts = {name: spark.read.parquet(f"{tmp_path}/{name}").count() for name in ("report", "anomalies", "messages")}
+    assert counts == {"report": 3, "anomalies": 2, "messages": 2}
+    assert _anomalies(spark, tmp_path) == [("hot", "a", 100, True), ("hot", "b", 100, True)]
+
+
+def test_breakdown_over_wider_windows(spark, tmp_path):
+    source = Feed(spark, tmp_path)
+    source.add(("hot", 10, 1, 0), ("hot", 20, 1, 31), ("cold", 40, 2, 59), ("none", 5, 1, 3), ("cold", 10, 5, 70), ("cold", 10, 1, 300))
+    dim = feed.dim(spark, *DIM)
+    for name, over in (("narrow", None), ("wide", "1 minute")):
+        rows = stream_breakdown(source.trades(), dim, over=over)
+        start_table(rows, f"{tmp_path}/{name}", f"{tmp_path}/{name}_c", trigger=ONCE).awaitTermination()
+    seconds = F.unix_seconds("window.start") - F.unix_seconds(F.lit(feed.START))
+    got = {
+        name: {(r.s, r.sector): (r.stocks, r.sector_volume, r.sector_vwap) for r in spark.read.parquet(f"{tmp_path}/{name}").select(seconds.alias("s"), "*").collect()}
+        for name in ("narrow", "wide")
+    }
+    assert got["narrow"] == {
+        (0, "a"): (1, 1, 10.0), (0, "b"): (1, 1, 10.0), (0, None): (1, 1, 5.0),
+        (30, "a"): (2, 3, 100 / 3), (30, "b"): (1, 1, 20.0), (60, "a"): (1, 5, 10.0),
+    }
+    assert got["wide"] == {(0, "a"): (3, 4, 110 / 4), (0, "b"): (2, 2, 15.0), (0, None): (1, 1, 5.0), (60, "a"): (1, 5, 10.0)}
+
+
 def test_frames_as_a_stream(spark, tmp_path):
     from tickloom.operators import frames
 

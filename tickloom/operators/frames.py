@@ -198,11 +198,12 @@ def publish_rows(
     frames: DataFrame,
     layouts: Sequence[Layout] = LAYOUTS,
     frame_col: str = "frame",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Kafka-ready rows ``topic, key, value``: topic = record kind, key = stock code, value = JSON.
 
     Numbers stay the text that was received, so no digit is added or lost. All kinds are handled
-    in one pass over the frames.
+    in one pass over the frames. ``keep`` names further columns of the frames, or ``record_no``.
     """
     split = split_frames(frames, layouts, frame_col, number_mark)
     good = split.filter((F.col("frame_class") == "data") & _reason(layouts).isNull())
@@ -213,4 +214,4 @@ def publish_rows(
         )
         text = F.to_json(message, {"ignoreNullFields": "false"})
         value = F.when(F.col("tr_id") == layout.tr_id, text).otherwise(value)
-    return good.select(F.col("tr_id").alias("topic"), _part(0).alias("key"), value.alias("value"))
+    return good.select(F.col("tr_id").alias("topic"), _part(0).alias("key"), value.alias("value"), *keep)

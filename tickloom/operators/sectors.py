@@ -33,6 +33,47 @@ def enrich(rows: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+def validity(snapshots: DataFrame, taken: str = "valid_from", since_ever: bool = True) -> DataFrame:
+    """When a stock belonged to a sector: ``stock_code, sector, name, valid_from, valid_until``.
+
+    ``snapshots`` are successive full sector lists, rows as of :func:`sector_rows` with the time each was
+    ``taken``. A row holds from its list on until the first list without it (``valid_until``, exclusive; NULL
+    while it is in the last one) and may come again. With ``since_ever`` the first list also holds for the
+    time before it (``valid_from`` NULL). Repeated rows count once.
+    """
+    keys = ("stock_code", "sector", "name")
+    # One row for each list; a sort of these is all that a single task does.
+    times = snapshots.select(taken).distinct()
+    order = Window.orderBy(taken)
+    numbered = times.select(taken, F.row_number().over(order).alias("_no"), F.lead(taken).over(order).alias("_next"))
+    rows = snapshots.select(*keys, taken).distinct().join(F.broadcast(numbered), taken)
+    run = F.col("_no") - F.row_number().over(Window.partitionBy(*keys).orderBy("_no"))
+    start = F.min(taken)
+    if since_ever:
+        start = F.when(F.min("_no") > 1, start)
+    return (
+        rows.withColumn("_run", run)
+        .groupBy(*keys, "_run")
+        .agg(start.alias("valid_from"), F.max_by("_next", "_no").alias("valid_until"))
+        .drop("_run")
+    )
+
+
+def enrich_windows(stats: DataFrame, dim: DataFrame) -> DataFrame:
+    """:func:`enrich` for windows: with ``valid_from, valid_until`` in ``dim`` each window gets the sectors that
+    held when it started. An equi-join on the stock; a stock has few intervals, which are filtered in it."""
+    if "valid_from" not in dim.columns:
+        return enrich(stats, dim)
+    d = dim.select("stock_code", "sector", "name", "valid_from", "valid_until").alias("d")
+    start = F.col("s.window.start")
+    holds = (
+        (F.col("s.stock_code") == F.col("d.stock_code"))
+        & (F.col("d.valid_from").isNull() | (start >= F.col("d.valid_from")))
+        & (F.col("d.valid_until").isNull() | (start < F.col("d.valid_until")))
+    )
+    return stats.alias("s").join(d, holds, "left").select("s.*", "d.sector", "d.name")
+
+
 def enrich_rows(
     rows: DataFrame,
     dim: DataFrame,

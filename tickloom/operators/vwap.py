@@ -133,20 +133,26 @@ def anomaly_messages(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return rows.select(F.col("stock_code").alias("key"), value.alias("value"), *keep)
 
 
+def sector_sums() -> list[Column]:
+    """Sums over the stocks of a sector; stocks are counted once per window of the report."""
+    return [
+        F.count("*").alias("stocks"),
+        F.try_sum("sum_volume").alias("volume"),
+        F.try_sum("sum_price_volume").alias("sector_price_volume"),
+    ]
+
+
+def sector_figures(sums: DataFrame, *keep: str) -> DataFrame:
+    return sums.select(
+        "update_time",
+        "sector",
+        "stocks",
+        F.col("volume").try_cast("long").alias("sector_volume"),
+        ratio(F.col("sector_price_volume"), F.col("volume")).alias("sector_vwap"),
+        *keep,
+    )
+
+
 def sector_breakdown(stats: DataFrame) -> DataFrame:
     """The report per sector: stocks seen, volume, VWAP over the sector's stocks."""
-    return (
-        stats.groupBy("update_time", "sector")
-        .agg(
-            F.count("*").alias("stocks"),
-            F.try_sum("sum_volume").alias("volume"),
-            F.try_sum("sum_price_volume").alias("sector_price_volume"),
-        )
-        .select(
-            "update_time",
-            "sector",
-            "stocks",
-            F.col("volume").try_cast("long").alias("sector_volume"),
-            ratio(F.col("sector_price_volume"), F.col("volume")).alias("sector_vwap"),
-        )
-    )
+    return sector_figures(stats.groupBy("update_time", "sector").agg(*sector_sums()))

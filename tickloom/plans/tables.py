@@ -73,14 +73,52 @@ def trade_records(events: DataFrame, time: str = "timestamp_ntz") -> DataFrame:
     return _records(events, F.lit(TRADE.tr_id), time)
 
 
-def topic_records(events: DataFrame, time: str = "timestamp") -> DataFrame:
-    """The same records spread over the three topics by event type."""
-    topic = (
+def _topic() -> Column:
+    return (
         F.when(F.col("event_type") == "view", EXPECTED.tr_id)
         .when(F.col("event_type") == "click", ORDER_BOOK.tr_id)
         .otherwise(TRADE.tr_id)
     )
-    return _records(events, topic, time)
+
+
+def topic_records(events: DataFrame, time: str = "timestamp") -> DataFrame:
+    """The same records spread over the three topics by event type."""
+    return _records(events, _topic(), time)
+
+
+def dense_records(events: DataFrame) -> DataFrame:
+    """Trade records whose offsets follow each other in each partition, without those of error events."""
+    return trade_records(events.filter("event_type <> 'error'"), "timestamp").withColumns(
+        {"partition": F.pmod("offset", F.lit(8)).cast("int"), "offset": F.shiftright("offset", 3)}
+    )
+
+
+# From when on messages have a venue, a number in place of text, and lack a member: midnights in Seoul on arrival.
+NEW_FIELD, NEW_TYPE, NO_FIELD = "2024-01-11 14:59:58", "2024-01-17 14:59:58", "2024-01-23 14:59:58"
+
+
+def changing_records(events: DataFrame) -> DataFrame:
+    """Records of the three topics whose messages change their form three times."""
+
+    def since(moment: str) -> Column:
+        return F.col("ts") >= F.lit(moment).cast("timestamp_ntz")
+
+    def message(venue: bool, number: bool, bid: bool) -> Column:
+        members = [cents().cast("string").alias("stck_prpr"), quantity().alias("cntg_vol")]
+        members.append(F.lit(100).alias("cttr") if number else F.lit("100.00").alias("cttr"))
+        if bid:
+            members.append(F.lit("5000").alias("total_bidp_rsqn"))
+        if venue:
+            members.append(F.lit("K").alias("venue"))
+        return F.to_json(F.struct(*members))
+
+    text = (
+        F.when(since(NO_FIELD), message(True, True, False))
+        .when(since(NEW_TYPE), message(True, True, True))
+        .when(since(NEW_FIELD), message(True, False, True))
+        .otherwise(message(False, False, True))
+    )
+    return _records(events, _topic(), "timestamp", text)
 
 
 def broken_records(events: DataFrame) -> DataFrame:
@@ -176,6 +214,15 @@ def mixed_frames(events: DataFrame) -> DataFrame:
     return frames.select("event_id", "event_type", F.posexplode(lines).alias("frame_no", "frame"))
 
 
+def placed_frames(events: DataFrame) -> DataFrame:
+    """Each event as a trade frame and an expected-execution frame, with their place in the source."""
+    both = expected_frames(trade_frames(events).withColumnRenamed("frame", "_trade"))
+    lines = both.select("event_id", "user_id", F.posexplode(F.array("_trade", "frame")).alias("_no", "frame"))
+    return lines.select(
+        "event_id", F.pmod("user_id", F.lit(8)).cast("int").alias("partition"), (2 * F.col("event_id") + F.col("_no")).alias("offset"), "frame"
+    )
+
+
 def sector_entries(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """``stock_code, name, sectors[]``; customers without orders have an empty list. There are few
     distinct priorities, so the lists are short."""
