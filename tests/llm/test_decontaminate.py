@@ -73,11 +73,37 @@ def test_against_the_rule(spark, case):
     assert got == plain(docs, items)
 
 
-def test_shuffled_items_give_the_same(spark, case, monkeypatch):
+def test_shuffled_items_give_the_same(spark, case):
     docs, items = case
-    monkeypatch.setattr(decontaminate, "checked_broadcast", lambda rows: rows)
-    got, _ = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert got == plain(docs, items)
+    rows = decontaminate.contamination(
+        spark.createDataFrame(docs + docs[:3], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), limit=-1
+    ).collect()
+    assert len(rows) == len(docs) + 3
+    assert {r["id"]: (r["n_words"], r["n_hit"], r["items"]) for r in rows} == plain(docs, items)
+
+
+@pytest.mark.parametrize("window", [1, 2, 4, 13, 31])
+def test_other_windows(spark, case, window):
+    docs, items = case
+    rows = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window
+    ).collect()
+    assert {r["id"]: (r["n_words"], r["n_hit"], r["items"]) for r in rows} == plain(docs, items, window)
+
+
+def test_matches_are_found_before_words_are_copied(spark, case):
+    """The join's filter is compiled with the generator and the join; nothing that is not goes in between."""
+    docs, items = case
+    seen = []
+    spy = decontaminate.store
+    try:
+        decontaminate.store = lambda rows, name: (seen.append(rows) if name == "windows" else None) or spy(rows, name)
+        decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    finally:
+        decontaminate.store = spy
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Filter" in line and "i_key" in line)
+    assert "lambda" not in join
 
 
 def test_share_decides(spark, case):
