@@ -8,17 +8,20 @@ stripes and row groups by the statistics and the Bloom filters.
 
 Texts are cut at spaces, where the byte-level pre-tokenizer always cuts if the space stands between other
 characters, and each different word of a run of texts is looked up once in a bounded cache of the worker.
-Words that the cache lacks, and texts with white space on both sides of a cut as a whole, go to the
-tokenizers library.
+Words that the cache lacks go to the library's model if they are letters and punctuation, which the
+pre-tokenizer only cuts in between, else through the whole library; so do, as a whole, texts with white
+space on both sides of a cut or with a word too long to be kept.
 
 Edge cases: NULL is treated as the empty text, which gives the end id alone; a NULL id sorts first;
-documents of equal id are ordered by their ids; an empty table gives an empty folder of files.
+documents of equal id are ordered by the hash of their text; an empty table gives an empty folder of files.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -35,6 +38,13 @@ CACHE = 500_000  # words in each of two generations
 TOGETHER = 16
 PLACE_BITS = 33
 ODD = False
+LONGEST = 100  # characters of a word that is kept
+MARKS = 10_000  # runs of punctuation that are kept
+# Letters that every version of Unicode knows as such, then punctuation without the apostrophe.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u04ff]+)([!-&(-/:-@\[-`{-~]*)")
+# How byte-level tokenizers write bytes: printable ones as themselves, the others from U+0100 on in their order.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = {b: chr(b) if b in _PRINTED else chr(0x100 + sum(o not in _PRINTED for o in range(b))) for b in range(256)}
 SPACE = "\u0120"  # the space in names of byte-level tokens
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
@@ -54,6 +64,11 @@ class WordEncoder:
         names = self.library.get_vocab()
         self.spaced = np.zeros(max(names.values()) + 1, dtype=bool)
         self.spaced[[i for name, i in names.items() if name[0] == SPACE]] = True
+        self.model = self.library.model
+        self.marks: dict[str, list[int]] = {}
+        # Whether this tokenizer cuts and writes words as the short way takes for granted.
+        tried = [SIMPLE.fullmatch(word) for word in ("word", "Longerword,", "\u00e9t\u00e9?!", "\u043f\u0440\u0438...", "x(")]
+        self.short = [self._simple(*m.groups()) for m in tried] == self._encode([f" {m[0]}" for m in tried])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -72,6 +87,21 @@ class WordEncoder:
                 done += self._encode([" " + w for w in group])
         return done
 
+    def _simple(self, letters: str, marks: str) -> bytes:
+        """Ids of letters with the space before them, and of the marks after: two pieces to the tokenizer, which its
+        model encodes by themselves. Non-ASCII letters are given as the tokenizer writes their bytes."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(BYTES)
+        ids = [token.id for token in self.model.tokenize(BYTES[32] + letters)]
+        if marks:
+            known = self.marks.get(marks)
+            if known is None:
+                known = [token.id for token in self.model.tokenize(marks)]
+                if len(self.marks) < MARKS:
+                    self.marks[marks] = known
+            ids += known
+        return array("i", ids).tobytes()
+
     def _learn(self, new: set[str]) -> None:
         """Put words into the cache. When it is full, it becomes the older generation, whose words return
         when they are met again."""
@@ -84,6 +114,8 @@ class WordEncoder:
                 self.words[word] = known
             elif not word or word[0].isspace() or word[-1].isspace():
                 self.words[word] = ODD
+            elif self.short and (found := SIMPLE.fullmatch(word)):
+                self.words[word] = self._simple(*found.groups())
             else:
                 plain.append(word)
         self.words.update(zip(plain, self._words(plain), strict=True))
@@ -91,7 +123,9 @@ class WordEncoder:
     def entries(self, words: list[str]) -> list[bytes | bool]:
         """Ids of different words with the space before them, ODD for odd ones."""
         found = list(map(self.words.get, words))
-        lost = {w for w, ids in zip(words, found, strict=True) if ids is None}
+        # Long ones, such as texts without spaces, are left to the library and not kept.
+        lost = {w for w, ids in zip(words, found, strict=True) if ids is None and len(w) <= LONGEST}
+        found = [ODD if ids is None and len(w) > LONGEST else ids for w, ids in zip(words, found, strict=True)]
         if lost:
             self._learn(lost)
             found = [self.words[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
@@ -152,7 +186,8 @@ def _encoder(path: str, end: int):
             for batch in slices(whole, 1):
                 texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
                 rows, ids = words.encode(texts, mark)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), ids], ["doc_id", "ids"])
+                taken = [batch.column(at).take(pa.array(rows)) for at in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*taken, ids], ["doc_id", "key", "ids"])
 
     return run
 
@@ -168,9 +203,11 @@ def write_tokens(
     rows_per_index: int = ROWS_PER_INDEX,
 ) -> None:
     """Write the ids of all documents, each with the end id, as ORC files in ascending order of ``id_col``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    encoded = rows.repartitionByRange("doc_id").mapInArrow(_encoder(tokenizer, end), "doc_id long, ids array<int>")
-    ordered = encoded.sortWithinPartitions("doc_id", "ids")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
+    # Rows with one id, or without, may be many: the hash of the text cuts them into several ranges.
+    dealt = rows.repartitionByRange("doc_id", "key")
+    encoded = dealt.mapInArrow(_encoder(tokenizer, end), "doc_id long, key long, ids array<int>")
+    ordered = encoded.sortWithinPartitions("doc_id", "key", "ids")
     ordered.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids").write.option(
         "compression", "zstd"
     ).option("orc.stripe.size", stripe_bytes).option("orc.create.index", "true").option(
