@@ -36,15 +36,16 @@ BANDS, ROWS = 12, 4
 SPACES = " \t\r\x0b\x0c"
 TILE = 1024
 SEED = 20
+BLOCK_ROWS = 256  # lines hashed together
 BLOCK_CHARS = 1 << 15  # what the working arrays of a block take stays in the cache
 
 
 def normal(line: Column) -> Column:
-    """Lower case, white space collapsed. Few lines hold any that has to be, so the pattern runs on these."""
+    """White space collapsed. Few lines hold any that has to be, so the pattern runs on these."""
     odd = F.lit(False)
     for space in ("  ", "\t", "\r", "\x0b", "\x0c"):
         odd = odd | line.contains(space)
-    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
 def text_key(text: str) -> Column:
@@ -56,9 +57,11 @@ def text_key(text: str) -> Column:
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """``id, text_key, pos, key, line``: the lines that are not blank. ``key`` stands for the normal form."""
     # The key of the text is made before the text is cut, once for all of its lines.
-    whole = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), F.coalesce(text, F.lit("")).alias("text"))
+    whole = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), F.lower(F.coalesce(text, F.lit(""))).alias("text"))
     every = whole.select("id", "text_key", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    rows = every.select("id", "text_key", "pos", normal(F.col("raw")).alias("line")).filter("line <> ''")
+    # Blank lines are told by the raw text: a filter on the normal form would make it twice.
+    some = every.filter(F.btrim("raw", F.lit(SPACES)) != "")
+    rows = some.select("id", "text_key", "pos", normal(F.col("raw")).alias("line"))
     return rows.select("id", "text_key", "pos", F.unhex(F.md5("line")).alias("key"), "line")
 
 
@@ -84,6 +87,27 @@ def shingle_hashes(line: str, size: int = SHINGLE) -> np.ndarray:
     return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
 
 
+def all_shingle_hashes(lines: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """:func:`shingle_hashes` of many lines, hashed together."""
+    found: list[np.ndarray] = []
+    start = 0
+    while start < len(lines):
+        end, chars = start, 0
+        while end < len(lines) and (end == start or chars + len(lines[end]) <= BLOCK_CHARS):
+            chars += len(lines[end])
+            end += 1
+        padded = [line if len(line) >= size else line.ljust(size, "\0") for line in lines[start:end]]
+        hashes = _rolling(_codes(padded), size)
+        first = 0
+        for line in padded:
+            own = np.sort(hashes[first : first + len(line) - size + 1])
+            first += len(line)
+            again = own[1:] == own[:-1]
+            found.append(own[np.concatenate([[True], ~again])] if again.any() else own)
+        start = end
+    return found
+
+
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """How many hashes two lines share."""
     at = np.searchsorted(b, a)
@@ -131,9 +155,8 @@ def _with_bands(different: DataFrame, bands: int, rows: int, size: int) -> DataF
     return different.select("line_id", F.explode(of("line")).alias("band"))
 
 
-def _tile_links(ids: list[int], lines: list[str], sides: list[int], limit: float, size: int) -> list[tuple[int, int]]:
+def _tile_links(ids: list[int], sets: list[np.ndarray], sides: list[int], limit: float) -> list[tuple[int, int]]:
     """Links that join the lines of a tile (one side) or of two tiles (pairs across)."""
-    sets = [shingle_hashes(line, size) for line in lines]
     parent = list(range(len(ids)))
 
     def root(i: int) -> int:
@@ -163,21 +186,22 @@ def _comparer(limit: float, size: int):
     """Streams tile pairs, which arrive sorted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, lines, sides = None, [], [], []
+        key, ids, sets, sides = None, [], [], []
         for batch in batches:
             found: list[tuple[int, int]] = []
-            columns = [batch[name].tolist() for name in ("bucket", "a", "b", "side", "line_id", "line")]
-            for bucket, a, b, side, line_id, line in zip(*columns, strict=True):
+            columns = [batch[name].tolist() for name in ("bucket", "a", "b", "side", "line_id")]
+            hashed = (s for at in range(0, len(batch), BLOCK_ROWS) for s in all_shingle_hashes(batch["line"][at : at + BLOCK_ROWS].tolist(), size))
+            for bucket, a, b, side, line_id, hashes in zip(*columns, hashed, strict=True):
                 if (bucket, a, b) != key:
                     if len(ids) > 1:
-                        found += _tile_links(ids, lines, sides, limit, size)
-                    key, ids, lines, sides = (bucket, a, b), [], [], []
+                        found += _tile_links(ids, sets, sides, limit)
+                    key, ids, sets, sides = (bucket, a, b), [], [], []
                 ids.append(line_id)
-                lines.append(line)
+                sets.append(hashes)
                 sides.append(side)
             yield pd.DataFrame(found, columns=["x", "y"], dtype="int64")
         if len(ids) > 1:
-            yield pd.DataFrame(_tile_links(ids, lines, sides, limit, size), columns=["x", "y"], dtype="int64")
+            yield pd.DataFrame(_tile_links(ids, sets, sides, limit), columns=["x", "y"], dtype="int64")
 
     return run
 
