@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
+from tickloom.llm.skew import lookup
+from tickloom.operators.joins import checked_broadcast
 from tickloom.session import store
 
 SEED = 42
@@ -221,23 +223,25 @@ def near_duplicates(
     """``id, fingerprint (64-bit number), component``: the component is the smallest id within reach."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     marked = store(with_fingerprints(rows, "text", size).select("id", F.col("_fp").alias("fp")), "simhash")
-    return marked.join(_classes(marked, radius, tile), "fp").select("id", F.col("fp").alias("fingerprint"), "component")
+    # Very many texts may have one fingerprint, such as that of no words.
+    met = lookup(marked, _classes(marked, radius, tile), "fp", "n", ["id"], "inner")
+    return met.select("id", F.col("fp").alias("fingerprint"), "component")
 
 
 def _classes(marked: DataFrame, radius: int, tile: int) -> DataFrame:
-    """``fp, component, keeper`` for each fingerprint of ``marked`` (id, fp): the smallest id of the
-    component and whether this fingerprint is the one that holds it."""
-    groups = store(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-groups")
+    """``fp, n, component, keeper`` for each fingerprint of ``marked`` (id, fp): its rows, the smallest id of
+    the component and whether this fingerprint is the one that holds it."""
+    groups = store(marked.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "simhash-groups")
     links = store(fingerprint_links(groups.select("fp"), radius, tile), "simhash-links")
     roots = components(links, "a", "b", "simhash-components")
     rooted = groups.join(roots, groups["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first_id", "n", F.coalesce("root", "fp").alias("root")
     )
     # The smallest id; a NULL only if there is no other.
     order = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), F.col("fp"))
-    best = rooted.groupBy("root").agg(F.min(order).alias("best"))
-    return rooted.join(best, "root").select(
-        "fp", F.col("best.id").alias("component"), (F.col("best.fp") == F.col("fp")).alias("keeper")
+    best = rooted.groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("fps"))
+    return lookup(rooted, best, "root", "fps", ["fp"], "inner").select(
+        "fp", "n", F.col("best.id").alias("component"), (F.col("best.fp") == F.col("fp")).alias("keeper")
     )
 
 
@@ -254,7 +258,15 @@ def drop_near_duplicates(
     # The row travels as one value, so its column names cannot clash with those used here.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
     full = store(with_fingerprints(rows, "text", size).drop("text"), "simhash-rows")
-    classes = _classes(full.select("id", F.col("_fp").alias("fp")), radius, tile)
-    keepers = classes.filter("keeper").select(F.col("fp").alias("keep_fp"), F.col("component").alias("keep_id"))
-    kept = full.join(keepers, (F.col("_fp") == F.col("keep_fp")) & F.col("id").eqNullSafe(F.col("keep_id")))
-    return kept.dropDuplicates(["_fp", "id"]).select("row.*")
+    marked = full.select("id", F.col("_fp").alias("fp"))
+    counted = marked.groupBy("fp", "id").agg(F.count("*").alias("copies"))
+    # Decided on ids and fingerprints alone. Named are documents that go and those that are there repeatedly;
+    # the rows of all others stay where they are.
+    placed = lookup(counted, _classes(marked, radius, tile), "fp", "n", ["id"], "inner")
+    keeps = F.col("keeper") & F.col("id").eqNullSafe(F.col("component"))
+    named = placed.select("fp", "id", F.when(~keeps, "goes").when(F.col("copies") > 1, "once").alias("_what")).filter("_what is not null")
+    named = checked_broadcast(store(named, "simhash-named").withColumnsRenamed({"fp": "named_fp", "id": "named_id"}))
+    same = (F.col("_fp") == F.col("named_fp")) & F.col("id").eqNullSafe(F.col("named_id"))
+    met = full.join(named, same, "left")
+    alone = met.filter("_what is null").select("row.*")
+    return alone.unionByName(met.filter("_what = 'once'").dropDuplicates(["_fp", "id"]).select("row.*"))
