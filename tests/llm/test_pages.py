@@ -193,3 +193,52 @@ def test_damage_is_noticed():
     assert warc.parse(raw)["payload"] == b"payload"
     with pytest.raises(ValueError, match="damaged"):
         warc.parse(raw.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))
+
+
+def test_roots_keep_their_text_whatever_their_class():
+    for tag, mark in (("body", "post comments-open"), ("html", "no-js has-sidebar"), ("body", "menu-open"), ("html", "comments")):
+        inner = "<article><p>Hi there</p></article>"
+        page = f'<html class="{mark}"><body>{inner}</body></html>' if tag == "html" else f'<body class="{mark}">{inner}</body>'
+        assert html_text.Page(page).text() == "Hi there"
+    assert html_text.Page('<article class="post has-comments" hidden><p>Hi</p></article>').text() == "Hi"
+    assert html_text.Page('<main id="respond"><p>Hi</p></main>').text() == "Hi"
+
+
+def test_an_article_loses_only_what_is_no_article():
+    kept = (
+        '<h2 id="related">Related work</h2><p class="notice">Mind this</p><p hidden>Spoiler</p><noscript><p>Plain</p></noscript>'
+        "<object>Shown instead</object><video>No video</video><map>A map</map>"
+    )
+    lost = '<div class="advert">Buy</div><ul class="comments"><li>First!</li></ul><form>Name</form><script>x()</script><nav>Home</nav>'
+    text = html_text.Page(f"<body><noscript>Switch on</noscript><article>{kept}{lost}</article></body>").text()
+    for words in ("Related work", "Mind this", "Spoiler", "Plain", "Shown instead", "No video", "A map"):
+        assert words in text
+    for words in ("Buy", "First!", "Name", "x()", "Home", "Switch on"):
+        assert words not in text
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    start = time.process_time()
+    pages = {
+        '<a "x' * 20_000: None,
+        "<p>a</p>" + '<a "x" ' * 20_000: None,
+        "<article><p>deep</p>" + "<div>" * 20_000 + "in" + "</div>" * 20_000: "deep\n\nin",
+        "<nav>" * 20_000 + "gone": "",
+        "<b>" * 20_000 + "<p>x</p>": "x",
+        "<i>" * 10_000 + "</u>" * 10_000 + "y": "y",
+    }
+    for page, text in pages.items():
+        found = html_text.Page(page)
+        found.containers()
+        assert text is None or found.text() == text
+    assert time.process_time() - start < 10
+
+
+def test_quotes_in_tags():
+    text = lambda page: html_text.Page(page).text()
+    assert text('<p title="a > b">x</p>') == "x"
+    assert text("<p title='a > b' data-x=\"it's > fine\">x</p>") == "x"
+    assert text('<p title="open>x</p>') == "x"
+    assert text("1 < 2 <b") == "1 < 2 <b"

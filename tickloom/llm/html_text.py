@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -40,17 +42,13 @@ SHINGLE, SKETCH = 12, 128
 NEAR = 0.7
 SALTS = 64
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
-    re.S,
-)
+# A comment, the beginning of a tag, or another kind of markup.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)|<[!?/][^>]*>", re.S)
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z][-a-zA-Z]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b")
 SPACE = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp".split())
+RAW = frozenset("script style textarea title iframe xmp".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
@@ -58,9 +56,11 @@ BLOCK = frozenset(
 )
 CELL = frozenset(("td", "th", "br"))
 DROP = frozenset(
-    "head nav footer aside form script style noscript template iframe svg canvas object embed button select option textarea "
-    "menu dialog audio video map title xmp datalist".split()
+    "head nav footer aside form script style template iframe svg embed button select option textarea menu dialog title xmp "
+    "datalist".split()
 )
+# What these hold is shown where the element itself is not; dropped outside the article only.
+DROP_OUTSIDE = frozenset("noscript canvas object audio video map header".split())
 ROOTS = frozenset(("html", "body", "main", "article"))
 CONTAINER = frozenset("div section ul ol dl table figure details fieldset center dir header".split())
 CLOSES = {  # an opening tag ends an open one of these
@@ -79,7 +79,12 @@ HEAD_MARKS = frozenset(("header", "topbar"))
 
 
 def _marked(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether the attributes name something that is not main text."""
+    """Whether the attributes name something that is not main text. The elements that hold the text as a whole
+    never do, whatever their class says about the page (but for articles that are comments by a class of
+    their own, not just by a word in it); within the article only containers do."""
+    if tag in ROOTS or (inside and tag not in CONTAINER):
+        classes = (v for name, a, b, c, _ in ATTRIBUTE.findall(attributes) if name.lower() == "class" for v in (a or b or c).lower().split())
+        return tag == "article" and not COMMENTS.isdisjoint(classes)
     for name, a, b, c, hidden in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if hidden or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
@@ -88,11 +93,39 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
             words = set(re.split(r"[^a-z0-9]+", value))
             if words & COMMENTS or (name == "role" and words & ROLES):
                 return True
-            if tag not in ROOTS and (words & MARKS or (not inside and words & HEAD_MARKS)):
+            if words & MARKS or (not inside and words & HEAD_MARKS):
                 return True
     return False
 
 
+class _Quotes:
+    """Finds the end of a tag. A quote that is never closed is remembered, so that no text is searched twice for it."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.last, self.open, self.lost = source, source.rfind(">"), set(), False
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``; -1 if there is none."""
+        if at > self.last:
+            return -1
+        here = at
+        while not self.lost and (met := STOP.search(self.source, here)):
+            if met[0] == ">":
+                return met.start()
+            here = met.end()
+            if met[0] not in self.open:
+                close = self.source.find(met[0], here)
+                if close < 0:
+                    self.open.add(met[0])
+                    break
+                here = close + 1
+            else:
+                break
+        else:
+            self.lost = True
+        return self.source.find(">", at)
+
+
 class Page:
     """Pieces of text (None between blocks) and elements (hash, first, end, tag, dropped, inside article)."""
 
@@ -100,6 +133,8 @@ class Page:
         self.pieces: list[str | None] = []
         self.elements: list[tuple[int, int, int, str, bool, bool]] = []
         stack: list[list] = []  # tag, first piece, hashes of children, dropped, inside
+        opened: Counter[str] = Counter()
+        quotes = _Quotes(source)
         top: list[int] = []
         at = 0
 
@@ -113,6 +148,7 @@ class Page:
 
         def close() -> None:
             tag, first, children, dropped, inside = stack.pop()
+            opened[tag] -= 1
             mark = xxhash.xxh64_intdigest(tag + "".join([f"{h:016x}" for h in children]))
             if tag in BLOCK:
                 self.pieces.append(None)
@@ -120,14 +156,19 @@ class Page:
             (stack[-1][2] if stack else top).append(mark)
 
         while found := TAG.search(source, at):
-            end, tag, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+            end, tag = found[1], found[2]
+            if tag:
+                stop = quotes.end(found.end())
+                if stop < 0:
+                    break  # no tag ends any more
+                attributes = source[found.end() : stop]
             text(source[at : found.start()])
-            at = found.end()
+            at = stop + 1 if tag else found.end()
             if not tag:
                 continue
             tag = tag.lower()
             if end:
-                if any(e[0] == tag for e in stack):
+                if opened[tag]:
                     while stack[-1][0] != tag:
                         close()
                     close()
@@ -137,7 +178,7 @@ class Page:
             if stack and stack[-1][0] == "head" and tag in BLOCK:
                 close()
             ends = CLOSES.get(tag, ("p",) if tag in BLOCK else ())
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if any(opened[e] for e in ends) else ():
                 if stack[depth][0] in ends:
                     while len(stack) > depth:
                         close()
@@ -151,8 +192,9 @@ class Page:
             if tag in VOID:
                 continue
             inside = tag in ("article", "main") or bool(stack and stack[-1][4])
-            dropped = (bool(stack) and stack[-1][3]) or tag in DROP or (tag == "header" and not inside) or _marked(tag, attributes, inside)
+            dropped = (bool(stack) and stack[-1][3]) or tag in DROP or (tag in DROP_OUTSIDE and not inside) or _marked(tag, attributes, inside)
             stack.append([tag, len(self.pieces), [], dropped, inside])
+            opened[tag] += 1
             if tag in RAW and not attributes.endswith("/"):
                 # What such an element holds is no markup and no text.
                 last = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -167,14 +209,10 @@ class Page:
 
     def kept(self, templates: frozenset[int] | set[int] = frozenset()) -> list[bool]:
         """Which pieces belong to the main text."""
-        keep = [False] * len(self.pieces)
-        roots = self._ranges("article") or self._ranges("main") or self._ranges("body") or [(0, len(keep))]
-        for first, end in roots:
-            keep[first:end] = [True] * (end - first)
-        for mark, first, end, tag, dropped, _ in self.elements:
-            if dropped or (mark in templates and tag in CONTAINER):
-                keep[first:end] = [False] * (end - first)
-        return keep
+        size = len(self.pieces)
+        roots = self._ranges("article") or self._ranges("main") or self._ranges("body") or [(0, size)]
+        out = [(first, end) for mark, first, end, tag, dropped, _ in self.elements if dropped or (mark in templates and tag in CONTAINER)]
+        return [bool(a and not b) for a, b in zip(_covered(roots, size), _covered(out, size), strict=True)]
 
     def text(self, templates: frozenset[int] | set[int] = frozenset()) -> str:
         blocks: list[str] = []
@@ -192,12 +230,22 @@ class Page:
     def containers(self) -> set[int]:
         """Hashes of container subtrees with text that are not dropped anyway."""
         found = set()
+        texts = [0, *accumulate(int(bool(p) and not p.isspace()) for p in self.pieces)]
         for mark, first, end, tag, dropped, _ in self.elements:
-            if tag in CONTAINER and not dropped and any(p and not p.isspace() for p in self.pieces[first:end]):
+            if tag in CONTAINER and not dropped and texts[end] > texts[first]:
                 found.add(mark)
         return found
 
 
+def _covered(ranges: list[tuple[int, int]], size: int) -> list[int]:
+    """How many of the ranges each place lies in."""
+    steps = [0] * (size + 1)
+    for first, end in ranges:
+        steps[first] += 1
+        steps[end] -= 1
+    return list(accumulate(steps))[:size]
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
