@@ -432,7 +432,9 @@ def q42_offset_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Offsets that are missing in an archive without error events and without a long run."""
     documents = archive.archive_rows(tables.dense_records(_events(spark, folder)))
     kept = documents.filter("not (metadata.offset between 100 and 180 and metadata.partition < 3)")
-    starts = spark.createDataFrame([(TRADE.tr_id, p, 0) for p in range(8)], "topic string, partition int, first_expected long")
+    starts = spark.range(8).select(
+        F.lit(TRADE.tr_id).alias("topic"), F.col("id").cast("int").alias("partition"), F.lit(0).cast("long").alias("first_expected")
+    )
     return offsets.missing_offsets(offsets.source_offsets(kept), starts)
 
 
