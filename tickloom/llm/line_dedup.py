@@ -36,16 +36,28 @@ BANDS, ROWS = 12, 4
 SPACES = " \t\r\x0b\x0c"
 TILE = 1024
 SEED = 20
+KEY = ["key", "check"]
 BLOCK_ROWS = 256  # lines hashed together
 BLOCK_CHARS = 1 << 15  # what the working arrays of a block take stays in the cache
 
 
-def normal(line: Column) -> Column:
-    """White space collapsed. Few lines hold any that has to be, so the pattern runs on these."""
+def _odd(text: Column) -> Column:
+    """Whether a text may hold white space that has to be collapsed."""
     odd = F.lit(False)
     for space in ("  ", "\t", "\r", "\x0b", "\x0c"):
-        odd = odd | line.contains(space)
-    return F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
+        odd = odd | text.contains(space)
+    return odd
+
+
+def normal(line: Column, odd: Column) -> Column:
+    """White space collapsed. Few texts (``odd``) hold any that has to be, and few of their lines, so the
+    pattern runs on these."""
+    return F.trim(F.when(odd & _odd(line), F.regexp_replace(line, r"\s+", " ")).otherwise(line))
+
+
+def _blank(line: Column) -> Column:
+    # Trimmed on the left only, which stops at the first other character.
+    return F.ltrim(line, F.lit(SPACES)) == ""
 
 
 def text_key(text: str) -> Column:
@@ -55,14 +67,16 @@ def text_key(text: str) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``id, text_key, pos, key, line``: the lines that are not blank. ``key`` stands for the normal form."""
-    # The key of the text is made before the text is cut, once for all of its lines.
+    """``id, text_key, pos, key, check, line``: the lines that are not blank. ``key`` and ``check``, 128 bits
+    together, stand for the normal form."""
+    # What concerns the text is made before it is cut, once for all of its lines.
     whole = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), F.lower(F.coalesce(text, F.lit(""))).alias("text"))
-    every = whole.select("id", "text_key", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    marked = whole.select("id", "text_key", "text", _odd(F.col("text")).alias("odd"))
+    every = marked.select("id", "text_key", "odd", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     # Blank lines are told by the raw text: a filter on the normal form would make it twice.
-    some = every.filter(F.btrim("raw", F.lit(SPACES)) != "")
-    rows = some.select("id", "text_key", "pos", normal(F.col("raw")).alias("line"))
-    return rows.select("id", "text_key", "pos", F.unhex(F.md5("line")).alias("key"), "line")
+    some = every.filter(~_blank(F.col("raw")))
+    rows = some.select("id", "text_key", "pos", normal(F.col("raw"), F.col("odd")).alias("line"))
+    return rows.select("id", "text_key", "pos", F.xxhash64("line").alias("key"), F.xxhash64(F.lit(SEED), "line").alias("check"), "line")
 
 
 def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
@@ -241,28 +255,28 @@ def line_decisions(
     lines = _lines(docs, id_col, text)
     place = F.struct("id", "text_key", "pos")
     different = store(
-        lines.groupBy("key")
+        lines.groupBy(*KEY)
         .agg(F.min(F.struct("id", "text_key", "pos", "line")).alias("first"), F.count("*").alias("n"))
         .select(
-            F.monotonically_increasing_id().alias("line_id"), "key", F.col("first.id").alias("id"),
+            F.monotonically_increasing_id().alias("line_id"), *KEY, F.col("first.id").alias("id"),
             F.col("first.text_key").alias("text_key"), F.col("first.pos").alias("pos"), F.col("first.line").alias("line"), "n",
         ),
         "lines",
     )
     links = store(similar_lines(different.select("line_id", "line"), limit, tile=tile), "line-links")
     roots = components(links, "x", "y", "line-components")
-    joined = different.select("line_id", "key", place.alias("place"), "n").join(
+    joined = different.select("line_id", *KEY, place.alias("place"), "n").join(
         roots, F.col("line_id") == F.col("node"), "left"
     )
     linked = joined.filter("root is not null")
     first = linked.groupBy("root").agg(F.min("place").alias("kept"))
     decided = (
-        linked.join(first, "root").select("key", "kept", "n")
-        .union(joined.filter("root is null and n > 1").select("key", F.col("place").alias("kept"), "n"))
+        linked.join(first, "root").select(*KEY, "kept", "n")
+        .union(joined.filter("root is null and n > 1").select(*KEY, F.col("place").alias("kept"), "n"))
     )
     # Only lines that repeat or resemble another are looked up again.
     occurrences = lookup(
-        lines.select("id", "text_key", "pos", "key"), store(decided, "line-keepers"), "key", "n", ["id", "text_key", "pos"], "inner"
+        lines.select("id", "text_key", "pos", *KEY), store(decided, "line-keepers"), KEY, "n", ["id", "text_key", "pos"], "inner"
     )
     gone = occurrences.filter(~place.eqNullSafe(F.col("kept")))
     return gone.groupBy("id", "text_key").agg(F.collect_set("pos").alias("dropped"))
@@ -281,7 +295,7 @@ def dedup_lines(
     met = rows.join(checked_broadcast(gone), same, "left")
     raw = F.split(F.coalesce("text", F.lit("")), "\n")
     stays = F.filter(raw, lambda line, at: ~F.array_contains("dropped", at))
-    lines = F.size(F.filter(raw, lambda line: F.btrim(line, F.lit(SPACES)) != ""))
+    lines = F.size(F.filter(raw, lambda line: ~_blank(line)))
     changed = F.col("dropped").isNotNull()
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     new_text = F.when(changed, F.array_join(stays, "\n")).otherwise(F.col("text"))
