@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import pytest
@@ -76,3 +78,60 @@ def test_odd_rows(odd_docs, no_docs, case):
 def test_query(spark, small):
     rows = queries.op2_toxicity(spark, small)
     assert rows.columns == ["doc_id", "held_out", "score", "predicted"] and rows.count() == 200
+
+
+def plain_score(text: str | None, arcs: dict[str, float], curve: tuple[float, ...]) -> float:
+    """Every clause, every word, every scope looked up by position; the lexicon and the curve are given."""
+    t = toxicity
+    direct = aimed = muted = best = threats = 0
+    for clause in re.split(r"[.!?;\n]", (text or "").lower()):
+        words = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause)
+
+        def within(names, i, scope, words=words):
+            return any(w in names for w in words[max(i - scope, 0) : i + 1])
+
+        own, aims, pending = 0.0, 0.0, None
+        for i, word in enumerate(words):
+            hushed = within(t.NEGATIONS, i, t.NEGATION_SCOPE) or within(t.REPORTS, i, len(words))
+            if word in t.TARGETS and pending is not None and i - pending <= t.THREAT_SCOPE:
+                threats, pending = threats + 1, None
+            if word in t.THREATS and not hushed:
+                pending = i
+            weight = max([0.0, arcs.get("=" + word, 0.0)] + [arcs.get("^" + word[:n], 0.0) for n in t.STEM if n <= len(word)])
+            if hushed:
+                muted += weight
+            else:
+                own += weight
+                aims += weight * within(t.TARGETS, i, t.TARGET_SCOPE)
+        direct, aimed, best = direct + own, aimed + aims, max(best, own)
+    figures = (math.log1p(direct), math.log1p(aimed), math.log1p(muted), best, math.log1p(threats))
+    return 1 / (1 + math.exp(-curve[0] - sum(f * w for f, w in zip(figures, curve[1:], strict=True))))
+
+
+def test_query_against_a_plain_walk(spark, small):
+    docs = queries.table(spark, small, "documents")
+    arcs, curve = toxicity.learn(docs, queries.table(spark, small, "labels"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = queries.op2_toxicity(spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["score"] == pytest.approx(plain_score(texts[r["doc_id"]], arcs, curve), abs=1e-9)
+        assert r["predicted"] == (r["score"] >= 0.7) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "You are not an idiot. You idiot!",
+        "he said you are a stupid moron; you stupid moron",
+        "I will kill not you. I will kill you and hurt them, then crush it all for nobody",
+        "kill kill you you. never hurt him. trash\nTRASH clown's idiots x idiot2 2idiot",
+        "", None,
+    ],
+)
+def test_scopes_against_a_plain_walk(text):
+    arcs = {"=" + w: v for w, v in toxicity.INSULTS.items()} | {"^idiot": 3.0}
+    figures = toxicity.grammar(arcs).figures(text or "")
+    constant, *weights = toxicity.PRIOR
+    score = 1 / (1 + math.exp(-constant - sum(f * w for f, w in zip(figures, weights, strict=True))))
+    assert score == pytest.approx(plain_score(text, arcs, toxicity.PRIOR), abs=1e-9)
