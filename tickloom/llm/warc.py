@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -41,6 +42,7 @@ ARCHIVE_BYTES = 256 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
 STRETCH_BYTES = 32 << 20
+TASK_BYTES = 128 << 20
 LEVEL = 3
 EPOCH = "1970-01-01T00:00:00Z"
 
@@ -217,9 +219,11 @@ def read_records(index: DataFrame, folder: str, payload: bool = True) -> DataFra
     """The records that the given index rows name, read by byte ranges from ``folder/archives``."""
     archives = qualified(index.sparkSession, f"{folder}/archives")
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    sorted_rows = (
-        index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
-    )
+    spans = index.select("file", "offset", "length")
+    # Index rows are small, what they name is not: a number of partitions that is given is not merged.
+    size = spans.agg(F.sum("length")).first()[0] or 0
+    width = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TASK_BYTES))
+    sorted_rows = spans.repartition(width, "file", stretch).sortWithinPartitions("file", "offset")
     schema = RECORD + (", payload binary" if payload else "")
     return sorted_rows.mapInPandas(_reader(archives, payload), schema)
 
