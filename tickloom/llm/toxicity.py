@@ -1,12 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Five small transducers read the words of a clause side by side. The *insult* transducer gives a word the
-weight of the lexicon arc it ends in (whole words, or stems that any ending may follow). The *threat*
-transducer waits for a target after a verb of harm. *Target*, *negation* and *reported speech* carry
-scopes over the next words and change what a match counts as: aimed at somebody, denied, or quoted. Their
-composition scores the clause; a document is described by the sums and the best of its clauses, and a
-logistic curve turns that into a probability. Clauses without an insult or threat score zero, so an
-Aho-Corasick pass over the text finds the clauses that the grammar has to read.
+Five weighted transducers read the words of a clause one after the other's output. *Reported speech* marks
+what follows a verb of saying as quoted; *negation* and *target* mark the words in their scopes as denied and as
+near somebody; *threat* waits for a target after a verb of harm that is neither denied nor quoted; *insult* turns
+an accepted word into a direct, aimed or muted match by the marks it finds. They are composed once into one
+machine (``machine()``), whose table is walked over each clause; an arc's weight times the weight of the lexicon's
+arc for the word is what a match adds. The lexicon accepts whole words, or stems that any ending may follow. A
+document is described by the sums and the best of its clauses, and a logistic curve turns that into a
+probability. Clauses without an insult or threat score zero, so an Aho-Corasick pass over the text finds the
+clauses that the grammar has to read.
 
 What is learned: lexicon arcs (beside a short list that is given) and the curve. Labels come from at most
 ``LABELLED`` labelled rows that are not held out, those of the smallest hash of the id; copies and
@@ -27,6 +29,7 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache, reduce
 
 import ahocorasick
 import numpy as np
@@ -35,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.transducers import Arc, Table, Transducer, compose, transducer
 from tickloom.session import store
 
 LABELLED = 12_000
@@ -63,6 +67,77 @@ PRIOR = (-4.0, 1.0, 0.3, 0.2, 0.6, 1.0)
 Arcs = dict[str, float]
 
 
+# Classes of a word, as bits: what the composed machine reads.
+REPORT, NEGATION, TARGET, HARM, INSULT = (1 << n for n in range(5))
+CLASS_BITS = 5
+# Marks that the transducers add to a word.
+QUOTED, DENIED, NEAR, THREATENS, DIRECT, AIMED, MUTED = (1 << n for n in range(CLASS_BITS, CLASS_BITS + 7))
+
+
+def reported_speech() -> Transducer:
+    """Everything from a verb of saying to the end of the clause is quoted."""
+
+    def step(quoted: bool, bits: int) -> Arc:
+        quoted = quoted or bool(bits & REPORT)
+        return Arc(quoted, QUOTED if quoted else 0, 1.0)
+
+    return transducer(False, REPORT, step)
+
+
+def scope(opens: int, mark: int, words: int) -> Transducer:
+    """Marks a word of class ``opens`` and the next ``words`` words. The state is the number of words left."""
+
+    def step(left: int, bits: int) -> Arc:
+        if bits & opens:
+            return Arc(words, mark, 1.0)
+        return Arc(max(left - 1, 0), mark if left else 0, 1.0)
+
+    return transducer(0, opens, step)
+
+
+def threat(words: int) -> Transducer:
+    """A verb of harm, neither denied nor quoted, and a target among the next ``words`` words."""
+
+    def step(left: int, bits: int) -> Arc:
+        met = left and bits & TARGET
+        left = 0 if met else max(left - 1, 0)
+        if bits & HARM and not bits & (DENIED | QUOTED):
+            left = words
+        return Arc(left, THREATENS if met else 0, 1.0)
+
+    return transducer(0, TARGET | HARM | DENIED | QUOTED, step)
+
+
+def insult() -> Transducer:
+    """What an accepted word counts as. Its weight is that of the lexicon's arc; other words weigh nothing."""
+
+    def step(state: int, bits: int) -> Arc:
+        if not bits & INSULT:
+            return Arc(state, 0, 0.0)
+        if bits & (DENIED | QUOTED):
+            return Arc(state, MUTED, 1.0)
+        return Arc(state, DIRECT | AIMED if bits & NEAR else DIRECT, 1.0)
+
+    return transducer(0, INSULT | DENIED | QUOTED | NEAR, step)
+
+
+def parts() -> list[Transducer]:
+    """The transducers in the order in which each reads the other's output."""
+    return [reported_speech(), scope(NEGATION, DENIED, NEGATION_SCOPE), scope(TARGET, NEAR, TARGET_SCOPE), threat(THREAT_SCOPE), insult()]
+
+
+@cache
+def machine() -> Table:
+    """Their composition, the same for every lexicon."""
+    return Table(reduce(compose, parts()), CLASS_BITS)
+
+
+def word_class(word: str) -> int:
+    """The classes of a word that do not depend on the lexicon."""
+    listed = ((REPORTS, REPORT), (NEGATIONS, NEGATION), (TARGETS, TARGET), (THREATS, HARM))
+    return sum(bit for words, bit in listed if word in words)
+
+
 class Grammar:
     """The composed transducers over a lexicon: ``=word`` and ``^stem`` arcs with weights."""
 
@@ -72,6 +147,7 @@ class Grammar:
         for text in {a[1:] for a in arcs} | THREATS:
             self.anchors.add_word(text, len(text))
         self.anchors.make_automaton()
+        self.listed = {word: word_class(word) for word in REPORTS | NEGATIONS | TARGETS | THREATS}
 
     def insult(self, word: str) -> float:
         """The best arc that accepts the word."""
@@ -84,30 +160,25 @@ class Grammar:
 
     def clause(self, words: list[str]) -> tuple[float, float, float, int]:
         """Direct, aimed and muted weight and number of threats of one clause."""
+        table = machine()
+        following, marks, weights = table.next, table.marks, table.weights
         direct = aimed = muted = 0.0
-        threats = 0
-        negated = near_target = threat = 0  # words left of each scope
-        reported = False
+        threats = row = 0
         for word in words:
-            if word in REPORTS:
-                reported = True
-            if word in NEGATIONS:
-                negated = NEGATION_SCOPE + 1
-            if word in TARGETS:
-                near_target = TARGET_SCOPE + 1
-                if threat:
-                    threats += 1
-                    threat = 0
-            if word in THREATS and not negated and not reported:
-                threat = THREAT_SCOPE + 1
-            weight = self.insult(word)
-            if weight:
-                if negated or reported:
-                    muted += weight
-                else:
-                    direct += weight
-                    aimed += weight if near_target else 0.0
-            negated, near_target, threat = max(negated - 1, 0), max(near_target - 1, 0), max(threat - 1, 0)
+            own = self.insult(word)
+            at = row + (self.listed.get(word, 0) | (INSULT if own else 0))
+            row = following[at]
+            found = marks[at]
+            if found & THREATENS:
+                threats += 1
+            if own:
+                own *= weights[at]
+                if found & MUTED:
+                    muted += own
+                if found & DIRECT:
+                    direct += own
+                if found & AIMED:
+                    aimed += own
         return direct, aimed, muted, threats
 
     def figures(self, text: str) -> tuple[float, float, float, float, float]:
@@ -261,8 +332,8 @@ def fit(figures: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> tuple[float
 def _figures_udf(arcs: Arcs):
     @F.pandas_udf(", ".join(f"{name} double" for name in FIGURES))
     def of(texts: pd.Series) -> pd.DataFrame:
-        machine = grammar(arcs)
-        return pd.DataFrame([machine.figures(t or "") for t in texts], columns=list(FIGURES))
+        rules = grammar(arcs)
+        return pd.DataFrame([rules.figures(t or "") for t in texts], columns=list(FIGURES))
 
     return of
 
