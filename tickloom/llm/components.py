@@ -1,8 +1,9 @@
 """Connected components of a distributed edge list: alternating large-star and small-star rounds.
 
 Every round is a handful of joins and partial aggregations over the edges. Its result is written to
-the shared folder, so the lineage stays short and a lost executor costs one round at most. Nothing
-but a count and a checksum of the edges reaches the driver.
+the shared folder, so the lineage stays short and a lost executor costs one round at most. A node with very
+many neighbours, as the centre of a star of near copies, is cut into slices. Nothing but a count and a checksum
+of the edges reaches the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.skew import ROWS_PER_SLICE, lookup
 from tickloom.session import store
 
 
@@ -19,21 +21,27 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), check).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, rows_per_slice: int) -> DataFrame:
+    """``u, v, m``: each edge with the smallest neighbour of ``u``, nodes of many edges in slices."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return lookup(edges, least, "u", "n", ["v"], "inner", rows_per_slice)
+
+
+def _large_star(edges: DataFrame, rows_per_slice: int) -> DataFrame:
     """Links the larger neighbours of each node to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    met = _with_least(both, rows_per_slice).filter("v > u")
+    return met.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows_per_slice: int) -> DataFrame:
     """Links each node and its smaller neighbours to the smallest of them. Edges have ``u > v``."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    met = _with_least(edges, rows_per_slice)
+    # The smallest neighbour's own edge gives the node's link, the others give theirs.
+    return met.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct()
 
 
-def components(links: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
+def components(links: DataFrame, a: str, b: str, name: str = "components", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """``node, root`` for every node that is linked to another; ``root`` is the smallest node that
     can be reached. Links to itself, repeated links and NULL ends are ignored; no links, no rows."""
     edges = store(
@@ -44,7 +52,7 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
     )
     before = _mark(edges)
     while before[0]:
-        edges = store(_small_star(_large_star(edges)), name)
+        edges = store(_small_star(_large_star(edges, rows_per_slice), rows_per_slice), name)
         after = _mark(edges)
         if after == before:
             break

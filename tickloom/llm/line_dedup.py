@@ -269,9 +269,9 @@ def line_decisions(
         roots, F.col("line_id") == F.col("node"), "left"
     )
     linked = joined.filter("root is not null")
-    first = linked.groupBy("root").agg(F.min("place").alias("kept"))
+    first = linked.groupBy("root").agg(F.min("place").alias("kept"), F.count("*").alias("size"))
     decided = (
-        linked.join(first, "root").select(*KEY, "kept", "n")
+        lookup(linked, first, "root", "size", ["line_id"], "inner").select(*KEY, "kept", "n")
         .union(joined.filter("root is null and n > 1").select(*KEY, F.col("place").alias("kept"), "n"))
     )
     # Only lines that repeat or resemble another are looked up again.
