@@ -219,3 +219,11 @@ def test_trade_clock(spark, zone):
     assert decoded.select(F.unix_seconds(moment)).first()[0] == 1751414401  # 2025-07-02T00:00:01Z
     bad = spark.createDataFrame([("2025", "xx")], "d string, t string")
     assert bad.select(trade_instant(F.col("d"), F.col("t"), "UTC")).first()[0] is None
+
+
+@pytest.mark.parametrize("value", ["7", " 7\t", "+7", "7.", "7e0", "7.00000", "0" * 30 + "7"])
+def test_numbers_in_any_spelling_are_read_as_alone(spark, value):
+    """Records of plain digits are told at one look; others must come to the same."""
+    feed = _frames(spark, _frame(TRADE, _with(TRADE_SAMPLE, 12, value)))
+    assert frames.decode_trades(feed).first().asDict() == {**TRADE_RECORD, "cntg_vol": D(7)}
+    assert json.loads(frames.publish_rows(feed).first().value)["cntg_vol"] == value.strip()

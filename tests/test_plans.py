@@ -129,3 +129,11 @@ def test_state_is_one_row_per_window_and_stock(spark, small, tmp_path):
     query.awaitTermination()
     groups = vwap.window_sums(trades.parse_trades(entry._records(spark, small)), "1 hour").count()
     assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) == groups
+
+
+def test_no_frame_is_built_or_read_by_interpreted_code(spark, small):
+    """Spark interprets what a generator with a lambda works on: each of some hundred values of a frame."""
+    events = tables.table(spark, small, "events")
+    feeds = {frames.decode_trades: tables.trade_frames, frames.decode_orderbook: tables.orderbook_frames}
+    for read, feed in feeds.items():
+        assert not re.search(r"Arguments: (explode|inline)\w*\(.*lambdafunction", plan(read(feed(events))))
