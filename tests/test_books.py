@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import feed
 import pytest
 from pyspark.sql import functions as F
+from test_plans import plan
 
 from tickloom.functions.layouts import EXPECTED, Layout
 from tickloom.operators import offsets, raw_schemas, sectors, sequence
@@ -91,6 +93,27 @@ def test_sequence_survives_a_failed_sink(spark, tmp_path):
     assert sorted(got) == [("1", 1), ("2", 2)]
 
 
+def test_messages_are_not_shuffled_again_for_their_numbers(spark):
+    rows = spark.range(200).selectExpr(
+        "'t' as topic", "if(id % 9 = 0, null, string(id % 9)) as key", "repeat('x', 50) as value", "int(id % 2) as partition", "id as offset", "0 as record_no"
+    )
+    state = spark.createDataFrame([("t", None, 0, 18, 0, 7)], sequence.STATE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    fresh = sequence.fresh_rows(rows, state).persist()
+    try:
+        assert fresh.count() == 198  # of those without a key, offsets 0 and 18 of partition 0 were there before
+        numbered = sequence.with_sequence(fresh, state)
+        got = sorted(r["sequence"] for r in numbered.filter("key is null").collect())
+        assert got == list(range(8, 8 + 21))
+        moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan(numbered))
+        assert moved and not any("value" in columns for columns in moved)
+    finally:
+        fresh.unpersist()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_missing_and_repeated_offsets(spark):
     edge = 1 << offsets.BUCKET
     rows = [("t", 0, n) for n in (*range(3, 10), *range(12, 14), *range(edge - 2, edge + 3), 5 * edge, 5 * edge + 1, 5, None)]

@@ -16,6 +16,10 @@ KEY = ("topic", "key")
 STATE = "topic string, key string, partition int, last_offset bigint, last_record_no int, sequence bigint"
 # Offsets in a bucket: 2 to the power of this.
 BUCKET = 16
+# What rows are numbered in, as columns and as one text: rows that lie by one column stay where they are
+# in all steps after, while a join that has to respect NULLs in several would move them again.
+GROUP = (*KEY, "partition", "_bucket")
+GROUP_TEXT = "_group"
 
 
 def _same(a: str, b: str, names: Sequence[str]) -> Column:
@@ -36,7 +40,8 @@ def fresh_rows(rows: DataFrame, state: DataFrame) -> DataFrame:
     offset, last = F.col("r.offset"), F.col("s.last_offset")
     beyond = last.isNull() | (offset > last) | ((offset == last) & (F.col("r.record_no") > F.col("s.last_record_no")))
     bucketed = joined.filter(beyond).select("r.*", F.shiftright(F.col("r.offset"), BUCKET).alias("_bucket"))
-    inside = Window.partitionBy(*KEY, "partition", "_bucket").orderBy("offset", "record_no")
+    bucketed = bucketed.withColumn(GROUP_TEXT, F.to_json(F.struct(*GROUP), {"ignoreNullFields": "false"}))
+    inside = Window.partitionBy(GROUP_TEXT).orderBy("offset", "record_no")
     place = F.struct("offset", "record_no")
     # No two records have one place, so what comes second is a repeat.
     first = F.coalesce(place != F.lag(place).over(inside), F.lit(True))
@@ -46,22 +51,20 @@ def fresh_rows(rows: DataFrame, state: DataFrame) -> DataFrame:
 def with_sequence(fresh: DataFrame, state: DataFrame) -> DataFrame:
     """Add ``sequence``: 1, 2, ... within each (topic, key), by place in the source, going on from ``state``.
 
-    ``fresh`` comes from :func:`fresh_rows` and should be stored or cached. Rows are numbered within buckets
-    of offsets and the counts of buckets are added up, so no task sorts all messages of one key. NULL
-    keys are one key.
+    ``fresh`` comes from :func:`fresh_rows` and should be cached: then its rows are not shuffled again, only the
+    counts are. Rows are numbered within buckets of offsets and the counts of buckets are added up, so no task
+    sorts all messages of one key. NULL keys are one key.
     """
-    bucket = (*KEY, "partition", "_bucket")
-    counts = fresh.groupBy(*bucket).agg(F.count("*").alias("_n"))
+    counts = fresh.groupBy(GROUP_TEXT, *GROUP).agg(F.count("*").alias("_n"))
     so_far = state.groupBy(*KEY).agg(F.max("sequence").alias("_so_far"))
     earlier = Window.partitionBy(*KEY).orderBy("partition", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     based = before.alias("b").join(so_far.alias("f"), _same("b", "f", KEY), "left")
-    based = based.select("b.*", F.coalesce("f._so_far", F.lit(0)).alias("_so_far"))
-    inside = Window.partitionBy(*bucket).orderBy("offset", "record_no")
+    based = based.select(f"b.{GROUP_TEXT}", (F.coalesce("f._so_far", F.lit(0)) + F.col("b._before")).alias("_base"))
+    inside = Window.partitionBy(GROUP_TEXT).orderBy("offset", "record_no")
     numbered = fresh.withColumn("_inside", F.row_number().over(inside))
-    placed = numbered.alias("r").join(based.alias("b"), _same("r", "b", bucket))
-    sequence = F.col("b._so_far") + F.col("b._before") + F.col("r._inside")
-    return placed.select("r.*", sequence.cast("long").alias("sequence")).drop("_bucket", "_inside")
+    placed = numbered.join(based, GROUP_TEXT).withColumn("sequence", (F.col("_base") + F.col("_inside")).cast("long"))
+    return placed.drop(GROUP_TEXT, "_bucket", "_inside", "_base")
 
 
 def next_state(fresh: DataFrame, state: DataFrame) -> DataFrame:

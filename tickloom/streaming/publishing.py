@@ -28,6 +28,8 @@ def start_publishing(
         known = state.before(batch_id)
         fresh = sequence.fresh_rows(batch, known).persist()
         try:
+            # Cached as a whole first: how its rows lie is known to the plans that follow.
+            fresh.count()
             ledger.once(batch_id, "published", lambda: sink(sequence.with_sequence(fresh, known), batch_id))
             state.write(batch_id, sequence.next_state(fresh, known))
         finally:
