@@ -13,6 +13,7 @@ from test_plans import plan
 from tickloom.functions.layouts import EXPECTED, Layout
 from tickloom.operators import offsets, raw_schemas, sectors, sequence
 from tickloom.plans import market, reconcile, replay
+from tickloom.session import store
 from tickloom.sources.archive import SCHEMA, archived_trades, compact_archive, copied_days, copy_days, list_days, read_whole_archive, write_archive
 from tickloom.streaming.books import Ledger, Versions
 from tickloom.streaming.publishing import start_publishing
@@ -215,6 +216,23 @@ def test_replay_publishes_nothing_twice(spark):
     assert replay.published(same, (EXPECTED,), 1).count() == 2  # without a place equal frames are one
 
 
+def test_replay_moves_neither_frames_nor_messages(spark):
+    record = "A" + "^1" * 14
+    lines = [(0, n, f"0|H0STANC0|002|{record}^{record}") for n in range(5)]
+    lines += [(0, 5, f"0|H0STANC0|002|{record}^B^1"), (0, 6, "0|H0STANC0|001|C"), (0, 6, "0|H0STANC0|001|C")]
+    raw = spark.createDataFrame(lines, "partition int, offset long, frame string")
+    feed_ = store(replay.with_frame_id(raw, ("partition", "offset")).filter("offset < 6"), "feed")
+    done = store(replay.published(feed_, (EXPECTED,), 1), "published")
+    dead = store(replay.letters(feed_, (EXPECTED,), 1), "letters")
+    assert (done.count(), [r.record_no for r in dead.collect()]) == (11, [1])  # dead from its second record on
+    for rows in (replay.published(feed_, (EXPECTED,), 1), replay.letters(feed_, (EXPECTED,), 1), replay.dead_frames(dead)):
+        assert "Exchange hashpartitioning" not in plan(rows) and "SortAggregate" not in plan(rows)
+    fresh, left = replay.replay(dead.union(dead), done, (EXPECTED,), 2)
+    assert fresh.count() == 0 and [(r.record_no, r.layout_version) for r in left.collect()] == [(1, 2)]
+    twice = replay.with_frame_id(raw, ("partition", "offset"))
+    assert sorted(r.record_no for r in replay.letters(twice, (EXPECTED,), 1).collect()) == [0, 1]
+
+
 def _reported(records):
     stats = market.market_stats(records).withColumn("report_date", F.to_date("window.start"))
     return stats.select("update_time", "stock_code", "vwap", "total_volume", "message_count", "report_date")
