@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontaminate, line_dedup, pieces, simhash, toxicity
+from tickloom.llm.batches import short_batches
 from tickloom.llm.queries import table, tokenizer
 from tickloom.llm.shipping import ship
 from tickloom.session import store
@@ -18,6 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     ship(spark)
+    short_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -43,6 +45,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with end id and the text decoded from them."""
     ship(spark)
+    short_batches(spark)
     return pieces.encoded_and_decoded(docs, tokenizer("piece_bpe_32k.model"))
 
 

@@ -3,8 +3,11 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
+from collections import Counter
 
+import pandas as pd
 import pytest
 
 from tickloom.llm import queries, toxicity
@@ -135,3 +138,23 @@ def test_scopes_against_a_plain_walk(text):
     constant, *weights = toxicity.PRIOR
     score = 1 / (1 + math.exp(-constant - sum(f * w for f, w in zip(figures, weights, strict=True))))
     assert score == pytest.approx(plain_score(text, arcs, toxicity.PRIOR), abs=1e-9)
+
+
+def test_counting_holds_little_memory():
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + d % 26)}{chr(97 + d // 26)}word{chr(97 + i // 676)}" for i in range(1400)) for d in range(40)]
+    rows = pd.DataFrame({"text": texts + texts[:2], "toxic": [d % 2 for d in range(42)], "half": [d // 2 % 2 for d in range(42)]})
+    want = Counter((item, 2 * t + h) for text, t, h in zip(*rows.values.T, strict=True) for item in toxicity._items(text))
+    got = Counter()
+    tracemalloc.start()
+    try:
+        held = tracemalloc.get_traced_memory()[0]
+        for frame in toxicity._counter(iter([rows])):
+            assert tracemalloc.get_traced_memory()[1] - held < 24 << 20
+            tracemalloc.stop()
+            for item, *counts in frame.itertuples(index=False):
+                got.update({(item, n): c for n, c in enumerate(counts) if c})
+            tracemalloc.start()
+            held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert got == want and len({item for item, _ in want}) > 100_000

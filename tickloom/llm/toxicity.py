@@ -48,7 +48,9 @@ ODDS = 2.0
 LIKELIHOOD = 20.0
 THRESHOLD = 0.7
 ONE_WORD, LONGER_STEM = 0.7, 0.95
-FLUSH = 400_000
+# Counts of so many arcs are held by a task at once, some 8 MB. Spark adds up what comes after each other.
+FLUSH = 50_000
+COUNT_BITS = 32
 
 # The given part of the lexicon.
 INSULTS = {w: 4.0 for w in "idiot moron stupid scum loser pathetic worthless disgusting trash clown imbecile cretin".split()}
@@ -240,18 +242,24 @@ def _sketch(text: str, seed: int) -> int:
 
 
 def _counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of either label in either half that have an item, counted within the task."""
-    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+    """Documents of either label in either half that have an item, counted within the task. The four counts of an
+    item are one number, ``COUNT_BITS`` each."""
+    names = ("clean_a", "clean_b", "toxic_a", "toxic_b")
+    counts: dict[str, int] = defaultdict(int)
 
     def flush() -> pd.DataFrame:
-        rows = [(item, *n) for item, n in counts.items()]
+        columns = {"item": list(counts)}
+        for n, name in enumerate(names):
+            shift, mask = COUNT_BITS * n, (1 << COUNT_BITS) - 1
+            columns[name] = np.fromiter((c >> shift & mask for c in counts.values()), np.int64, len(counts))
         counts.clear()
-        return pd.DataFrame(rows, columns=["item", "clean_a", "clean_b", "toxic_a", "toxic_b"])
+        return pd.DataFrame(columns)
 
     for batch in batches:
         for text, toxic, half in zip(batch["text"], batch["toxic"], batch["half"], strict=True):
+            one = 1 << COUNT_BITS * (2 * int(toxic) + int(half))
             for item in _items(text):
-                counts[item][2 * toxic + half] += 1
+                counts[item] += one
             if len(counts) > FLUSH:
                 yield flush()
     yield flush()
