@@ -196,6 +196,15 @@ def test_no_anomaly_is_lost(spark, limit):
     assert raw.with_sliced_messages(found, sliced).filter("messages_complete").count() == 3
 
 
+def test_only_what_is_broadcast_is_measured(spark):
+    """Figures of a window that the look-up of messages does not need count nothing against the limit."""
+    records = _odd_records(spark, 10)
+    found = vwap.anomalies(market.market_stats(records)).withColumn("note", F.repeat(F.lit("x"), 5000))
+    rows = raw.with_messages(found, trades.parse_trades(records, keep=market.IDS), limit=1000)
+    assert "slice" not in rows._jdf.queryExecution().toString()  # of the join that shuffles
+    assert [len(r.raw_messages) for r in rows.collect()] == [10]
+
+
 def test_report_and_anomalies_from_one_aggregate(spark):
     dim = feed.dim(spark, ("005930", "chips", "Samsung"))
     records = feed.records(spark, feed.trades(*NORMAL, *SPIKE))

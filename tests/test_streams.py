@@ -277,6 +277,16 @@ def test_what_waits_is_written_at_the_end(spark, tmp_path):
     assert _anomalies(spark, tmp_path) == [("hot", "a", 100, True), ("hot", "b", 100, True)]
 
 
+def test_state_is_computed_once_for_a_batch(spark, tmp_path):
+    """Windows leave the state once, also while anomalies and their messages are looked up."""
+    source, held = Feed(spark, tmp_path), list(ROWS)
+    source.add(*ROWS)
+    query = _fan_out(spark, source, tmp_path, archive=_archive_of(spark, held))
+    query.awaitTermination()
+    assert len(_anomalies(spark, tmp_path)) == 2
+    assert sum(p.stateOperators[0].numRowsRemoved for p in query.recentProgress if p.stateOperators) == 2
+
+
 def test_a_run_killed_between_sinks_goes_on_where_it_was(spark, tmp_path):
     """Sinks that only append: a repeated batch must skip those that have it, with the rows of the first try."""
     source, held, down = Feed(spark, tmp_path), list(ROWS), [True]

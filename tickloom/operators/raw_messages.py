@@ -74,8 +74,11 @@ def with_messages(
         "original_message",
         spread.alias("spread"),
     )
-    if is_small(windows, limit):
-        found = timed.alias("t").join(F.broadcast(wanted).alias("w"), _same_window("t", "w"))
+    # Measured without what is not broadcast.
+    few = windows.select(F.col("window.start").alias("start"), "stock_code", _parts(list_bytes).alias("parts"))
+    if is_small(few, limit):
+        same = (F.col("t.window.start") == F.col("w.start")) & F.col("t.stock_code").eqNullSafe(F.col("w.stock_code"))
+        found = timed.alias("t").join(F.broadcast(few).alias("w"), same)
     else:
         # Slices by the size of each window; small windows stay whole.
         cuts = F.greatest(F.ceil(F.col("message_count") / rows_per_slice), F.lit(1)).cast("int")

@@ -71,10 +71,11 @@ def stream_breakdown(
 
 
 class _Books:
-    """What the report remembers: anomalies that wait, the anomalies of the batch at work, finished steps."""
+    """What the report remembers: anomalies that wait, those of the batch at work without and with messages, finished steps."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.waiting = Versions(spark, f"{path}/waiting", WAITING)
+        self.found = Versions(spark, f"{path}/found", WAITING)
         self.listed = Versions(spark, f"{path}/listed", LISTED)
         self.ledger = Ledger(spark, f"{path}/ledger")
 
@@ -148,16 +149,16 @@ def start_market_report(
     def find_anomalies(stats: DataFrame, batch_id: int) -> None:
         waiting = book.waiting.before(batch_id)
         fresh = vwap.anomalies(stats, spread, above_mean).select(*[F.col(name) for name in WAITING_COLUMNS])
-        found = fresh.unionByName(waiting).persist()
-        try:
-            newest = stats.agg(F.max("window.end")).first()[0]
-            over = F.lit(False)
-            if newest is not None:
-                over = F.col("window.end") + F.expr(f"interval {patience}") <= F.lit(newest)
-            listed = _listed(found, archive, width, list_bytes).withColumn("ready", F.col("messages_complete") | over)
-            book.listed.write(batch_id, listed)
-        finally:
-            found.unpersist()
+        # Written, not persisted: a plan that uses them more than once does not find what is persisted of a stream's
+        # batch, and computes the state again instead.
+        book.found.write(batch_id, fresh.unionByName(waiting))
+        found = book.found.at(batch_id)
+        newest = stats.agg(F.max("window.end")).first()[0]
+        over = F.lit(False)
+        if newest is not None:
+            over = F.col("window.end") + F.expr(f"interval {patience}") <= F.lit(newest)
+        listed = _listed(found, archive, width, list_bytes).withColumn("ready", F.col("messages_complete") | over)
+        book.listed.write(batch_id, listed)
         book.waiting.write(batch_id, book.listed.at(batch_id).filter("not ready and part = 0"))
 
     def write(closed: DataFrame, batch_id: int) -> None:
