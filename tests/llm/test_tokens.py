@@ -90,6 +90,16 @@ def test_word_encoder_equals_the_library(texts, monkeypatch):
     assert [ids for at in range(0, len(made), 100) for ids in _encoded(small, made[at : at + 100])] == expected
 
 
+def test_words_on_both_sides_of_an_end_of_line_take_the_short_way(monkeypatch):
+    words = ["esre.\nOning,", "a\nb", "Paoi\u00e9...\n\u00c9airepa", "one", "x" * 200]
+    library, encoder = Tokenizer.from_file(BYTES), token_orc.WordEncoder(BYTES)
+    monkeypatch.setattr(encoder, "_words", lambda plain: [] if not plain else pytest.fail(f"{plain} went to the library"))
+    found = encoder.entries(words)
+    assert found[4] is token_orc.ODD and words[4] not in encoder.words and encoder.entries(words) == found
+    for word, ids in zip(words[:4], found, strict=False):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(" " + word, add_special_tokens=False).ids
+
+
 def test_orc_query(spark, small):
     rows = queries.op8_token_orc(spark, small).toPandas().sort_values("doc_id")
     docs = pd.read_parquet(f"{small}/documents.parquet").sort_values("doc_id")

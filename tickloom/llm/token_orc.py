@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.batches import slices
+from tickloom.llm.batches import short_batches, slices
 from tickloom.session import run_folder, store
 
 END = 0
@@ -40,12 +40,15 @@ PLACE_BITS = 33
 ODD = False
 LONGEST = 100  # characters of a word that is kept
 MARKS = 10_000  # runs of punctuation that are kept
-# Letters that every version of Unicode knows as such, then punctuation without the apostrophe.
-SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u04ff]+)([!-&(-/:-@\[-`{-~]*)")
+# Letters that every version of Unicode knows as such, then punctuation without the apostrophe; the same again after
+# one end of line.
+_WORD = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u04ff]+)([!-&(-/:-@\[-`{-~]*)"
+SIMPLE = re.compile(rf"{_WORD}(?:\n{_WORD})?")
 # How byte-level tokenizers write bytes: printable ones as themselves, the others from U+0100 on in their order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTES = {b: chr(b) if b in _PRINTED else chr(0x100 + sum(o not in _PRINTED for o in range(b))) for b in range(256)}
 SPACE = "\u0120"  # the space in names of byte-level tokens
+LINE = BYTES[10]
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 SCHEMA = "row long, doc_id long, ids array<int>"
@@ -67,7 +70,7 @@ class WordEncoder:
         self.model = self.library.model
         self.marks: dict[str, list[int]] = {}
         # Whether this tokenizer cuts and writes words as the short way takes for granted.
-        tried = [SIMPLE.fullmatch(word) for word in ("word", "Longerword,", "\u00e9t\u00e9?!", "\u043f\u0440\u0438...", "x(")]
+        tried = [SIMPLE.fullmatch(word) for word in ("word", "Longerword,", "\u00e9t\u00e9?!", "\u043f\u0440\u0438...", "x(", "a.\nWord,", "\u00e9t\u00e9\n\u00c9t\u00e9")]
         self.short = [self._simple(*m.groups()) for m in tried] == self._encode([f" {m[0]}" for m in tried])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -87,48 +90,60 @@ class WordEncoder:
                 done += self._encode([" " + w for w in group])
         return done
 
-    def _simple(self, letters: str, marks: str) -> bytes:
-        """Ids of letters with the space before them, and of the marks after: two pieces to the tokenizer, which its
-        model encodes by themselves. Non-ASCII letters are given as the tokenizer writes their bytes."""
+    def _mark_ids(self, marks: str) -> list[int]:
+        known = self.marks.get(marks)
+        if known is None:
+            known = [token.id for token in self.model.tokenize(marks)]
+            if len(self.marks) < MARKS:
+                self.marks[marks] = known
+        return known
+
+    def _simple(self, letters: str, marks: str, letters_after: str | None = None, marks_after: str | None = None) -> bytes:
+        """Ids of letters with the space before them, of the marks after, and of what follows an end of line: pieces to
+        the tokenizer, which its model encodes by themselves. Non-ASCII letters are given as the tokenizer writes
+        their bytes."""
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(BYTES)
         ids = [token.id for token in self.model.tokenize(BYTES[32] + letters)]
         if marks:
-            known = self.marks.get(marks)
-            if known is None:
-                known = [token.id for token in self.model.tokenize(marks)]
-                if len(self.marks) < MARKS:
-                    self.marks[marks] = known
-            ids += known
+            ids += self._mark_ids(marks)
+        if letters_after is not None:
+            if not letters_after.isascii():
+                letters_after = letters_after.encode().decode("latin-1").translate(BYTES)
+            ids += self._mark_ids(LINE)
+            ids += [token.id for token in self.model.tokenize(letters_after)]
+            if marks_after:
+                ids += self._mark_ids(marks_after)
         return array("i", ids).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        """Put words into the cache. When it is full, it becomes the older generation, whose words return
-        when they are met again."""
-        if len(self.words) + len(new) > CACHE:
-            self.older, self.words = self.words, {}
-        plain = []
-        for word in new:
-            known = self.older.get(word)
-            if known is not None:
-                self.words[word] = known
-            elif not word or word[0].isspace() or word[-1].isspace():
-                self.words[word] = ODD
-            elif self.short and (found := SIMPLE.fullmatch(word)):
-                self.words[word] = self._simple(*found.groups())
-            else:
-                plain.append(word)
-        self.words.update(zip(plain, self._words(plain), strict=True))
-
     def entries(self, words: list[str]) -> list[bytes | bool]:
-        """Ids of different words with the space before them, ODD for odd ones."""
+        """Ids of different words with the space before them, ODD for odd ones. Words that the cache lacks are put into
+        it. When it is full, it becomes the older generation, whose words return when they are met again."""
         found = list(map(self.words.get, words))
-        # Long ones, such as texts without spaces, are left to the library and not kept.
-        lost = {w for w, ids in zip(words, found, strict=True) if ids is None and len(w) <= LONGEST}
-        found = [ODD if ids is None and len(w) > LONGEST else ids for w, ids in zip(words, found, strict=True)]
-        if lost:
-            self._learn(lost)
-            found = [self.words[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        lost = [at for at, ids in enumerate(found) if ids is None]
+        if not lost:
+            return found
+        if len(self.words) + len(lost) > CACHE:
+            self.older, self.words = self.words, {}
+        cache, older, simple, fullmatch, short = self.words, self.older.get, self._simple, SIMPLE.fullmatch, self.short
+        plain = []
+        for at in lost:
+            word = words[at]
+            if len(word) > LONGEST:  # such as texts without spaces: left to the library and not kept
+                found[at] = ODD
+                continue
+            ids = older(word)
+            if ids is None:
+                if short and (parts := fullmatch(word)):
+                    ids = simple(*parts.groups())
+                elif not word or word[0].isspace() or word[-1].isspace():
+                    ids = ODD
+                else:
+                    plain.append(at)
+                    continue
+            found[at] = cache[word] = ids
+        for at, ids in zip(plain, self._words([words[at] for at in plain]), strict=True):
+            found[at] = cache[words[at]] = ids
         return found
 
     def encode(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, pa.ListArray]:
@@ -136,7 +151,7 @@ class WordEncoder:
         lists = pc.split_pattern(texts, " ")
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         words = lists.flatten().dictionary_encode()
-        codes = words.indices.to_numpy().astype(np.int64)
+        codes = words.indices.to_numpy().astype(np.int32)
         rows = np.arange(len(texts))
         heads = words.dictionary.take(pa.array(codes[offsets[:-1]])).to_pylist()
         known = self.entries(words.dictionary.to_numpy(zero_copy_only=False).tolist())
@@ -157,15 +172,11 @@ class WordEncoder:
             sizes = np.concatenate([np.diff(np.concatenate([[0], ends]))[~whole], np.ones(whole.sum(), dtype=np.int64)])
             ends = np.cumsum(sizes)
             rows = np.concatenate([rows[~whole], rows[whole]])
-        lengths = np.array([len(p) for p in parts], dtype=np.int64) // 4
-        starts = np.cumsum(lengths) - lengths
-        taken = lengths[codes]
-        upto = np.cumsum(taken)
-        places = np.repeat(starts[codes] - (upto - taken), taken)
-        places += np.arange(len(places))
-        values = np.frombuffer(b"".join(parts), dtype="<i4")[places]
-        bounds = np.concatenate([[0], upto[ends - 1]]).astype(np.int32)
-        return rows, pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, type=pa.int32()))
+        joined = pa.array(parts, type=pa.large_binary()).take(pa.array(codes))
+        upto = np.frombuffer(joined.buffers()[1], dtype=np.int64)[: len(joined) + 1] // 4
+        bounds = upto[np.concatenate([[0], ends])].astype(np.int32)
+        values = pa.Array.from_buffers(pa.int32(), int(upto[-1]), [None, joined.buffers()[2]])
+        return rows, pa.ListArray.from_arrays(pa.array(bounds), values)
 
 
 _loaded: dict[str, WordEncoder] = {}
@@ -203,6 +214,7 @@ def write_tokens(
     rows_per_index: int = ROWS_PER_INDEX,
 ) -> None:
     """Write the ids of all documents, each with the end id, as ORC files in ascending order of ``id_col``."""
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     # Rows with one id, or without, may be many: the hash of the text cuts them into several ranges.
     dealt = rows.repartitionByRange("doc_id", "key")
