@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 from tickloom.llm import line_dedup, queries
+from tickloom.session import store
 
 
 def shingles(line, size=9):
@@ -112,3 +113,16 @@ def test_rows_that_share_an_id_but_not_a_text(spark, shipped, shared):
     assert sorted(left) == ["a", "alone", "b", "nine", "same place", "x", "y", "z"]
     assert sum(r["n_lines"] for r in got) == 12 and sum(r["n_dropped"] for r in got) == 4
     assert all(r["n_lines"] - r["n_dropped"] == len((r["text"] or "").split("\n")) for r in got if r["text"])
+
+
+def test_texts_of_lines_are_stored_small(spark, shipped, near_copies, monkeypatch):
+    """They are the largest table that the job writes."""
+    stored = {}
+
+    def kept(rows, name, compression=None):
+        stored[name] = compression
+        return store(rows, name, compression)
+
+    monkeypatch.setattr(line_dedup, "store", kept)
+    line_dedup.line_decisions(spark.createDataFrame(near_copies[:5], "doc_id long, text string"))
+    assert stored["lines"] == "zstd"

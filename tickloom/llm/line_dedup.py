@@ -261,7 +261,7 @@ def line_decisions(
             F.monotonically_increasing_id().alias("line_id"), *KEY, F.col("first.id").alias("id"),
             F.col("first.text_key").alias("text_key"), F.col("first.pos").alias("pos"), F.col("first.line").alias("line"), "n",
         ),
-        "lines",
+        "lines", "zstd",
     )
     links = store(similar_lines(different.select("line_id", "line"), limit, tile=tile), "line-links")
     roots = components(links, "x", "y", "line-components")
