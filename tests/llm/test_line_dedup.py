@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tickloom.llm import line_dedup, queries
@@ -126,3 +128,69 @@ def test_texts_of_lines_are_stored_small(spark, shipped, near_copies, monkeypatc
     monkeypatch.setattr(line_dedup, "store", kept)
     line_dedup.line_decisions(spark.createDataFrame(near_copies[:5], "doc_id long, text string"))
     assert stored["lines"] == "zstd"
+
+
+def bands_of(names):
+    """By plain Python: line and band, for bands that several lines have."""
+    lines = {}
+    for i, own in enumerate(names.view("int64").tolist()):
+        for band in own:
+            lines.setdefault(band, set()).add(i)
+    return sorted((i, band) for band, own in lines.items() if len(own) > 1 for i in own)
+
+
+@pytest.mark.parametrize("bin_rows", [40, 1 << 19])
+def test_bands_of_one_line_are_not_kept(spark, shipped, near_copies, bin_rows):
+    """Whether the bands are in one bin or in many."""
+    lines = [line for _, text in near_copies for line in text.split("\n")[:2]]
+    frame = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string").repartition(3)
+    rows = line_dedup._with_bands(frame, line_dedup.BANDS, line_dedup.ROWS, line_dedup.SHINGLE, bin_rows).collect()
+    expected = bands_of(line_dedup.signatures(lines))
+    assert expected and sorted((r["line_id"], r["band"]) for r in rows) == expected
+
+
+@pytest.mark.parametrize("limit", [0, 7, 1 << 20])
+def test_a_band_of_very_many_lines_is_told_in_pieces(limit):
+    """However seldom the rows are sifted, each row of a shared band comes out once; the others never do."""
+    dice = np.random.default_rng(6)
+    bands = np.where(dice.random(400) < 0.5, 5, dice.integers(10, 500, 400))
+    pieces = np.array_split(np.arange(400), 23)
+    packed = pa.RecordBatch.from_pylist([{"bin": 0, "ids": p.tobytes(), "bands": bands[p].tobytes()} for p in pieces])
+    got = [r for out in line_dedup._sharing(limit)(iter([packed.slice(0, 9), packed.slice(9)])) for r in out.to_pylist()]
+    times = np.bincount(bands)
+    assert sorted((r["line_id"], r["band"]) for r in got) == [(i, b) for i, b in enumerate(bands.tolist()) if times[b] > 1]
+
+
+def test_no_lines_have_no_bands(spark, shipped):
+    none = spark.createDataFrame([], "line_id long, line string")
+    assert line_dedup._with_bands(none, line_dedup.BANDS, line_dedup.ROWS, line_dedup.SHINGLE).count() == 0
+
+
+def test_tile_links_against_all_pairs():
+    """Lines that share much but not enough are refuted without losing a link."""
+    dice = random.Random(8)
+    base = "".join(dice.choice("abcdefghij ") for _ in range(400))
+    lines = [base[:cut] + "".join(dice.choice("klmnop") for _ in range(400 - cut)) for cut in range(20, 400, 9)]
+    sets = line_dedup.all_shingle_hashes(lines)
+    linked = line_dedup._tile_links(list(range(len(lines))), sets, [0] * len(lines), 0.8)
+    close = {frozenset((a, b)) for a in range(len(lines)) for b in range(a) if len(shingles(lines[a]) & shingles(lines[b])) >= 0.8 * len(shingles(lines[a]) | shingles(lines[b]))}
+    assert close and {frozenset(link) for link in linked} <= close
+    group = list(range(len(lines)))
+    for links in (close, linked):
+        label = list(range(len(lines)))
+        for a, b in map(sorted, links):
+            label = [label[a] if own == label[b] else own for own in label]
+        assert links is close or [label.index(own) for own in label] == group
+        group = [label.index(own) for own in label]
+
+
+def test_a_run_is_hashed_as_a_polynomial():
+    codes = np.random.default_rng(7).integers(0, 1 << 20, 60).astype(np.uint64)
+    for size in (1, 2, 5, 9, 16):
+        got = line_dedup._rolling(codes, size).tolist()
+        for at, own in enumerate(got):
+            value = 0
+            for code in codes[at : at + size].tolist():
+                value = (value * 0x100000001B3 + code) % (1 << 64)
+            assert own == (value ^ (value >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        assert len(got) == 61 - size

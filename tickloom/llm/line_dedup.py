@@ -1,12 +1,13 @@
 """Fuzzy line deduplication: MinHash over character shingles, banding, exact Jaccard, union-find.
 
 Lines are compared in lower case with white space collapsed. Equal lines become one row first, so a line
-that occurs everywhere costs one row. Each different line gets a MinHash signature, whose bands put it
-into buckets; twelve bands of four values find a pair of similarity 0.8 with probability 0.998 and one of 0.85
-with 0.9998. Lines that share a bucket are compared exactly by the Jaccard similarity of their
-shingle sets (of 64-bit hashes of the shingles); buckets with the same members are compared once, large buckets are cut into tiles, all pairs
-of which are read. Within a tile, lines already joined are not compared again, and what leaves a task is
-a forest of links. Components are found by distributed union-find, and of each component the line that
+that occurs everywhere costs one row. Each different line gets a MinHash signature (of least and greatest values),
+whose bands put it into buckets; twelve bands of four values find a pair of similarity 0.8 with probability 0.998 and
+one of 0.85 with 0.9998. Nearly all bands belong to one line only and go first, bin by bin. Lines that share a
+bucket are compared exactly by the Jaccard similarity of their shingle sets (of 64-bit hashes of the shingles);
+buckets with the same members are compared once, large buckets are cut into tiles, all pairs of which are read, and
+pairs that cannot reach the limit by 16 bits of each hash are settled by these. Within a tile, lines already joined
+are not compared again, and what leaves a task is a forest of links. Components are found by distributed union-find, and of each component the line that
 comes first (by document id, then text hash, then position) stays; all other occurrences go.
 
 Edge cases: NULL text is the empty text; blank lines are no lines and stay; a line shorter than a shingle
@@ -22,9 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.batches import slices
 from tickloom.llm.components import components
 from tickloom.llm.skew import lookup
 from tickloom.operators.joins import checked_broadcast
@@ -37,8 +40,9 @@ SPACES = " \t\r\x0b\x0c"
 TILE = 1024
 SEED = 20
 KEY = ["key", "check"]
+BIN_ROWS = 1 << 19  # bands in a bin, on average
 BLOCK_ROWS = 256  # lines hashed together
-BLOCK_CHARS = 1 << 15  # what the working arrays of a block take stays in the cache
+BLOCK_CHARS = 1 << 16  # what the working arrays of a block take stays in the cache
 
 
 def _odd(text: Column) -> Column:
@@ -63,7 +67,7 @@ def _blank(line: Column) -> Column:
 def text_key(text: str) -> Column:
     """Tells the texts of one id apart."""
     whole = F.coalesce(text, F.lit(""))
-    return F.struct(F.xxhash64(whole).alias("hash"), F.length(whole).alias("length"))
+    return F.struct(F.xxhash64(whole).alias("hash"), F.octet_length(whole).alias("length"))
 
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -81,12 +85,13 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every run of ``size`` characters."""
-    n = len(codes) - size + 1
-    found = np.zeros(n, dtype=np.uint64)
-    for at in range(size):
-        found *= np.uint64(0x100000001B3)
-        found += codes[at : at + n]
-    found ^= found >> np.uint64(29)
+    # A polynomial of the run's characters; that of a run is made of those of its two halves.
+    found, length = codes, 1
+    for bit in bin(size)[3:]:
+        for own, more in ((found, length), (codes, 1))[: 1 + int(bit)]:
+            factor = np.uint64(pow(0x100000001B3, more, 1 << 64))
+            found, length = found[: len(found) - more] * factor + own[length:], length + more
+    found = found ^ (found >> np.uint64(29))
     found *= np.uint64(0xBF58476D1CE4E5B9)
     return found
 
@@ -129,10 +134,12 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def signatures(lines: list[str], bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> np.ndarray:
-    """A 64-bit name for each band of each line."""
+    """A 64-bit name for each band of each line: of the least and the greatest value of its shingles (min-max
+    hashing) under half as many hash functions as a band has values, rounded up."""
     dice = np.random.default_rng(SEED)
-    factors = (dice.integers(1, 1 << 31, bands * rows, dtype=np.uint64) * 2 + 1).astype(np.uint32)
-    terms = dice.integers(0, 1 << 32, bands * rows, dtype=np.uint64).astype(np.uint32)
+    functions = (rows + 1) // 2
+    factors = (dice.integers(1, 1 << 31, bands * functions, dtype=np.uint64) * 2 + 1).astype(np.uint32)
+    terms = dice.integers(0, 1 << 32, bands * functions, dtype=np.uint64).astype(np.uint32)
     names = np.zeros((len(lines), bands), dtype=np.uint64)
     start = 0
     while start < len(lines):
@@ -146,27 +153,100 @@ def signatures(lines: list[str], bands: int = BANDS, rows: int = ROWS, size: int
         firsts = np.cumsum(lengths) - lengths
         hashes = (_rolling(codes, size) >> np.uint64(32)).astype(np.uint32)
         # Runs that cross into the next line belong to no line: they repeat the line's first run instead.
-        last = np.repeat(firsts + lengths - size, lengths)[: len(hashes)]
-        at = np.arange(len(hashes))
-        hashes = np.where(at <= last, hashes, hashes[np.repeat(firsts, lengths)[: len(hashes)]])
+        crossing = firsts[1:, None] - np.arange(1, size)
+        hashes[crossing] = hashes[firsts[:-1], None]
         mixed = np.empty_like(hashes)
         for band in range(bands):
             name = np.full(end - start, band + 1, dtype=np.uint64)
-            for p in range(band * rows, (band + 1) * rows):
-                np.multiply(hashes, factors[p], out=mixed)
-                np.add(mixed, terms[p], out=mixed)
-                name = name * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed, firsts)
+            for row in range(rows):
+                if row % 2 == 0:
+                    p = band * functions + row // 2
+                    np.multiply(hashes, factors[p], out=mixed)
+                    np.add(mixed, terms[p], out=mixed)
+                extreme = np.maximum if row % 2 else np.minimum
+                name = name * np.uint64(0x9E3779B97F4A7C15) + extreme.reduceat(mixed, firsts)
             names[start:end, band] = name ^ (name >> np.uint64(31))
         start = end
     return names
 
 
-def _with_bands(different: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    @F.pandas_udf("array<long>")
-    def of(lines: pd.Series) -> pd.Series:
-        return pd.Series(list(signatures(lines.tolist(), bands, rows, size).view(np.int64)), dtype=object)
+def _bander(bins: int, bands: int, rows: int, size: int):
+    """Deals the bands of lines out to bins: one row for each bin and batch, with packed 64-bit integers."""
 
-    return different.select("line_id", F.explode(of("line")).alias("band"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                names = signatures(part.column(1).to_pylist(), bands, rows, size).ravel()
+                ids = np.repeat(part.column(0).to_numpy(), bands)
+                into = (names >> np.uint64(32)) % np.uint64(bins)
+                order = np.argsort(into.astype(np.uint16) if bins <= 1 << 16 else into, kind="stable")
+                found, firsts = np.unique(into[order], return_index=True)
+                ends = pa.py_buffer((np.append(firsts, len(into)) * 8).astype(np.int32))
+                ids, names = (
+                    pa.Array.from_buffers(pa.binary(), len(found), [None, ends, pa.py_buffer(column[order])])
+                    for column in (ids, names)
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), ids, names], ["bin", "ids", "bands"])
+
+    return run
+
+
+def _sifted(ids: np.ndarray, bands: np.ndarray, told: np.ndarray) -> tuple[pa.RecordBatch, list[np.ndarray]]:
+    """The rows of bands that have several, without those ``told`` before; one row of each band, told if it has been now."""
+    order = np.argsort(bands)
+    ids, bands, told = ids[order], bands[order], told[order]
+    first = np.ones(len(bands), dtype=bool)
+    first[1:] = bands[1:] != bands[:-1]
+    several = ~first
+    several[:-1] |= ~first[1:]
+    out = several & ~told
+    rows = pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(bands[out])], ["line_id", "band"])
+    return rows, [ids[first], bands[first], (told | several)[first]]
+
+
+def _sharing(limit: int):
+    """Of the packed rows of a bin, the bands that several lines have. What is held is ``limit`` rows and one for
+    each different band, however many lines have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for batch in batches:
+            for ids, bands in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                n += len(ids) // 8
+                waiting.append([np.frombuffer(ids, np.int64), np.frombuffer(bands, np.int64), np.zeros(len(ids) // 8, dtype=bool)])
+                if n > limit:
+                    rows, kept = _sifted(*map(np.concatenate, zip(*waiting, strict=True)))
+                    yield rows
+                    waiting, n = [kept], 0
+        if waiting:
+            yield _sifted(*map(np.concatenate, zip(*waiting, strict=True)))[0]
+
+    return run
+
+
+def _with_bands(different: DataFrame, bands: int, rows: int, size: int, bin_rows: int = BIN_ROWS) -> DataFrame:
+    """``line_id, band``, without the bands that one line only has, which are nearly all. The others are told by
+    bins, one to a task; their number grows with the lines. A line has ``bands`` bands, mostly in as many bins, so
+    no bin gets more than one in ``bands`` of all rows for the sake of one band."""
+    bins = different.count() * bands // bin_rows + 1
+    packed = different.select("line_id", "line").mapInArrow(_bander(bins, bands, rows, size), "bin int, ids binary, bands binary")
+    return packed.repartitionById(bins, "bin").mapInArrow(_sharing(4 * bin_rows), "line_id long, band long")
+
+
+def _may_reach(i: int, others: list[int], upper: list[np.ndarray], marks: np.ndarray, limit: float) -> list[int]:
+    """``others`` without those that share too few hashes with ``i`` even by the ``upper`` 16 bits, of which no
+    fewer are met than of whole hashes. ``marks`` has a place for each value of these and is left as it was."""
+    marks[upper[i]] = True
+    found = []
+    for at in range(0, len(others), BLOCK_ROWS):
+        some = others[at : at + BLOCK_ROWS]
+        sizes = np.array([len(upper[j]) for j in some])
+        met = marks[np.concatenate([upper[j] for j in some])]
+        most = np.add.reduceat(met, np.cumsum(sizes) - sizes, dtype=np.int64)
+        enough = most >= limit * (len(upper[i]) + sizes - most)
+        found += [j for j, ok in zip(some, enough.tolist(), strict=True) if ok]
+    marks[upper[i]] = False
+    return found
 
 
 def _tile_links(ids: list[int], sets: list[np.ndarray], sides: list[int], limit: float) -> list[tuple[int, int]]:
@@ -181,13 +261,21 @@ def _tile_links(ids: list[int], sets: list[np.ndarray], sides: list[int], limit:
 
     across = any(sides)
     order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
+    pair = len(ids) == 2
+    upper = [] if pair else [(s >> np.uint64(48)).astype(np.uint16) for s in sets]
+    marks = np.zeros(0 if pair else 1 << 16, dtype=bool)
     found = []
     for rank, i in enumerate(order):
         most = len(sets[i]) / limit
+        own = root(i)
+        others = []
         for j in order[rank + 1 :]:
             if len(sets[j]) > most:
                 break
-            if (across and sides[i] == sides[j]) or root(i) == root(j):
+            if not (across and sides[i] == sides[j]) and root(j) != own:
+                others.append(j)
+        for j in _may_reach(i, others, upper, marks, limit) if len(others) > 1 else others:
+            if root(i) == root(j):
                 continue
             shared = common(sets[i], sets[j])
             if shared >= limit * (len(sets[i]) + len(sets[j]) - shared):
@@ -225,11 +313,7 @@ def similar_lines(
 ) -> DataFrame:
     """``x, y``: links between lines (``line_id, line``, each text once) of at least the similarity."""
     banded = store(_with_bands(different, bands, rows, size), "line-bands")
-    buckets = (
-        banded.groupBy("band")
-        .agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(line_id))").alias("members"))
-        .filter("n > 1")
-    )
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(line_id))").alias("members"))
     # Buckets with the same members are one.
     once = store(buckets.groupBy("n", "members").agg(F.min("band").alias("band")).select("band", "n"), "line-buckets")
     cuts = F.ceil(F.col("n") / tile).cast("int")
@@ -268,11 +352,13 @@ def line_decisions(
     joined = different.select("line_id", *KEY, place.alias("place"), "n").join(
         roots, F.col("line_id") == F.col("node"), "left"
     )
+    # Lines that neither repeat nor resemble another are most, and stay.
+    joined = store(joined.filter("root is not null or n > 1"), "line-roots")
     linked = joined.filter("root is not null")
     first = linked.groupBy("root").agg(F.min("place").alias("kept"), F.count("*").alias("size"))
     decided = (
         lookup(linked, first, "root", "size", ["line_id"], "inner").select(*KEY, "kept", "n")
-        .union(joined.filter("root is null and n > 1").select(*KEY, F.col("place").alias("kept"), "n"))
+        .union(joined.filter("root is null").select(*KEY, F.col("place").alias("kept"), "n"))
     )
     # Only lines that repeat or resemble another are looked up again.
     occurrences = lookup(
