@@ -7,8 +7,9 @@ one of 0.85 with 0.9998. Nearly all bands belong to one line only and go first,
 bucket are compared exactly by the Jaccard similarity of their shingle sets (of 64-bit hashes of the shingles);
 buckets with the same members are compared once, large buckets are cut into tiles, all pairs of which are read, and
 pairs that cannot reach the limit by 16 bits of each hash are settled by these. Within a tile, lines already joined
-are not compared again, and what leaves a task is a forest of links. Components are found by distributed union-find, and of each component the line that
-comes first (by document id, then text hash, then position) stays; all other occurrences go.
+are not compared again, and what leaves a task is a forest of links. Components are found by distributed union-find,
+and of each component the line that comes first (by document id, then text hash, then position) stays; all other
+occurrences go.
 
 Edge cases: NULL text is the empty text; blank lines are no lines and stay; a line shorter than a shingle
 is one shingle, so only equal lines match it; a row is known by its id and a hash of its text, so rows that
